@@ -6,10 +6,10 @@ from __future__ import annotations
 
 def registry() -> dict:
     """``name -> (spark_fn(spark, sf_dir), oracle_sql or None)`` for every query."""
-    from tabready.plans import prep_queries
+    from tabready.plans import model_queries, prep_queries
 
     out: dict = {}
-    for mod in (prep_queries,):
+    for mod in (prep_queries, model_queries):
         for k, v in mod.QUERIES.items():
             if k in out:
                 raise ValueError(f"duplicate query name {k}")

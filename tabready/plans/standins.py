@@ -20,6 +20,7 @@ from tabready.contract import Contract
 from tabready.operators.dedup import dedup_most_complete
 from tabready.operators.features import add_engineered_features, clean_features, project_model_frame
 from tabready.operators.split import deterministic_split
+from tabready.session import staged
 from tabready.operators.target import build_target, drop_missing_required, filter_complete_target, filter_identified
 
 # Fixed parameters of the stand-in problems.
@@ -83,8 +84,10 @@ def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared table with its split labels, staged once per session."""
     c = line_contract()
-    return deterministic_split(prepared_lines(spark, sf_dir), c.identifier, SPLIT_FRACTIONS, SEED)
+    return staged(spark, f"split_lines:{sf_dir}",
+                  lambda: deterministic_split(prepared_lines(spark, sf_dir), c.identifier, SPLIT_FRACTIONS, SEED))
 
 
 # ---- the documents model table ------------------------------------------------
@@ -114,4 +117,6 @@ def doc_model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deterministic_split(doc_model_table(spark, sf_dir), "doc_id", SPLIT_FRACTIONS, SEED)
+    """The model table with its split labels, staged once per session."""
+    return staged(spark, f"doc_splits:{sf_dir}",
+                  lambda: deterministic_split(doc_model_table(spark, sf_dir), "doc_id", SPLIT_FRACTIONS, SEED))

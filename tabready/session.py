@@ -64,3 +64,26 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     path = os.path.join(base, "tables", f"{name or 'table'}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def staged(spark: SparkSession, key: str, build) -> DataFrame:
+    """Build a table once per application and key, write it under the shared
+    checkpoint folder and read it back.
+
+    Intermediate tables that several queries reuse (the split model table,
+    the long predictions table) are computed once; the written copy cuts the
+    lineage, so a lost executor re-reads Parquet instead of re-running the
+    upstream plan.
+    """
+    memo_key = (spark.sparkContext.applicationId, key)
+    path = _STAGED.get(memo_key)
+    if path is None:
+        df = build()
+        base = ensure_checkpoint_dir(spark)
+        path = os.path.join(base, "staged", f"{uuid.uuid4().hex}")
+        df.write.mode("error").parquet(path)
+        _STAGED[memo_key] = path
+    return spark.read.parquet(path)
