@@ -15,9 +15,9 @@ actually small.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fit(train, target) -> scorer(df) -> Column of predictions
@@ -36,7 +36,7 @@ class Candidate:
     name: str
     kind: str
     features: tuple[str, ...] = ()
-    key: Column | None = field(default=None, compare=False)
+    key: str | None = None  # SQL expression of the grouping key
     n_params: int = 1
 
 
@@ -47,14 +47,15 @@ def _train(df: DataFrame, split_col: str, train_label: str) -> DataFrame:
 def fit_candidate(train: DataFrame, cand: Candidate, target: str) -> Scorer:
     """Fit ``cand`` on ``train``; the returned function adds ``predicted`` to any frame."""
     y = F.col(target)
+    key = F.expr(cand.key) if cand.key else None
     global_mean = train.agg(F.avg(y)).scalar()
     if cand.kind == "mean":
         return lambda df: df.withColumn("predicted", global_mean)
     if cand.kind == "group_mean":
-        fitted = train.groupBy(cand.key.alias("_key")).agg(F.avg(y).alias("_group_mean"))
+        fitted = train.groupBy(key.alias("_key")).agg(F.avg(y).alias("_group_mean"))
 
         def score(df: DataFrame) -> DataFrame:
-            scored = df.withColumn("_key", cand.key).join(fitted, "_key", "left")
+            scored = df.withColumn("_key", key).join(fitted, "_key", "left")
             return scored.withColumn("predicted", F.coalesce(F.col("_group_mean"), global_mean)).drop(
                 "_key", "_group_mean")
         return score
@@ -64,11 +65,11 @@ def fit_candidate(train: DataFrame, cand: Candidate, target: str) -> Scorer:
     if cand.kind == "ols":
         return lambda df: df.withColumn("predicted", g_intercept + g_slope * x)
     if cand.kind == "group_ols":
-        fitted = train.groupBy(cand.key.alias("_key")).agg(
+        fitted = train.groupBy(key.alias("_key")).agg(
             F.regr_slope(y, x).alias("_slope"), F.regr_intercept(y, x).alias("_intercept"))
 
         def score(df: DataFrame) -> DataFrame:
-            scored = df.withColumn("_key", cand.key).join(fitted, "_key", "left")
+            scored = df.withColumn("_key", key).join(fitted, "_key", "left")
             pred = F.when(F.col("_slope").isNotNull(), F.col("_intercept") + F.col("_slope") * x).otherwise(
                 g_intercept + g_slope * x)
             return scored.withColumn("predicted", pred).drop("_key", "_slope", "_intercept")

@@ -29,13 +29,13 @@ ALL_DOC_FEATURES = (*DOC_NUMERIC, *DOC_CATEGORICAL)
 
 CANDIDATES = (
     Candidate("mean", "mean", (), None, 1),
-    Candidate("mean_by_lang", "group_mean", ("lang",), F.col("lang"), 4),
-    Candidate("mean_by_source", "group_mean", ("source",), F.col("source"), 20),
-    Candidate("mean_by_word_bucket", "group_mean", ("word_count",), F.floor(F.col("word_count") / 50), 40),
-    Candidate("mean_by_line_bucket", "group_mean", ("line_count",), F.floor(F.col("line_count") / 5), 20),
+    Candidate("mean_by_lang", "group_mean", ("lang",), "lang", 4),
+    Candidate("mean_by_source", "group_mean", ("source",), "source", 20),
+    Candidate("mean_by_word_bucket", "group_mean", ("word_count",), "floor(word_count / 50)", 40),
+    Candidate("mean_by_line_bucket", "group_mean", ("line_count",), "floor(line_count / 5)", 20),
     Candidate("ols_word_count", "ols", ("word_count",), None, 2),
     Candidate("ols_line_count", "ols", ("line_count",), None, 2),
-    Candidate("ols_word_by_lang", "group_ols", ("lang", "word_count"), F.col("lang"), 8),
+    Candidate("ols_word_by_lang", "group_ols", ("lang", "word_count"), "lang", 8),
 )
 PLATFORMS = {
     "group_means": ("mean_by_lang", "mean_by_source", "mean_by_word_bucket", "mean_by_line_bucket"),

@@ -13,7 +13,7 @@ from tabready.operators import dedup, split, target
 from tabready.operators.features import add_engineered_features
 from tabready.plans import sql as S
 from tabready.plans.standins import (
-    LINE_COMPONENTS, LINE_SENTINELS, LINE_TARGET_BOUNDS, SEED, cleaned_lines, line_contract, prepared_lines,
+    LINE_COMPONENTS, LINE_SENTINELS, LINE_TARGET_BOUNDS, SEED, SPLIT_FRACTIONS, cleaned_lines, line_contract, prepared_lines,
     raw_lines, split_lines, table,
 )
 
@@ -303,8 +303,10 @@ SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM g"""
 # ---- split -------------------------------------------------------------------
 
 def q_deterministic_split(spark, sf):
-    """M1: exact-size 64/16/20 split of the de-duplicated table."""
-    return split_lines(spark, sf).select("row_key", "data_split")
+    """M1: exact-size 64/16/20 split of the de-duplicated table (computed, not staged)."""
+    c = line_contract()
+    return split.deterministic_split(prepared_lines(spark, sf), c.identifier, SPLIT_FRACTIONS, SEED).select(
+        "row_key", "data_split")
 
 
 SQL_SPLIT = S.with_(S.LINE_SPLITS) + "SELECT row_key, data_split FROM line_splits"
