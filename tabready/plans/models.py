@@ -126,6 +126,9 @@ def run_summaries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def runs_table(spark: SparkSession, sf: str) -> DataFrame:
-    """L16 applied to the run summaries: uniform comparison rows."""
-    automl, base = run_summaries(spark, sf)
-    return normalize_run_rows(automl, base, BASELINE_PLATFORM)
+    """L16 applied to the run summaries: uniform comparison rows.  Staged, as
+    the comparison step reads written run summaries, not the training plans."""
+    def build():
+        automl, base = run_summaries(spark, sf)
+        return normalize_run_rows(automl, base, BASELINE_PLATFORM)
+    return staged(spark, f"runs:{sf}", build)

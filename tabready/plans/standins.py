@@ -21,6 +21,7 @@ from tabready.operators.dedup import dedup_most_complete
 from tabready.operators.features import add_engineered_features, clean_features, project_model_frame
 from tabready.operators.split import deterministic_split
 from tabready.session import staged
+from tabready.sources.io import read_parquet_table
 from tabready.operators.target import build_target, drop_missing_required, filter_complete_target, filter_identified
 
 # Fixed parameters of the stand-in problems.
@@ -32,7 +33,8 @@ LINE_TARGET_BOUNDS = (1000.0, 100000.0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; under-partitioned scans are spread over the cores."""
+    return read_parquet_table(spark, f"{sf_dir}/{name}.parquet", spread=True)
 
 
 def line_contract() -> Contract:

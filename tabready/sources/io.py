@@ -43,10 +43,26 @@ def read_csv_table(spark: SparkSession, path: str, columns: Sequence[str] | None
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def read_parquet_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster can run.
+
+    A file written as one row group scans in one task, so every per-row
+    expression before the first shuffle would run on one core.  Large inputs
+    scan in many splits already and are returned untouched (no extra shuffle).
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def read_parquet_table(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, spread: bool = False
+) -> DataFrame:
     """Parquet with column pruning (and predicate pushdown by later filters)."""
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_scan(df) if spread else df
 
 
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
