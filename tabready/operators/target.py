@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabready.functions.arithmetic import round_metric
 from tabready.functions.cleaning import is_sentinel, null_sentinels, safe_float
+from tabready.operators.quantiles import attach_quantiles
 
 
 def cleaned_components(
@@ -78,7 +79,7 @@ def target_readiness(
     for c in components:
         n = F.count_if(is_sentinel(safe_float(c), sentinels))
         sentinel_total = n if sentinel_total is None else sentinel_total + n
-    return df.agg(
+    agg = df.agg(
         F.count(F.lit(1)).alias("initial_rows"),
         F.count_if(~id_ok).alias("missing_identifier_rows"),
         F.count_if(id_ok & ~complete).alias("missing_or_invalid_target_rows"),
@@ -88,9 +89,11 @@ def target_readiness(
         F.min(t).alias("target_min"),
         F.max(t).alias("target_max"),
         round_metric(F.avg(t)).alias("target_mean"),
-        round_metric(F.median(t)).alias("target_median"),
         round_metric(F.stddev_samp(t)).alias("target_std"),
     )
+    out = attach_quantiles(agg, df.select(t.alias("_t")), "_t", [0.5], ["target_median"])
+    return out.withColumn("target_median", round_metric("target_median")).select(
+        *[c for c in agg.columns if c != "target_std"], "target_median", "target_std")
 
 
 # ---- F1-F3: row filters -------------------------------------------------------
@@ -169,18 +172,23 @@ def filter_valid_target(df: DataFrame, target: str, minimum: float, maximum: flo
 # ---- A6 / A7 -------------------------------------------------------------------
 
 def target_statistics(df: DataFrame, target: str, by: Sequence[str] = ()) -> DataFrame:
-    """Count, min, max, mean, median, sample std and p99 (exact), optionally grouped."""
+    """Count, min, max, mean, median, sample std and p99, optionally grouped.
+
+    Median and p99 are exact, computed by bounded histogram narrowing
+    (``quantiles.exact_quantiles``) rather than a per-group value map."""
     t = F.col(target)
     aggs = [
         F.count(t).alias("target_count"),
         F.min(t).alias("target_min"),
         F.max(t).alias("target_max"),
         round_metric(F.avg(t)).alias("target_mean"),
-        round_metric(F.median(t)).alias("target_median"),
         round_metric(F.stddev_samp(t)).alias("target_std"),
-        round_metric(F.percentile(t, 0.99)).alias("target_p99"),
     ]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    agg = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    names = ["target_median", "target_p99"]
+    out = attach_quantiles(agg, df, target, [0.5, 0.99], names, by)
+    return out.withColumns({n: round_metric(n) for n in names}).select(
+        *by, "target_count", "target_min", "target_max", "target_mean", "target_median", "target_std", "target_p99")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -27,10 +27,15 @@ from tabready.functions.arithmetic import round_metric
 # ---- L1 / L2: imputation fitted on train ------------------------------------
 
 def fit_median_imputer(train: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """L1: exact median per numeric column, one aggregate (``ml.Imputer`` is
-    approximate, H6).  The result is one value per column."""
-    row = train.agg(*[F.median(c).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+    """L1: exact median per numeric column (``ml.Imputer`` is approximate,
+    H6), by bounded histogram narrowing.  The result is one value per column."""
+    from tabready.operators.quantiles import exact_quantiles
+
+    out = {}
+    for c in columns:
+        row = exact_quantiles(train, c, [0.5], names=["m"]).first()
+        out[c] = row["m"] if row is not None else None
+    return out
 
 
 def fit_mode_imputer(train: DataFrame, columns: Sequence[str]) -> dict[str, object]:

@@ -23,7 +23,7 @@ def _flat(df, *cols):
 def q_column_profile(spark, sf):
     """A1 over every column of the raw lineitem table."""
     c = line_contract()
-    return profile.column_profile(raw_lines(spark, sf), c.target, c.components, [c.identifier])
+    return profile.column_profile(raw_lines(spark, sf, spread=True), c.target, c.components, [c.identifier])
 
 
 def _profile_sql() -> str:

@@ -32,9 +32,10 @@ LINE_SENTINELS = (1.0,)
 LINE_TARGET_BOUNDS = (1000.0, 100000.0)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; under-partitioned scans are spread over the cores."""
-    return read_parquet_table(spark, f"{sf_dir}/{name}.parquet", spread=True)
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table.  ``spread`` round-robins an under-partitioned scan over
+    the cores (S2); worth it before heavy per-row work, not for one aggregate."""
+    return read_parquet_table(spark, f"{sf_dir}/{name}.parquet", spread=spread)
 
 
 def line_contract() -> Contract:
@@ -57,9 +58,9 @@ def line_contract() -> Contract:
     )
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """The raw table: identifier, components and raw feature columns."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread)
     return li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("row_key"),
         *LINE_COMPONENTS,
@@ -70,7 +71,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw -> target (P10) -> cleaning (P4-P8) -> engineered (P11), before row filters."""
     c = line_contract()
-    df = build_target(raw_lines(spark, sf_dir), c.target, c.components, c.sentinels)
+    df = build_target(raw_lines(spark, sf_dir, spread=True), c.target, c.components, c.sentinels)
     df = clean_features(df, c)
     return add_engineered_features(df, c.engineered)
 
@@ -104,7 +105,7 @@ def doc_model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``labels`` covers part of the documents, so ``quality``/``toxic`` are sparse.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     labels = table(spark, sf_dir, "labels")
     return docs.join(labels, "doc_id", "left").select(
         "doc_id",
