@@ -14,7 +14,10 @@ histogram narrowing:
    ``[min, max]``; a bucket whose min equals its max resolves the rank, so a
    value that fills a third of the table resolves at once;
 3. once an interval holds at most ``final_rows`` values they are ranked with
-   a window partitioned by (group, rank) -- bounded work per task.
+   a window partitioned by (group, rank) -- bounded work per task (a window
+   sort spills, so about a million doubles per task is cheap and safe).  A group
+   that holds at most ``final_rows`` values from the start skips step 2, so
+   small inputs cost one aggregate and one bounded window.
 
 The interval shrinks by the bucket count per pass, so doubles resolve in a
 few passes.  The result equals Spark's ``percentile`` (same interpolation,
@@ -42,6 +45,12 @@ def _targets(stats: DataFrame, by: Sequence[str], probs: Sequence[float]) -> Dat
     )
 
 
+def _with_final(targets: DataFrame, stats: DataFrame, by: Sequence[str], final_rows: int) -> DataFrame:
+    """A group of at most ``final_rows`` values goes straight to the ranking step."""
+    small = stats.select(*by, (F.col("_n") <= final_rows).alias("_final"))
+    return targets.join(small, list(by))
+
+
 def _narrow(values: DataFrame, state: DataFrame, by: Sequence[str], buckets: int, final_rows: int) -> DataFrame:
     """One histogram pass over the unresolved ranks."""
     active = state.filter(F.col("_value").isNull() & ~F.col("_final"))
@@ -71,7 +80,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     buckets: int = 4096,
-    final_rows: int = 1 << 16,
+    final_rows: int = 1 << 20,
     max_passes: int = 24,
     names: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -89,18 +98,28 @@ def exact_quantiles(
     by = list(by) if grouped else ["_g"]
     src = df if grouped else df.withColumn("_g", F.lit(0))
     values = src.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    stats = values.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    state = _targets(stats, by, probs).withColumn("_final", F.lit(False)).checkpoint(eager=True)
-    for _ in range(max_passes):
-        if state.filter(F.col("_value").isNull() & ~F.col("_final")).isEmpty():
-            break
-        state = _narrow(values, state, by, buckets, final_rows).checkpoint(eager=True)
+    # one row per group, checkpointed: the only full pass when groups are small
+    stats = values.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")) \
+        .checkpoint(eager=True)
+    state = _with_final(_targets(stats, by, probs), stats, by, final_rows)
+    unresolved = F.col("_value").isNull() & ~F.col("_final")
+    if not state.filter(unresolved).isEmpty():
+        # narrowing passes re-read the values: materialise the one column once
+        # (reliably, in spark.checkpoint.dir) instead of re-running the plan above
+        values = values.checkpoint(eager=True)
+        for _ in range(max_passes):
+            state = _narrow(values, state, by, buckets, final_rows).checkpoint(eager=True)
+            if state.filter(unresolved).isEmpty():
+                break
     # bounded residue: rank the remaining values inside each small interval
-    pending = state.filter(F.col("_value").isNull())
-    ranked = (values.join(pending.select(*by, "_rank", "_lo", "_hi", "_base"), by)
+    # ranks that share an interval (all of a small group's ranks) share one sort
+    pending = state.filter(F.col("_value").isNull()).groupBy(*by, "_lo", "_hi", "_base") \
+        .agg(F.collect_set("_rank").alias("_ranks"))
+    ranked = (values.join(pending, by)
               .filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-              .withColumn("_i", F.row_number().over(Window.partitionBy(*by, "_rank").orderBy("_v")) - 1)
-              .filter(F.col("_base") + F.col("_i") == F.col("_rank"))
+              .withColumn("_rank", F.col("_base") - 1 + F.row_number().over(
+                  Window.partitionBy(*by, "_lo", "_hi").orderBy("_v")))
+              .filter(F.array_contains("_ranks", F.col("_rank")))
               .select(*by, "_rank", F.col("_v").alias("_value")))
     found = state.filter(F.col("_value").isNotNull()).select(*by, "_rank", "_value").unionByName(ranked)
     # interpolate exactly as Spark's percentile does

@@ -13,7 +13,7 @@ from tabready.operators import dedup, split, target
 from tabready.operators.features import add_engineered_features
 from tabready.plans import sql as S
 from tabready.plans.standins import (
-    LINE_COMPONENTS, LINE_SENTINELS, LINE_TARGET_BOUNDS, SEED, SPLIT_FRACTIONS, cleaned_lines, line_contract, prepared_lines,
+    LINE_COMPONENTS, LINE_SENTINELS, LINE_TARGET_BOUNDS, SEED, SPLIT_FRACTIONS, cleaned_lines, line_contract, prepared_lines, prepared_table,
     raw_lines, split_lines, table,
 )
 
@@ -225,7 +225,7 @@ FROM per_id"""
 
 def q_target_outlier_audit(spark, sf):
     """F5 on the prepared table."""
-    df = target.audit_target_outliers(prepared_lines(spark, sf), "line_total", LO, HI)
+    df = target.audit_target_outliers(prepared_table(spark, sf), "line_total", LO, HI)
     return df.select("row_key", "line_total", "target_quality_reason")
 
 
@@ -237,7 +237,7 @@ FROM prepared WHERE line_total IS NULL OR line_total < {LO} OR line_total > {HI}
 
 def q_valid_target_filter(spark, sf):
     """inclusive bounds."""
-    return target.filter_valid_target(prepared_lines(spark, sf), "line_total", LO, HI)
+    return target.filter_valid_target(prepared_table(spark, sf), "line_total", LO, HI)
 
 
 SQL_VALID = S.with_(S.PREPARED) + f"SELECT * FROM prepared WHERE line_total BETWEEN {LO} AND {HI}"
@@ -245,7 +245,7 @@ SQL_VALID = S.with_(S.PREPARED) + f"SELECT * FROM prepared WHERE line_total BETW
 
 def q_target_statistics(spark, sf):
     """A6 grouped by return flag (the first slice of SURVEY 7.3)."""
-    return target.target_statistics(prepared_lines(spark, sf), "line_total", by=["l_returnflag"])
+    return target.target_statistics(prepared_table(spark, sf), "line_total", by=["l_returnflag"])
 
 
 SQL_TARGET_STATS = S.with_(S.PREPARED) + """SELECT l_returnflag,
@@ -257,7 +257,7 @@ FROM prepared GROUP BY l_returnflag"""
 
 def q_value_counts(spark, sf):
     """Rows per outlier reason."""
-    audit = target.audit_target_outliers(prepared_lines(spark, sf), "line_total", LO, HI)
+    audit = target.audit_target_outliers(prepared_table(spark, sf), "line_total", LO, HI)
     return target.value_counts(audit, ["target_quality_reason"])
 
 
@@ -303,9 +303,9 @@ SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM g"""
 # ---- split -------------------------------------------------------------------
 
 def q_deterministic_split(spark, sf):
-    """M1: exact-size 64/16/20 split of the de-duplicated table (computed, not staged)."""
+    """M1: exact-size 64/16/20 split of the written prepared table (the split itself computed, not staged)."""
     c = line_contract()
-    return split.deterministic_split(prepared_lines(spark, sf), c.identifier, SPLIT_FRACTIONS, SEED).select(
+    return split.deterministic_split(prepared_table(spark, sf), c.identifier, SPLIT_FRACTIONS, SEED).select(
         "row_key", "data_split")
 
 
@@ -384,7 +384,7 @@ FROM obs o FULL OUTER JOIN exp e ON o.split_label = e.split_label"""
 
 def q_sample_rows(spark, sf):
     """M2: 1,000 rows by hash order."""
-    return split.sample_rows(prepared_lines(spark, sf), "row_key", 1000, SEED).select("row_key")
+    return split.sample_rows(prepared_table(spark, sf), "row_key", 1000, SEED).select("row_key")
 
 
 SQL_SAMPLE = S.with_(S.PREPARED) + f"""SELECT row_key FROM prepared

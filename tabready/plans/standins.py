@@ -86,11 +86,18 @@ def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_most_complete(df, c.identifier, c.features)
 
 
+def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared table as later steps read it: written once per session
+    (S5) and scanned back, as the quality gate, statistics and resplit read
+    the prepared Parquet rather than re-running preparation."""
+    return staged(spark, f"prepared_lines:{sf_dir}", lambda: prepared_lines(spark, sf_dir))
+
+
 def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared table with its split labels, staged once per session."""
     c = line_contract()
     return staged(spark, f"split_lines:{sf_dir}",
-                  lambda: deterministic_split(prepared_lines(spark, sf_dir), c.identifier, SPLIT_FRACTIONS, SEED))
+                  lambda: deterministic_split(prepared_table(spark, sf_dir), c.identifier, SPLIT_FRACTIONS, SEED))
 
 
 # ---- the documents model table ------------------------------------------------
