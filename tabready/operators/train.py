@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabready.functions.arithmetic import round_metric
@@ -26,22 +26,55 @@ from tabready.functions.arithmetic import round_metric
 
 # ---- L1 / L2: imputation fitted on train ------------------------------------
 
+def _cells(df: DataFrame, columns: Sequence[str], cast: str | None = None) -> DataFrame:
+    """``(_column, _value)`` for every non-NULL cell of ``columns`` (unpivot)."""
+    cells = [F.struct(F.lit(c).alias("_column"), (F.col(c).cast(cast) if cast else F.col(c)).alias("_value"))
+             for c in columns]
+    return df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*").filter(F.col("_value").isNotNull())
+
+
 def fit_median_imputer(train: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """L1: exact median per numeric column (``ml.Imputer`` is approximate,
-    H6), by bounded histogram narrowing.  The result is one value per column."""
+    H6), by bounded histogram narrowing, all columns in one grouped run.
+    The result is one value per column."""
     from tabready.operators.quantiles import exact_quantiles
 
-    out = {}
-    for c in columns:
-        row = exact_quantiles(train, c, [0.5], names=["m"]).first()
-        out[c] = row["m"] if row is not None else None
-    return out
+    if not columns:
+        return {}
+    rows = exact_quantiles(_cells(train, columns, "double"), "_value", [0.5], ["_column"], names=["m"]).collect()
+    found = {r["_column"]: r["m"] for r in rows}
+    return {c: found.get(c) for c in columns}
 
 
 def fit_mode_imputer(train: DataFrame, columns: Sequence[str]) -> dict[str, object]:
-    """L2: most frequent value per column, ties to the smallest, NULLs ignored."""
-    row = train.agg(*[F.mode(c, deterministic=True).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+    """L2: most frequent value per column, ties to the smallest, NULLs ignored.
+
+    Counted per (column, value) with partial aggregation, then the top value
+    per column -- a hot value is one counter, and no task holds a column's
+    whole value map (as the ``mode`` aggregate would)."""
+    if not columns:
+        return {}
+    from tabready.contract import is_numeric_type
+
+    types = {f.name: f.dataType for f in train.schema.fields}
+    numeric = [c for c in columns if is_numeric_type(types[c])]
+    counts = _cells(train, columns, "string").groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    # ties: the smallest value in the column's own type, as ``mode(deterministic)``
+    num = F.when(F.col("_column").isin(*numeric), F.col("_value").cast("double")) if numeric else F.lit(None)
+    top = counts.withColumn("_r", F.row_number().over(
+        Window.partitionBy("_column").orderBy(F.col("_n").desc(), num.asc_nulls_last(), F.col("_value"))))
+    found = {r["_column"]: r["_value"] for r in top.filter(F.col("_r") == 1).select("_column", "_value").collect()}
+    return {c: _typed(found[c], types[c]) if c in numeric and found.get(c) is not None else found.get(c)
+            for c in columns}
+
+
+def _typed(v: str, dtype) -> object:
+    """A numeric mode read back from its string form."""
+    from pyspark.sql import types as T
+
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return int(v)
+    return float(v)
 
 
 def apply_imputer(df: DataFrame, fill: dict[str, object]) -> DataFrame:
