@@ -26,9 +26,10 @@ few passes.  The result equals Spark's ``percentile`` (same interpolation,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabready.session import ensure_checkpoint_dir
@@ -91,16 +92,115 @@ def exact_quantiles(
     result to other aggregates with a left join.
     """
     names = list(names) if names else [f"q_{p}" for p in probs]
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    grouped = bool(by)
-    # a constant group stands in for "no grouping" so every join has a key
-    by = list(by) if grouped else ["_g"]
-    src = df if grouped else df.withColumn("_g", F.lit(0))
-    values = src.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    by = list(by)
+    values = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    stat_cols = [F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    if not by:
+        n, lo, hi = values.agg(*stat_cols).first()
+        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes)
+        rows = [] if n == 0 else [tuple(qs)]
+        return df.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` double" for c in names))
     # one row per group, checkpointed: the only full pass when groups are small
-    stats = values.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")) \
-        .checkpoint(eager=True)
+    stats = values.groupBy(*by).agg(*stat_cols).checkpoint(eager=True)
+    return _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes)
+
+
+def _interpolate(n: int, p: float, at: dict[int, float]) -> float:
+    """Spark's ``percentile`` interpolation between the two ranks around ``(n-1)p``."""
+    pos = (n - 1) * p
+    r0, r1 = math.floor(pos), math.ceil(pos)
+    v0, v1 = at[r0], at[r1]
+    if r0 == r1 or v0 == v1:
+        return v0
+    return (r1 - pos) * v0 + (pos - r0) * v1
+
+
+def _intervals(values: DataFrame, intervals: Sequence[tuple[float, float]]) -> DataFrame:
+    """``(_iv, _lo, _v)`` for every value inside each of a few literal intervals
+    (a Generate over literal structs: no join, nothing broadcast)."""
+    spans = [F.struct(F.lit(i).alias("_iv"), F.lit(float(lo)).alias("_lo"), F.lit(float(hi)).alias("_hi"))
+             for i, (lo, hi) in enumerate(intervals)]
+    inside = None
+    for lo, hi in intervals:
+        c = F.col("_v").between(float(lo), float(hi))
+        inside = c if inside is None else inside | c
+    return (values.filter(inside).select("_v", F.explode(F.array(*spans)).alias("_s"))
+            .filter(F.col("_v").between(F.col("_s._lo"), F.col("_s._hi")))
+            .select(F.col("_s._iv").alias("_iv"), F.col("_s._lo").alias("_lo"), "_v"))
+
+
+def _global_quantiles(
+    values: DataFrame, n: int, lo: float | None, hi: float | None, probs: Sequence[float],
+    buckets: int, final_rows: int, max_passes: int,
+) -> list[float | None]:
+    """The ungrouped case: the state is at most two ranks per probability, so
+    it lives on the driver; each pass returns at most ``buckets`` rows per
+    unresolved interval."""
+    if n == 0:
+        return [None] * len(probs)
+    ranks = sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
+    # rank -> [lo, hi, base (values below lo), count inside, value]
+    state = {r: [lo, hi, 0, n, lo if lo == hi else None] for r in ranks}
+    pending = lambda: {(st[0], st[1]) for st in state.values() if st[4] is None and st[3] > final_rows}
+    if pending():
+        values = values.checkpoint(eager=True)
+    for _ in range(max_passes):
+        spans = sorted(pending())
+        if not spans:
+            break
+        rows = _histograms(values, spans, buckets)
+        for r, st in state.items():
+            if st[4] is not None or st[3] <= final_rows:
+                continue
+            cum = st[2]
+            for b_lo, b_hi, c in rows[spans.index((st[0], st[1]))]:
+                if cum <= r < cum + c:
+                    state[r] = [b_lo, b_hi, cum, c, b_lo if b_lo == b_hi else None]
+                    break
+                cum += c
+    # bounded residue: one window per remaining interval, ranks looked up
+    rest = sorted({(st[0], st[1], st[2]) for st in state.values() if st[4] is None})
+    if rest:
+        w = Window.partitionBy("_iv").orderBy("_v")
+        ranked = _intervals(values, [(a, b) for a, b, _ in rest]).withColumn("_i", F.row_number().over(w) - 1)
+        wanted = [(i, r - base) for i, (a, b, base) in enumerate(rest)
+                  for r, st in state.items() if st[4] is None and (st[0], st[1]) == (a, b)]
+        hit = None
+        for i, k in wanted:
+            c = (F.col("_iv") == i) & (F.col("_i") == k)
+            hit = c if hit is None else hit | c
+        for row in ranked.filter(hit).select("_iv", "_i", "_v").collect():
+            base = rest[row["_iv"]][2]
+            for r, st in state.items():
+                if st[4] is None and (st[0], st[1]) == rest[row["_iv"]][:2] and r - base == row["_i"]:
+                    st[4] = row["_v"]
+    at = {r: st[4] for r, st in state.items()}
+    return [_interpolate(n, p, at) for p in probs]
+
+
+def _histograms(values: DataFrame, spans: Sequence[tuple[float, float]], buckets: int) -> list[list[tuple]]:
+    """Per interval, ``(min, max, count)`` of each non-empty equal-width bucket
+    in bucket order -- at most ``buckets`` rows per interval reach the driver."""
+    iv = _intervals(values, spans)
+    his = F.element_at(F.array(*[F.lit(float(hi)) for _, hi in spans]), F.col("_iv") + 1)
+    width = (his - F.col("_lo")) / buckets
+    b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(buckets - 1))
+    rows = (iv.groupBy("_iv", b.alias("_b"))
+            .agg(F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"), F.count(F.lit(1)).alias("_c"))
+            .collect())
+    out: list[list[tuple]] = [[] for _ in spans]
+    for r in sorted(rows, key=lambda r: (r["_iv"], r["_b"])):
+        out[r["_iv"]].append((r["_bmin"], r["_bmax"], r["_c"]))
+    return out
+
+
+def _quantiles(
+    values: DataFrame, stats: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str],
+    buckets: int, final_rows: int, max_passes: int,
+) -> DataFrame:
+    """``values``: ``by`` + non-NULL double ``_v``; ``stats``: ``by`` + ``_n``,
+    ``_lo``, ``_hi`` of the same values (groups with ``_n > 0`` only)."""
+    ensure_checkpoint_dir(values.sparkSession)
     state = _with_final(_targets(stats, by, probs), stats, by, final_rows)
     unresolved = F.col("_value").isNull() & ~F.col("_final")
     if not state.filter(unresolved).isEmpty():
@@ -133,16 +233,31 @@ def exact_quantiles(
                      .when(F.col("_v0") == F.col("_v1"), F.col("_v0"))
                      .otherwise((F.col("_r1") - F.col("_pos")) * F.col("_v0")
                                 + (F.col("_pos") - F.col("_r0")) * F.col("_v1"))))
-    out = q.groupBy(*by).agg(*[F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
-    return out if grouped else out.drop("_g")
+    return q.groupBy(*by).agg(*[F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
 
 
-def attach_quantiles(
-    agg: DataFrame, df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str], by: Sequence[str] = (),
+def aggregate_with_quantiles(
+    df: DataFrame, value: Column, aggs: Sequence[Column], probs: Sequence[float], names: Sequence[str],
+    by: Sequence[str] = (), buckets: int = 4096, final_rows: int = 1 << 20, max_passes: int = 24,
 ) -> DataFrame:
-    """Add exact quantile columns to an aggregate of ``df`` (grouped by ``by``,
-    or a one-row global aggregate)."""
-    q = exact_quantiles(df, value, probs, by, names=names)
-    if by:
-        return agg.join(q, list(by), "left")
-    return agg.withColumns({n: q.select(n).scalar() for n in names})
+    """``df.groupBy(by).agg(*aggs)`` (or a one-row global aggregate) plus exact
+    quantile columns of ``value``.
+
+    The count, min and max the quantiles need come from the same aggregate
+    pass as the caller's ``aggs``, so small groups cost that pass and one
+    bounded ranking pass.
+    """
+    by = list(by)
+    v = value.cast("double")
+    stat_cols = [F.count(v).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi")]
+    values = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull())
+    if not by:
+        full = df.agg(*aggs, *stat_cols).checkpoint(eager=True)
+        n, lo, hi = full.select("_n", "_lo", "_hi").first()
+        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes)
+        return full.drop("_n", "_lo", "_hi").withColumns(
+            {name: F.lit(q).cast("double") for name, q in zip(names, qs)})
+    full = df.groupBy(*by).agg(*aggs, *stat_cols).checkpoint(eager=True)
+    stats = full.filter(F.col("_n") > 0).select(*by, "_n", "_lo", "_hi")
+    q = _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes)
+    return full.join(q, by, "left").drop("_n", "_lo", "_hi")

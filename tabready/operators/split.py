@@ -227,15 +227,15 @@ def distinct_split_labels(df: DataFrame, split_col: str = "data_split", expected
 
 def split_summary(df: DataFrame, target: str, split_col: str = "data_split") -> DataFrame:
     """A5: per split rows, share of all rows, target mean/median/std/max."""
-    from tabready.operators.quantiles import attach_quantiles
+    from tabready.operators.quantiles import aggregate_with_quantiles
 
-    agg = df.groupBy(split_col).agg(
+    aggs = [
         F.count(F.lit(1)).alias("rows"),
         round_metric(F.avg(target)).alias("target_mean"),
         round_metric(F.stddev_samp(target)).alias("target_std"),
         F.max(target).alias("target_max"),
-    )
-    per = attach_quantiles(agg, df, target, [0.5], ["target_median"], [split_col]).withColumn(
+    ]
+    per = aggregate_with_quantiles(df, F.col(target), aggs, [0.5], ["target_median"], [split_col]).withColumn(
         "target_median", round_metric("target_median"))
     # the aggregated table has one row per split label: an unpartitioned window is fine
     total = F.sum("rows").over(Window.partitionBy(F.lit(1)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabready.functions.arithmetic import round_metric
 from tabready.functions.cleaning import is_sentinel, null_sentinels, safe_float
-from tabready.operators.quantiles import attach_quantiles
+from tabready.operators.quantiles import aggregate_with_quantiles
 
 
 def cleaned_components(
@@ -79,7 +79,7 @@ def target_readiness(
     for c in components:
         n = F.count_if(is_sentinel(safe_float(c), sentinels))
         sentinel_total = n if sentinel_total is None else sentinel_total + n
-    agg = df.agg(
+    aggs = [
         F.count(F.lit(1)).alias("initial_rows"),
         F.count_if(~id_ok).alias("missing_identifier_rows"),
         F.count_if(id_ok & ~complete).alias("missing_or_invalid_target_rows"),
@@ -90,10 +90,12 @@ def target_readiness(
         F.max(t).alias("target_max"),
         round_metric(F.avg(t)).alias("target_mean"),
         round_metric(F.stddev_samp(t)).alias("target_std"),
-    )
-    out = attach_quantiles(agg, df.select(t.alias("_t")), "_t", [0.5], ["target_median"])
+    ]
+    out = aggregate_with_quantiles(df, t, aggs, [0.5], ["target_median"])
     return out.withColumn("target_median", round_metric("target_median")).select(
-        *[c for c in agg.columns if c != "target_std"], "target_median", "target_std")
+        "initial_rows", "missing_identifier_rows", "missing_or_invalid_target_rows", "eligible_rows",
+        "total_sentinel_replacements", "target_count", "target_min", "target_max", "target_mean",
+        "target_median", "target_std")
 
 
 # ---- F1-F3: row filters -------------------------------------------------------
@@ -184,9 +186,8 @@ def target_statistics(df: DataFrame, target: str, by: Sequence[str] = ()) -> Dat
         round_metric(F.avg(t)).alias("target_mean"),
         round_metric(F.stddev_samp(t)).alias("target_std"),
     ]
-    agg = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     names = ["target_median", "target_p99"]
-    out = attach_quantiles(agg, df, target, [0.5, 0.99], names, by)
+    out = aggregate_with_quantiles(df, t, aggs, [0.5, 0.99], names, by)
     return out.withColumns({n: round_metric(n) for n in names}).select(
         *by, "target_count", "target_min", "target_max", "target_mean", "target_median", "target_std", "target_p99")
 

@@ -36,3 +36,16 @@ def test_nulls_ignored_and_empty_group_absent(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", None)], "g string, v double")
     rows = {r.g: r.m for r in exact_quantiles(df, "v", [0.5], ["g"], names=["m"]).collect()}
     assert rows == {"a": 2.0}
+
+
+def test_aggregate_with_quantiles_shares_the_pass(spark):
+    from tabready.operators.quantiles import aggregate_with_quantiles
+
+    df = skewed(spark).union(spark.createDataFrame([(7, None)], "g long, v double"))
+    got = aggregate_with_quantiles(df, F.col("v"), [F.count(F.lit(1)).alias("rows")], [0.5, 0.99],
+                                   ["med", "p99"], ["g"]).orderBy("g").collect()
+    want = df.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.percentile("v", 0.5).alias("med"),
+                               F.percentile("v", 0.99).alias("p99")).orderBy("g").collect()
+    assert [r.asDict() for r in got] == [r.asDict() for r in want]
+    one = aggregate_with_quantiles(df, F.col("v") * 2, [F.max("v").alias("top")], [0.5], ["med"]).collect()
+    assert len(one) == 1 and one[0]["med"] == df.agg(F.percentile(F.col("v") * 2, 0.5)).first()[0]
