@@ -30,6 +30,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local runs only: catalog tables go to a scratch warehouse, not the cwd
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tabready-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

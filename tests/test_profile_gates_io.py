@@ -120,3 +120,32 @@ def test_csv_and_run_registry_sources(spark):
     assert runs.count() == 3 and runs.filter(F.col("validation_rmse") == 2.0).first().platform == "p1"
     path = io.write_splits(spark.createDataFrame([(1, "train"), (2, "test")], "id int, data_split string"), base, "s")
     assert spark.read.parquet(path).filter(F.col("data_split") == "test").count() == 1
+
+
+def test_catalog_report_prediction_and_model_sinks(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    base = tempfile.mkdtemp(prefix="tabready-sinks-")
+    lb = spark.createDataFrame([("m1", 2.0), ("m2", 1.0)], "model string, validation_rmse double")
+    # S7 + S3: saved tables replace earlier versions and read back by name
+    io.save_results_as_tables({"tabready_lb": lb.limit(1)})
+    assert io.save_results_as_tables({"tabready_lb": lb}) == ["tabready_lb"]
+    assert sorted(r.model for r in io.read_catalog_table(spark, "tabready_lb").collect()) == ["m1", "m2"]
+    # One file per report table
+    path = io.write_report_table(lb, base, "leaderboard", "json")
+    assert len([f for f in os.listdir(path) if f.endswith(".json")]) == 1
+    assert spark.read.json(path).count() == 2
+    # Residual added, one directory per model
+    preds = spark.createDataFrame([("m1", "test", 1, 3.0, 2.5), ("m2", "test", 1, 3.0, 3.5)],
+                                  "model string, data_split string, id int, actual double, predicted double")
+    back = spark.read.parquet(io.save_predictions(preds, base))
+    assert {(r.model, r.residual) for r in back.collect()} == {("m1", 0.5), ("m2", -0.5)}
+    # A fitted pipeline survives save and load
+    train = spark.createDataFrame([(float(x), 2.0 * x + 1.0) for x in range(10)], "x double, y double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
+                             LinearRegression(featuresCol="features", labelCol="y")]).fit(train)
+    loaded = io.load_model(io.save_model(model, base, "lr"))
+    got = [round(r.prediction, 6) for r in loaded.transform(train).orderBy("x").collect()]
+    assert got == [round(r.prediction, 6) for r in model.transform(train).orderBy("x").collect()]
