@@ -7,7 +7,9 @@ holds fitted models, per-model timings and a k x k validation error matrix.
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -176,22 +178,46 @@ def candidate_search(
 ) -> list[FittedCandidate]:
     """Fit candidates on the fixed train split.  ``max_models``, excluded
     families and a deadline are checked before each submission; fits run in
-    a small driver thread pool, each one an ordinary Spark ML job."""
+    a small driver thread pool, each one an ordinary Spark ML job.  All fits
+    share one job group, cancelled when the deadline passes, so a fit that
+    overruns the budget is stopped and left out rather than waited for."""
     names = [n for n in estimators if n not in excluded]
     if max_models is not None:
         names = names[:max_models]
     prep = feature_pipeline(numeric, categoricals)
     deadline = time.monotonic() + time_limit_seconds if time_limit_seconds else None
+    sc = train.sparkSession.sparkContext
+    group = f"candidate-search-{uuid.uuid4().hex}"
+
+    def expired() -> bool:
+        return deadline is not None and time.monotonic() > deadline
 
     def fit(name: str) -> FittedCandidate | None:
-        if deadline is not None and time.monotonic() > deadline:
+        if expired():
             return None
+        sc.setJobGroup(group, f"candidate {name}", interruptOnCancel=True)
         t0 = time.perf_counter()
-        model = Pipeline(stages=[*prep, estimators[name]]).fit(train)
+        try:
+            model = Pipeline(stages=[*prep, estimators[name]]).fit(train)
+        except Exception:
+            if expired():  # cancelled at the deadline
+                return None
+            raise
+        if expired():
+            return None
         return FittedCandidate(name, model, time.perf_counter() - t0)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(fit, names))
+    timer = None
+    if deadline is not None:
+        timer = threading.Timer(max(0.0, deadline - time.monotonic()), sc.cancelJobGroup, args=(group,))
+        timer.daemon = True
+        timer.start()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            results = list(pool.map(fit, names))
+    finally:
+        if timer is not None:
+            timer.cancel()
     return [r for r in results if r is not None]
 
 
