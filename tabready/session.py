@@ -42,12 +42,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a scratch one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is.
-    Only when nothing is configured (local tests) a fresh scratch folder is taken.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
+    is, and it must be set.  Only a local master with nothing configured
+    (tests, the bench) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would leave checkpoints on single executors
+            raise RuntimeError(f"Set {CHECKPOINT_CONF} to shared storage; checkpoints and staged tables "
+                               "must survive executor loss.")
         current = tempfile.mkdtemp(prefix="tabready-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not sc.getCheckpointDir():
