@@ -84,12 +84,18 @@ def exact_quantiles(
     final_rows: int = 1 << 20,
     max_passes: int = 24,
     names: Sequence[str] | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """Exact interpolated quantiles of ``value`` per group (NULLs ignored).
 
     Returns one row per group with one column per probability (named
     ``names`` or ``q_<p>``); groups without values are absent, so join the
     result to other aggregates with a left join.
+
+    Narrowing passes (only for groups above ``final_rows`` values) re-read
+    ``df``: cheap for a scan or a written table, where only the one column
+    is read again.  ``materialize=True`` checkpoints the value column first,
+    for an input that is expensive to recompute.
     """
     names = list(names) if names else [f"q_{p}" for p in probs]
     by = list(by)
@@ -97,12 +103,12 @@ def exact_quantiles(
     stat_cols = [F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
     if not by:
         n, lo, hi = values.agg(*stat_cols).first()
-        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes)
+        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes, materialize)
         rows = [] if n == 0 else [tuple(qs)]
         return df.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` double" for c in names))
     # one row per group, checkpointed: the only full pass when groups are small
     stats = values.groupBy(*by).agg(*stat_cols).checkpoint(eager=True)
-    return _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes)
+    return _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes, materialize)
 
 
 def _interpolate(n: int, p: float, at: dict[int, float]) -> float:
@@ -131,7 +137,7 @@ def _intervals(values: DataFrame, intervals: Sequence[tuple[float, float]]) -> D
 
 def _global_quantiles(
     values: DataFrame, n: int, lo: float | None, hi: float | None, probs: Sequence[float],
-    buckets: int, final_rows: int, max_passes: int,
+    buckets: int, final_rows: int, max_passes: int, materialize: bool,
 ) -> list[float | None]:
     """The ungrouped case: the state is at most two ranks per probability, so
     it lives on the driver; each pass returns at most ``buckets`` rows per
@@ -142,7 +148,7 @@ def _global_quantiles(
     # rank -> [lo, hi, base (values below lo), count inside, value]
     state = {r: [lo, hi, 0, n, lo if lo == hi else None] for r in ranks}
     pending = lambda: {(st[0], st[1]) for st in state.values() if st[4] is None and st[3] > final_rows}
-    if pending():
+    if materialize and pending():
         values = values.checkpoint(eager=True)
     for _ in range(max_passes):
         spans = sorted(pending())
@@ -196,7 +202,7 @@ def _histograms(values: DataFrame, spans: Sequence[tuple[float, float]], buckets
 
 def _quantiles(
     values: DataFrame, stats: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str],
-    buckets: int, final_rows: int, max_passes: int,
+    buckets: int, final_rows: int, max_passes: int, materialize: bool,
 ) -> DataFrame:
     """``values``: ``by`` + non-NULL double ``_v``; ``stats``: ``by`` + ``_n``,
     ``_lo``, ``_hi`` of the same values (groups with ``_n > 0`` only)."""
@@ -204,9 +210,10 @@ def _quantiles(
     state = _with_final(_targets(stats, by, probs), stats, by, final_rows)
     unresolved = F.col("_value").isNull() & ~F.col("_final")
     if not state.filter(unresolved).isEmpty():
-        # narrowing passes re-read the values: materialise the one column once
-        # (reliably, in spark.checkpoint.dir) instead of re-running the plan above
-        values = values.checkpoint(eager=True)
+        # narrowing passes re-read the values; an expensive input is
+        # materialised once (reliably, in spark.checkpoint.dir)
+        if materialize:
+            values = values.checkpoint(eager=True)
         for _ in range(max_passes):
             state = _narrow(values, state, by, buckets, final_rows).checkpoint(eager=True)
             if state.filter(unresolved).isEmpty():
@@ -239,6 +246,7 @@ def _quantiles(
 def aggregate_with_quantiles(
     df: DataFrame, value: Column, aggs: Sequence[Column], probs: Sequence[float], names: Sequence[str],
     by: Sequence[str] = (), buckets: int = 4096, final_rows: int = 1 << 20, max_passes: int = 24,
+    materialize: bool = False,
 ) -> DataFrame:
     """``df.groupBy(by).agg(*aggs)`` (or a one-row global aggregate) plus exact
     quantile columns of ``value``.
@@ -254,10 +262,10 @@ def aggregate_with_quantiles(
     if not by:
         full = df.agg(*aggs, *stat_cols).checkpoint(eager=True)
         n, lo, hi = full.select("_n", "_lo", "_hi").first()
-        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes)
+        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes, materialize)
         return full.drop("_n", "_lo", "_hi").withColumns(
             {name: F.lit(q).cast("double") for name, q in zip(names, qs)})
     full = df.groupBy(*by).agg(*aggs, *stat_cols).checkpoint(eager=True)
     stats = full.filter(F.col("_n") > 0).select(*by, "_n", "_lo", "_hi")
-    q = _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes)
+    q = _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes, materialize)
     return full.join(q, by, "left").drop("_n", "_lo", "_hi")

@@ -49,3 +49,12 @@ def test_aggregate_with_quantiles_shares_the_pass(spark):
     assert [r.asDict() for r in got] == [r.asDict() for r in want]
     one = aggregate_with_quantiles(df, F.col("v") * 2, [F.max("v").alias("top")], [0.5], ["med"]).collect()
     assert len(one) == 1 and one[0]["med"] == df.agg(F.percentile(F.col("v") * 2, 0.5)).first()[0]
+
+
+@pytest.mark.parametrize("by", [["g"], []])
+def test_materialized_passes_match(spark, by):
+    df = skewed(spark)
+    got = exact_quantiles(df, "v", [0.5, 0.99], by, buckets=4, final_rows=9, materialize=True)
+    want = (df.groupBy(*by) if by else df.groupBy()).agg(
+        *[F.percentile("v", p).alias(f"q_{p}") for p in (0.5, 0.99)])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
