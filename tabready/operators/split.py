@@ -2,13 +2,14 @@
 (M1-M3, J5, U1, U2, U5, A5).
 
 Plan shape of the split (SURVEY 4.3 item 1, refined): every row gets
-``h = md5(seed ':' id)``; rows are ranked by ``(h, id)``.  Instead of a global
-sort, rows are bucketed by the first hex digits of ``h`` (uniform, so buckets
-are balanced whatever the key skew), bucket counts are aggregated (at most
-16^digits rows, a proven bound, so broadcast is safe), running totals give
-each bucket's first rank, and only the buckets that straddle a cut point are
-ranked row by row with a window.  Every other row is labelled by a broadcast
-hash join alone.
+``h = md5(seed ':' id)``; rows are ranked by ``(h, id)``.  A row's rank is at
+most a cut ``c`` exactly when its key is at most the key ranked ``c``, so the
+split only needs the two boundary keys.  They are found without a global
+sort: rows are bucketed by the first hex digits of ``h`` (uniform, so buckets
+are balanced whatever the key skew), bucket counts (at most 16^digits rows)
+locate the bucket and position of each cut, and only those buckets are
+ranked with a window.  Labelling is then a projection with two literal
+comparisons -- no join and no shuffle of the table itself.
 """
 
 from __future__ import annotations
@@ -55,47 +56,79 @@ def _rank_cut(
 
     ``cut_exprs(total)`` returns Column cut points ``c1 <= c2 <= ...``; rank
     ``r`` (1-based) gets ``labels[i]`` for the first ``i`` with ``r <= c_i``,
-    else the last label.
+    else the last label.  Rank ``r <= c_i`` exactly when the row's key is at
+    most the key ranked ``c_i``, so only those few boundary keys are looked
+    up (:func:`_boundary_keys`) and labelling is a projection of ``df`` that
+    keeps its partitioning: no join, no shuffle of the rows.  A row with a
+    NULL identifier is not ranked and gets a NULL label.
     """
-    h = split_hash(identifier, seed)
-    keyed = df.withColumn("_h", h).withColumn("_bucket", F.substring("_h", 1, hex_digits))
+    bounds = _boundary_keys(df, identifier, seed, cut_exprs, hex_digits)
+    h, ident = split_hash(identifier, seed), F.col(identifier).cast("string")
+    label = None
+    for i, key in enumerate(bounds):
+        if key is None:  # a cut at rank 0 holds no row
+            continue
+        kh, kid = key
+        within = (h < F.lit(kh)) | ((h == F.lit(kh)) & (ident <= F.lit(kid)))
+        label = F.when(within, labels[i]) if label is None else label.when(within, labels[i])
+    last = F.lit(labels[len(bounds)])
+    label = last if label is None else label.otherwise(last)
+    return df.withColumn(label_col, F.when(h.isNotNull(), label))
+
+
+def _boundary_keys(df: DataFrame, identifier: str, seed: int, cut_exprs, hex_digits: int) -> list:
+    """The ``(hash, id)`` key ranked ``c_i`` for every cut, without a global sort.
+
+    Rows are bucketed by the first hex digits of the hash (uniform, so no
+    bucket is hot whatever the key skew).  One identifier-only pass counts
+    the rows per bucket (at most 16^digits rows); running totals locate the
+    bucket and in-bucket position of each cut; a second identifier-only pass
+    ranks the rows of those few buckets with a window.  The driver receives
+    one row per cut from each pass.
+    """
+    keyed = (df.select(split_hash(identifier, seed).alias("_h"), F.col(identifier).cast("string").alias("_id"))
+             .filter(F.col("_h").isNotNull())
+             .withColumn("_bucket", F.substring("_h", 1, hex_digits)))
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # Window without partitionBy is allowed here: the input is the aggregated
     # bucket table, at most 16**hex_digits rows.
     w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = counts.withColumn("_cum", F.sum("_n").over(w)).withColumn(
-        "_total", F.sum("_n").over(Window.partitionBy(F.lit(1)))
-    )
+        "_total", F.sum("_n").over(Window.partitionBy(F.lit(1))))
     cuts = cut_exprs(F.col("_total"))
-    before = F.col("_cum") - F.col("_n")
-    # whole-bucket label when the bucket lies inside one interval, else NULL
-    bucket_label = None
-    lower = F.lit(0)
-    for i, cut in enumerate(cuts):
-        inside = (before >= lower) & (F.col("_cum") <= cut)
-        bucket_label = F.when(inside, labels[i]) if bucket_label is None else bucket_label.when(inside, labels[i])
-        lower = cut
-    bucket_label = bucket_label.when(before >= lower, labels[len(cuts)])
-    info = totals.select(
-        "_bucket",
-        before.alias("_before"),
-        bucket_label.alias("_bucket_label"),
-        *[c.alias(f"_cut{i}") for i, c in enumerate(cuts)],
-    )
-    joined = keyed.join(F.broadcast(info), "_bucket")
-    plain = joined.filter(F.col("_bucket_label").isNotNull()).withColumn(label_col, F.col("_bucket_label"))
-    straddle = joined.filter(F.col("_bucket_label").isNull())
-    rank = F.col("_before") + F.row_number().over(
-        Window.partitionBy("_bucket").orderBy("_h", F.col(identifier).cast("string"))
-    )
-    by_rank = None
-    for i in range(len(cuts)):
-        cond = rank <= F.col(f"_cut{i}")
-        by_rank = F.when(cond, labels[i]) if by_rank is None else by_rank.when(cond, labels[i])
-    by_rank = by_rank.otherwise(labels[len(cuts)])
-    ranked = straddle.withColumn(label_col, by_rank)
-    out_cols = [*df.columns, label_col]
-    return plain.select(*out_cols).unionByName(ranked.select(*out_cols))
+    per_cut = totals.select("_bucket", (F.col("_cum") - F.col("_n")).alias("_before"), "_cum",
+                            F.posexplode(F.array(*[c.cast("long") for c in cuts])).alias("_i", "_c"))
+    located = per_cut.filter((F.col("_before") < F.col("_c")) & (F.col("_c") <= F.col("_cum"))).select(
+        "_i", "_bucket", (F.col("_c") - F.col("_before")).alias("_k"))
+    where = {r["_i"]: (r["_bucket"], r["_k"]) for r in located.collect()}
+    bounds: list = [None] * len(cuts)
+    if not where:
+        return bounds
+    wanted = None
+    for b, k in where.values():
+        c = (F.col("_bucket") == b) & (F.col("_r") == k)
+        wanted = c if wanted is None else wanted | c
+    ranked = (keyed.filter(F.col("_bucket").isin(*sorted({b for b, _ in where.values()})))
+              .withColumn("_r", F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", "_id")))
+              .filter(wanted)
+              .select("_bucket", "_r", "_h", "_id"))
+    found = {(r["_bucket"], r["_r"]): (r["_h"], r["_id"]) for r in ranked.collect()}
+    for i, (b, k) in where.items():
+        bounds[i] = found[(b, k)]
+    return bounds
+    buckets = sorted({b for b, _ in where.values()})
+    wanted = None
+    for b, k in where.values():
+        c = (F.col("_bucket") == b) & (F.col("_r") == k)
+        wanted = c if wanted is None else wanted | c
+    ranked = (keyed.filter(F.col("_bucket").isin(*buckets))
+              .withColumn("_r", F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", "_id")))
+              .filter(wanted)
+              .select("_bucket", "_r", "_h", "_id"))
+    found = {(r["_bucket"], r["_r"]): (r["_h"], r["_id"]) for r in ranked.collect()}
+    for i, (b, k) in where.items():
+        bounds[i] = found[(b, k)]
+    return bounds
 
 
 def deterministic_split(
