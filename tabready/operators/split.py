@@ -116,19 +116,6 @@ def _boundary_keys(df: DataFrame, identifier: str, seed: int, cut_exprs, hex_dig
     for i, (b, k) in where.items():
         bounds[i] = found[(b, k)]
     return bounds
-    buckets = sorted({b for b, _ in where.values()})
-    wanted = None
-    for b, k in where.values():
-        c = (F.col("_bucket") == b) & (F.col("_r") == k)
-        wanted = c if wanted is None else wanted | c
-    ranked = (keyed.filter(F.col("_bucket").isin(*buckets))
-              .withColumn("_r", F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", "_id")))
-              .filter(wanted)
-              .select("_bucket", "_r", "_h", "_id"))
-    found = {(r["_bucket"], r["_r"]): (r["_h"], r["_id"]) for r in ranked.collect()}
-    for i, (b, k) in where.items():
-        bounds[i] = found[(b, k)]
-    return bounds
 
 
 def deterministic_split(
