@@ -14,10 +14,19 @@ histogram narrowing:
    ``[min, max]``; a bucket whose min equals its max resolves the rank, so a
    value that fills a third of the table resolves at once;
 3. once an interval holds at most ``final_rows`` values they are ranked with
-   a window partitioned by (group, rank) -- bounded work per task (a window
-   sort spills, so about a million doubles per task is cheap and safe).  A group
-   that holds at most ``final_rows`` values from the start skips step 2, so
-   small inputs cost one aggregate and one bounded window.
+   a window partitioned by (group, interval) -- bounded work per task (a
+   window sort spills, so about a million doubles per task is cheap and
+   safe); ranks sharing an interval share one sort.  A group that holds at
+   most ``final_rows`` values from the start skips step 2, so small inputs
+   cost one aggregate and one bounded window.
+
+Grouped quantiles keep the per-(group, rank) state as a small checkpointed
+table joined to the values on the group keys.  Ungrouped ones keep their few
+ranks (two per probability) on the driver and select interval rows with
+literal bounds, so nothing is joined on a constant key.  Passes re-read the
+input; ``materialize=True`` checkpoints the value column first for an input
+that is expensive to recompute.  ``aggregate_with_quantiles`` takes ``n``,
+``min`` and ``max`` from the caller's own aggregate pass.
 
 The interval shrinks by the bucket count per pass, so doubles resolve in a
 few passes.  The result equals Spark's ``percentile`` (same interpolation,
