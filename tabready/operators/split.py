@@ -51,6 +51,7 @@ def _rank_cut(
     labels: Sequence[str],
     label_col: str,
     hex_digits: int,
+    max_window_rows: int = 1 << 20,
 ) -> DataFrame:
     """Label rows by global rank of ``(md5(seed:id), id)`` against cut points.
 
@@ -62,7 +63,7 @@ def _rank_cut(
     keeps its partitioning: no join, no shuffle of the rows.  A row with a
     NULL identifier is not ranked and gets a NULL label.
     """
-    bounds = _boundary_keys(df, identifier, seed, cut_exprs, hex_digits)
+    bounds = _boundary_keys(df, identifier, seed, cut_exprs, hex_digits, max_window_rows)
     h, ident = split_hash(identifier, seed), F.col(identifier).cast("string")
     label = None
     for i, key in enumerate(bounds):
@@ -76,15 +77,18 @@ def _rank_cut(
     return df.withColumn(label_col, F.when(h.isNotNull(), label))
 
 
-def _boundary_keys(df: DataFrame, identifier: str, seed: int, cut_exprs, hex_digits: int) -> list:
+def _boundary_keys(df: DataFrame, identifier: str, seed: int, cut_exprs, hex_digits: int,
+                   max_window_rows: int = 1 << 20) -> list:
     """The ``(hash, id)`` key ranked ``c_i`` for every cut, without a global sort.
 
     Rows are bucketed by the first hex digits of the hash (uniform, so no
     bucket is hot whatever the key skew).  One identifier-only pass counts
     the rows per bucket (at most 16^digits rows); running totals locate the
-    bucket and in-bucket position of each cut; a second identifier-only pass
-    ranks the rows of those few buckets with a window.  The driver receives
-    one row per cut from each pass.
+    bucket and in-bucket position of each cut.  A located bucket holding more
+    than ``max_window_rows`` rows is split by the next three hex digits (one
+    identifier-only count, at most 4,096 rows back) until it fits, so the
+    final identifier-only pass ranks at most ``max_window_rows`` rows per cut
+    with a window, whatever the table size.
     """
     keyed = (df.select(split_hash(identifier, seed).alias("_h"), F.col(identifier).cast("string").alias("_id"))
              .filter(F.col("_h").isNotNull())
@@ -96,25 +100,51 @@ def _boundary_keys(df: DataFrame, identifier: str, seed: int, cut_exprs, hex_dig
     totals = counts.withColumn("_cum", F.sum("_n").over(w)).withColumn(
         "_total", F.sum("_n").over(Window.partitionBy(F.lit(1))))
     cuts = cut_exprs(F.col("_total"))
-    per_cut = totals.select("_bucket", (F.col("_cum") - F.col("_n")).alias("_before"), "_cum",
+    per_cut = totals.select("_bucket", "_n", (F.col("_cum") - F.col("_n")).alias("_before"), "_cum",
                             F.posexplode(F.array(*[c.cast("long") for c in cuts])).alias("_i", "_c"))
     located = per_cut.filter((F.col("_before") < F.col("_c")) & (F.col("_c") <= F.col("_cum"))).select(
-        "_i", "_bucket", (F.col("_c") - F.col("_before")).alias("_k"))
-    where = {r["_i"]: (r["_bucket"], r["_k"]) for r in located.collect()}
+        "_i", "_bucket", (F.col("_c") - F.col("_before")).alias("_k"), "_n")
+    # cut -> (hash prefix, position inside it, rows under the prefix)
+    where = {r["_i"]: (r["_bucket"], r["_k"], r["_n"]) for r in located.collect()}
     bounds: list = [None] * len(cuts)
     if not where:
         return bounds
+    while True:
+        big = sorted({p for p, _, n in where.values() if n > max_window_rows and len(p) < 32})
+        if not big:
+            break
+        for p in big:
+            width = min(3, 32 - len(p))
+            sub = sorted((r["_s"], r["_n"]) for r in (
+                keyed.filter(F.col("_h").startswith(p))
+                .groupBy(F.substring("_h", 1, len(p) + width).alias("_s"))
+                .agg(F.count(F.lit(1)).alias("_n")).collect()))
+            for i, (q, k, _) in list(where.items()):
+                if q != p:
+                    continue
+                before = 0
+                for s_, n_ in sub:
+                    if before < k <= before + n_:
+                        where[i] = (s_, k - before, n_)
+                        break
+                    before += n_
+                else:
+                    raise RuntimeError("The split input changed between its counting passes.")
+    prefixes = sorted({p for p, _, _ in where.values()})
+    prefix = None
+    for p in prefixes:
+        prefix = F.when(F.col("_h").startswith(p), p) if prefix is None else prefix.when(F.col("_h").startswith(p), p)
     wanted = None
-    for b, k in where.values():
-        c = (F.col("_bucket") == b) & (F.col("_r") == k)
+    for p, k, _ in where.values():
+        c = (F.col("_p") == p) & (F.col("_r") == k)
         wanted = c if wanted is None else wanted | c
-    ranked = (keyed.filter(F.col("_bucket").isin(*sorted({b for b, _ in where.values()})))
-              .withColumn("_r", F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", "_id")))
+    ranked = (keyed.withColumn("_p", prefix).filter(F.col("_p").isNotNull())
+              .withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_h", "_id")))
               .filter(wanted)
-              .select("_bucket", "_r", "_h", "_id"))
-    found = {(r["_bucket"], r["_r"]): (r["_h"], r["_id"]) for r in ranked.collect()}
-    for i, (b, k) in where.items():
-        bounds[i] = found[(b, k)]
+              .select("_p", "_r", "_h", "_id"))
+    found = {(r["_p"], r["_r"]): (r["_h"], r["_id"]) for r in ranked.collect()}
+    for i, (p, k, _) in where.items():
+        bounds[i] = found[(p, k)]
     return bounds
 
 
@@ -126,6 +156,7 @@ def deterministic_split(
     labels: Sequence[str] = SPLIT_LABELS,
     split_col: str = "data_split",
     hex_digits: int = 4,
+    max_window_rows: int = 1 << 20,
 ) -> DataFrame:
     """M1: exact-size, repeatable, disjoint train/validation/test labels.
 
@@ -143,7 +174,7 @@ def deterministic_split(
         return [n_test, n_test + n_val]
 
     test_l, val_l, train_l = labels[2], labels[1], labels[0]
-    return _rank_cut(df, identifier, seed, cuts, [test_l, val_l, train_l], split_col, hex_digits)
+    return _rank_cut(df, identifier, seed, cuts, [test_l, val_l, train_l], split_col, hex_digits, max_window_rows)
 
 
 def sample_rows(df: DataFrame, identifier: str, n: int, seed: int = 42, hex_digits: int = 4) -> DataFrame:

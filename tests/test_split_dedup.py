@@ -109,3 +109,13 @@ def test_duplicate_counts(spark):
     ids = dedup.count_duplicate_identifiers(df, "id").first()
     assert (ids.duplicated_identifiers, ids.duplicate_identifier_rows) == (2, 5)
     assert dedup.count_duplicate_rows(df).first().duplicate_rows == 2
+
+
+def test_large_boundary_buckets_are_refined(spark):
+    df = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    plain = {r.k: r.data_split for r in split.deterministic_split(df, "k", hex_digits=1).collect()}
+    refined = {r.k: r.data_split
+               for r in split.deterministic_split(df, "k", hex_digits=1, max_window_rows=3).collect()}
+    assert refined == plain
+    sizes = split.split_sizes(500, (0.64, 0.16, 0.20))
+    assert tuple(sum(1 for v in refined.values() if v == lab) for lab in ("train", "validation", "test")) == sizes
