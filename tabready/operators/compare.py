@@ -10,7 +10,6 @@ are compared in one job; pairs are formed by equi-joins on
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
