@@ -58,3 +58,14 @@ def test_materialized_passes_match(spark, by):
     want = (df.groupBy(*by) if by else df.groupBy()).agg(
         *[F.percentile("v", p).alias(f"q_{p}") for p in (0.5, 0.99)])
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_no_values(spark):
+    from tabready.operators.quantiles import aggregate_with_quantiles
+
+    df = spark.createDataFrame([(1, None), (2, None)], "g int, v double")
+    assert exact_quantiles(df, "v", [0.5]).count() == 0
+    row = aggregate_with_quantiles(df, F.col("v"), [F.count(F.lit(1)).alias("rows")], [0.5], ["med"]).first()
+    assert row["rows"] == 2 and row["med"] is None
+    grouped = aggregate_with_quantiles(df, F.col("v"), [F.count(F.lit(1)).alias("rows")], [0.5], ["med"], ["g"])
+    assert sorted((r.g, r.rows, r.med) for r in grouped.collect()) == [(1, 1, None), (2, 1, None)]
