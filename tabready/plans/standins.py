@@ -17,12 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabready.contract import Contract
-from tabready.operators.dedup import dedup_most_complete
-from tabready.operators.features import add_engineered_features, clean_features, project_model_frame
 from tabready.operators.split import deterministic_split
+from tabready.plans.prepare import clean_table, prepare_table
 from tabready.session import staged
 from tabready.sources.io import read_parquet_table
-from tabready.operators.target import build_target, drop_missing_required, filter_complete_target, filter_identified
 
 # Fixed parameters of the stand-in problems.
 SEED = 42
@@ -70,20 +68,12 @@ def raw_lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
 
 def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw -> target (P10) -> cleaning (P4-P8) -> engineered (P11), before row filters."""
-    c = line_contract()
-    df = build_target(raw_lines(spark, sf_dir, spread=True), c.target, c.components, c.sentinels)
-    df = clean_features(df, c)
-    return add_engineered_features(df, c.engineered)
+    return clean_table(raw_lines(spark, sf_dir, spread=True), line_contract())
 
 
 def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 -> F2 -> F3 -> projection (P12) -> de-duplication."""
-    c = line_contract()
-    df = cleaned_lines(spark, sf_dir)
-    df = drop_missing_required(filter_identified(filter_complete_target(df, c.target), c.identifier),
-                               c.required_features)
-    df = project_model_frame(df, c.features, c.target, c.identifier, prohibited=c.components)
-    return dedup_most_complete(df, c.identifier, c.features)
+    """F1 -> F2 -> F3 -> projection (P12) -> de-duplication (W1) on the cleaned lines."""
+    return prepare_table(raw_lines(spark, sf_dir, spread=True), line_contract())
 
 
 def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
