@@ -41,3 +41,13 @@ def test_profile_counts_and_samples_share_one_shuffle(spark):
     df = profile.column_profile(raw_lines(spark, SF), c.target, c.components, [c.identifier])
     df.collect()
     assert "ReusedExchange" in plan_of(df)
+
+
+def test_spread_only_under_partitioned_scans(spark):
+    from tabready.sources.io import spread_scan
+
+    many = spark.range(0, 1000, numPartitions=16)
+    assert spread_scan(many, min_partitions=8) is many
+    few = spark.range(0, 1000, numPartitions=1)
+    spread = spread_scan(few, min_partitions=8)
+    assert spread.rdd.getNumPartitions() == 8 and spread.count() == 1000
