@@ -10,8 +10,9 @@ plan with a single shuffle (on the identifier):
 
 ``prepare_and_split`` adds the exact-size split (M1).
 ``quality_gate_and_resplit`` applies the target bounds and splits again
-(F6 + M3).  Writing is left to the caller (S5/S6, a new versioned directory),
-so a lost executor re-reads the written table rather than this plan.
+(F6 + M3).  ``export_splits`` relabels for export, gates the table (F9) and
+writes a new versioned directory partitioned by split (S6), so a lost
+executor re-reads the written table rather than this plan.
 """
 
 from __future__ import annotations
@@ -19,12 +20,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabready.contract import Contract
 from tabready.operators.dedup import dedup_most_complete
 from tabready.operators.features import add_engineered_features, clean_features, project_model_frame
+from tabready.operators.gates import validate_split_export
 from tabready.operators.split import deterministic_split, resplit_after_cleaning
 from tabready.operators.target import build_target, drop_missing_required, filter_complete_target, filter_identified
+from tabready.sources.io import write_splits
 
 
 def clean_table(raw: DataFrame, contract: Contract) -> DataFrame:
@@ -63,3 +67,16 @@ def quality_gate_and_resplit(
     lo, hi = contract.target_bounds
     return resplit_after_cleaning(prepared, contract.identifier, contract.target, lo, hi, fractions, seed,
                                   split_col=split_col)
+
+
+def export_splits(split: DataFrame, contract: Contract, base: str, name: str = "export",
+                  split_col: str = "data_split") -> str:
+    """Export labels (``validation`` becomes ``validate``), the F9 checks, then
+    the write.  Raises listing the failed checks, and writes nothing then."""
+    labelled = split.withColumn(split_col, F.when(F.col(split_col) == "validation", "validate")
+                                .otherwise(F.col(split_col)))
+    checks = validate_split_export(labelled, contract.identifier, contract.target, split_col)
+    failed = [r["check_name"] for r in checks.filter(F.col("status") == "FAIL").collect()]
+    if failed:
+        raise ValueError(f"Export checks failed: {', '.join(failed)}.")
+    return write_splits(labelled, base, name, split_col)

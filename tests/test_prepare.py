@@ -42,3 +42,19 @@ def test_split_and_quality_gate(spark):
     assert (counts["train"], counts["validation"], counts["test"]) == split_sizes(42, (0.64, 0.16, 0.20))
     gated = quality_gate_and_resplit(split, contract())
     assert gated.filter(F.col("pid") == "p3").count() == 0 and gated.count() == 41
+
+
+def test_export_splits(spark):
+    import tempfile
+
+    import pytest
+
+    from tabready.plans.prepare import export_splits
+
+    base = tempfile.mkdtemp(prefix="tabready-export-")
+    split = prepare_and_split(raw(spark), contract())
+    back = spark.read.parquet(export_splits(split, contract(), base))
+    assert back.count() == 42
+    assert {r.data_split for r in back.select("data_split").distinct().collect()} == {"train", "validate", "test"}
+    with pytest.raises(ValueError, match="duplicate_identifiers"):
+        export_splits(split.unionByName(split.limit(1)), contract(), base)
