@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +34,40 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors' Python workers, once per application,
+    as they need not share the driver's import path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # the driver serves the file as long as the application runs
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="tabready-package-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, f"tabready-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    z.write(full, os.path.join("tabready", os.path.relpath(full, package)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def on_executors(step: Callable) -> Callable:
+    """A query or stage whose tasks import the package."""
+    @functools.wraps(step)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return step(spark, *args)
+
+    return run
+
+
 def row_key(id_col: str, text_col: str):
     """128 bits that name a row by its id and its text.  Rows that share it are
     equal in both, so an operator decides alike for them."""

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabready.llm import bpe, html_text, quality_rules, url_filter, warc
-from tabready.llm.common import read_table
+from tabready.llm import bpe, decontaminate, html_text, language_id, license_scan, quality_rules, url_filter, warc
+from tabready.llm.common import on_executors, read_table
 
 #: Path rules of the url query.
 URL_RULES = [url_filter.Rule("org", "/", "allow"), url_filter.Rule("example.org", "/es/", "block"),
@@ -19,31 +19,53 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@on_executors
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_filter(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                       "rule")
 
 
+@on_executors
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(read_table(spark, sf_dir, "pages"))
 
 
+@on_executors
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.train(url_filter.seed_labels(spark))
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES, model)
 
 
+@on_executors
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+@on_executors
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_texts(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+@on_executors
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict_language(docs, language_id.train(docs))
+
+
+@on_executors
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@on_executors
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_benchmark_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_html_extraction": op2_html_extraction,
-           "op3_url_filter": op3_url_filter, "op4_warc": op4_warc, "op5_bpe": op5_bpe}
+           "op3_url_filter": op3_url_filter, "op4_warc": op4_warc, "op5_bpe": op5_bpe,
+           "op8_language_id": op8_language_id, "op9_license_scan": op9_license_scan, "op10_decontamination": op10_decontamination}
 
 #: DuckDB SQL where it can express the whole result.
 ORACLES: dict[str, str] = {
