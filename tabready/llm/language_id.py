@@ -293,17 +293,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Crf(languages).fit(spliced([(words, y[lang]) for words, lang in texts if words]))
 
 
+def predictions(model: Crf, texts: list[str | None]) -> list[tuple[str, float]]:
+    """Language and score of each text, some MB at a time."""
+    out: list[tuple[str, float]] = []
+    size = first = 0
+    for k, t in enumerate(texts):
+        size += len(t or "")
+        if size > 1 << 23 or k == len(texts) - 1:
+            out += model.predict(texts[first:k + 1])
+            size, first = 0, k + 1
+    return out
+
+
 def prediction(model: Crf, text: Column) -> Column:
     """``lang_pred`` and ``score`` of a text column, as a struct."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, out, size, first = batch.tolist(), [], 0, 0
-            for k, t in enumerate(texts):  # some MB at a time
-                size += len(t or "")
-                if size > 1 << 23 or k == len(texts) - 1:
-                    out += model.predict(texts[first:k + 1])
-                    size, first = 0, k + 1
-            yield pd.DataFrame(out, columns=["lang_pred", "score"]).astype({"score": "float64"})
+            yield pd.DataFrame(predictions(model, batch.tolist()), columns=["lang_pred", "score"]).astype({"score": "float64"})
 
     return F.pandas_udf(run, "lang_pred string, score double")(text)
 
@@ -326,5 +332,8 @@ def label_runs(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: st
 
 def known_language(docs: DataFrame, model: Crf, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
     """The rows whose language is known with ``min_score`` or more, all columns kept."""
-    p = prediction(model, docs[text_col])
-    return docs.where((p["lang_pred"] != UNKNOWN) & (p["score"] >= min_score))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([s if lang != UNKNOWN else -1.0 for lang, s in predictions(model, batch.tolist())], dtype="float64")
+
+    return docs.where(F.pandas_udf(run, "double")(docs[text_col]) >= min_score)

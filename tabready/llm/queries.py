@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabready.llm import bpe, decontaminate, html_text, jaccard_join, language_id, license_scan, quality_rules, url_filter, warc
+from tabready.llm import bpe, decontaminate, html_text, jaccard_join, language_id, license_scan, quality_rules, repeat_removal, url_filter, warc
 from tabready.llm.common import on_executors, read_table
 
 #: Path rules of the url query.
@@ -52,6 +52,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+@on_executors
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_removal.remove_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @on_executors
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -70,6 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_html_extraction": op2_html_extraction,
            "op3_url_filter": op3_url_filter, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op6_jaccard_join": op6_jaccard_join,
+           "op7_suffix_dedup": op7_suffix_dedup,
            "op8_language_id": op8_language_id, "op9_license_scan": op9_license_scan, "op10_decontamination": op10_decontamination}
 
 #: DuckDB SQL where it can express the whole result.
