@@ -14,8 +14,8 @@ another, so hot sources and copies weigh no more than their rows.
 
 Defined results: case and kind of white space do not matter; null and empty
 texts match nothing; items shorter than ``Q`` characters are no evidence and
-match nothing; repeated rows on either side match each for itself; further
-columns are ignored.
+match nothing; repeated documents match each for itself; of items with the same
+id one match per place is given, the best; further columns are ignored.
 """
 
 from __future__ import annotations

@@ -1,0 +1,13 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture(scope="session", autouse=True)
+def package_on_executors(spark):
+    from tabready.llm.common import ship
+
+    ship(spark)
