@@ -6,6 +6,10 @@ adjacent pairs gives the leftmost pair of lowest rank at its root; each merge
 updates at most three leaves, so a word of n bytes takes O(n log n) steps.
 Words repeat, so a worker keeps the ids of a bounded number of them.
 
+Letters, numbers and cases follow this Python's Unicode tables.  A text with a
+code point that they do not know yet (rare) is cut into words by the tokenizers
+library, whose tables may be newer; merging stays the same.
+
 Defined results: a null text counts as empty and has no ids; the empty text
 decodes to the empty text; text of any length is encoded whole; repeated rows
 get equal results; further columns are ignored.
@@ -24,9 +28,10 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 #: Words whose ids a worker keeps, and the longest word (in characters) it keeps.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+KEPT_WORDS, KEPT_LENGTH = 120_000, 64
 NO_PAIR = 1 << 60
 
 # The word pattern of this vocabulary.
@@ -82,6 +87,7 @@ class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.path = path
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
@@ -140,11 +146,19 @@ class Bpe:
             if k % 2:
                 yield array("I", [self.special[part]]).tobytes(), 1, part
                 continue
-            part = unicodedata.normalize("NFC", part)
-            # str.lower() has a special final sigma; the vocabulary's rule goes letter by letter
-            for word in WORD.findall(part.replace("Σ", "σ").lower()):
+            for word in self.words(part):
                 yield get(word) or make(word)
 
+    def words(self, part: str) -> list[str]:
+        """The normalised words of a text without special tokens."""
+        if not part.isascii() and any(c > "\u024f" and unicodedata.category(c) == "Cn" for c in set(part)):
+            library = library_of(self.path)
+            pre = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(part))
+            byte = {s: b for b, s in enumerate(byte_symbols())}
+            return [bytes(byte[c] for c in word).decode("utf-8") for word, _ in pre]
+        # str.lower() has a special final sigma; the vocabulary's rule goes letter by letter
+        return WORD.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+
     def encode(self, text: str | None) -> list[int]:
         return array("I", b"".join(p[0] for p in self.pieces(text or ""))).tolist()
 
@@ -159,6 +173,11 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+@lru_cache(maxsize=2)
+def library_of(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids, decoded``, one row per input row."""
 

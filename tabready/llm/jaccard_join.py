@@ -72,7 +72,7 @@ def runs_for(threshold: float = THRESHOLD, depth: int = DEPTH, recall: float = T
 class Shingler:
     """Shingle sets of texts; word hashes are kept for a bounded number of words."""
 
-    def __init__(self, kept: int = 500_000):
+    def __init__(self, kept: int = 200_000):
         self.kept, self.words = kept, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
