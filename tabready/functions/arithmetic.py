@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,7 +26,7 @@ def percent_change(new: str | Column, reference: str | Column, strict: bool = Tr
     new, reference = _col(new), _col(reference)
     value = (new - reference) / F.abs(reference) * 100.0
     if strict:
-        return F.when(reference == 0, F.raise_error(F.lit("Reference value cannot be zero."))).otherwise(value)
+        return F.when(reference == 0, F.raise_error(F.lit("percent change from zero"))).otherwise(value)
     return F.when(reference != 0, value)
 
 
@@ -37,3 +39,10 @@ def round_metric(c: str | Column, digits: int = 6) -> Column:
     """Reported precision for floating aggregates (sums and means of floats are
     order-dependent in the last bits, so reports carry a fixed precision)."""
     return F.round(_col(c), digits)
+
+
+def long_form(wide: DataFrame, columns: Mapping[str, str], name: str, value: str) -> DataFrame:
+    """One ``(name, value)`` row per entry of ``columns`` (label -> column of
+    ``wide``); labels are literals, so any text is fine."""
+    pairs = [F.struct(F.lit(label).alias(name), F.col(c).alias(value)) for label, c in columns.items()]
+    return wide.select(F.explode(F.array(*pairs)).alias("_pair")).select("_pair.*")

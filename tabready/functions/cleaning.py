@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values that must equal the reference workflow's behaviour.
 # Text that counts as missing after stripping (exact, case-sensitive match for
@@ -39,6 +40,14 @@ def nan_to_null(c: str | Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL and -0.0 as 0.0 where it is floating (H1)."""
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        c = F.col(f"`{name}`")
+        return F.when(~F.isnan(c), c + F.lit(0.0).cast(df.schema[name].dataType))
+    return F.col(f"`{name}`")
+
+
 def safe_float(c: str | Column) -> Column:
     """Anything non-numeric or NaN becomes NULL."""
     return nan_to_null(_col(c).try_cast("double"))

@@ -45,12 +45,14 @@ def normalize_run_rows(
     before any job runs."""
     missing = [f for f in REQUIRED_RUN_FIELDS if f not in automl_runs.columns]
     if missing:
-        raise ValueError(f"run summaries are missing fields: {missing}")
+        raise ValueError(f"run summaries lack the fields {missing}")
     out = _uniform(automl_runs, True)
     if baseline_runs is not None:
         if "models" not in baseline_runs.columns:
-            raise ValueError("Baseline summary must contain a non-empty models list.")
-        models = baseline_runs.select(EXP, F.explode("models").alias("m")).select(
+            raise ValueError("the baseline summary has no models column")
+        filled = F.when(F.coalesce(F.size("models"), F.lit(0)) > 0, F.lit(True)).otherwise(
+            F.raise_error(F.lit("a baseline summary lists no models")).cast("boolean"))
+        models = baseline_runs.filter(filled).select(EXP, F.explode("models").alias("m")).select(
             EXP, "m.*"
         ).withColumnRenamed("model_name", "best_model")
         out = out.unionByName(_uniform(models, False, F.lit(baseline_platform)))
@@ -72,7 +74,7 @@ def rank_runs(runs: DataFrame) -> DataFrame:
     for c in ("validation_rmse", "test_rmse", "test_r2", "training_seconds", "prediction_seconds"):
         any_null = any_null | F.col(c).isNull()
     out = runs.withColumn(
-        "_checked", F.when(any_null, F.raise_error(F.lit("run metrics must be numeric"))).otherwise(F.lit(1))
+        "_checked", F.when(any_null, F.raise_error(F.lit("a run lacks a metric"))).otherwise(F.lit(1))
     )
     for name, order in specs.items():
         out = out.withColumn(name, (F.rank().over(w.orderBy(order)) * F.col("_checked")).cast("int"))
@@ -83,18 +85,16 @@ def compare_to_baseline(runs: DataFrame, baseline_model: str = "RandomForestRegr
     """Every run against its experiment's single baseline (non-AutoML) row: percent
     change of validation RMSE, test RMSE, MAE and R^2 (R^2 change is NULL
     when the baseline R^2 is 0).  Not exactly one baseline row fails."""
-    base = runs.filter((F.col("best_model") == baseline_model) & ~F.col("is_automl")).select(
-        EXP,
-        *[F.col(c).alias(f"_b_{c}") for c in ("validation_rmse", "test_rmse", "test_mae", "test_r2")],
-        F.count(F.lit(1)).over(Window.partitionBy(EXP)).alias("_b_n"),
+    base = runs.filter((F.col("best_model") == baseline_model) & ~F.col("is_automl")).groupBy(EXP).agg(
+        *[F.max(c).alias(f"_b_{c}") for c in ("validation_rmse", "test_rmse", "test_mae", "test_r2")],
+        F.count(F.lit(1)).alias("_b_n"),
     )
-    joined = runs.join(base, EXP, "left")
-    guard = F.when(F.coalesce(F.col("_b_n"), F.lit(0)) != 1,
-                   F.raise_error(F.lit(f"Exactly one {baseline_model} baseline is required.")))
-    out = joined.select(
+    # a filter that raises: no choice of output columns prunes it
+    single = F.when(F.coalesce(F.col("_b_n"), F.lit(0)) == 1, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"an experiment needs one {baseline_model} row to compare with")).cast("boolean"))
+    out = runs.join(base, EXP, "left").filter(single).select(
         *runs.columns,
-        guard.otherwise(percent_change("validation_rmse", "_b_validation_rmse")).alias(
-            "validation_rmse_change_vs_baseline_percent"),
+        percent_change("validation_rmse", "_b_validation_rmse").alias("validation_rmse_change_vs_baseline_percent"),
         percent_change("test_rmse", "_b_test_rmse").alias("test_rmse_change_vs_baseline_percent"),
         percent_change("test_mae", "_b_test_mae").alias("test_mae_change_vs_baseline_percent"),
         percent_change("test_r2", "_b_test_r2", strict=False).alias("test_r2_change_vs_baseline_percent"),
@@ -189,6 +189,6 @@ def build_recommendation(runs: DataFrame, tolerance_percent: float = 2.0) -> Dat
             "training_time_change_percent")]), EXP, "left")
     )
     status = F.when(F.col("_automl_runs") == 0,
-                    F.raise_error(F.lit("At least one AutoML result is required."))).otherwise(F.lit("PASS"))
+                    F.raise_error(F.lit("no experiment run to recommend from"))).otherwise(F.lit("PASS"))
     return out.withColumn("status", status).withColumn(
         "reduced_feature_tolerance_percent", F.lit(float(tolerance_percent))).drop("_automl_runs")

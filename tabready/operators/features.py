@@ -15,29 +15,21 @@ from tabready.functions.cleaning import clean_categorical, null_non_positive, nu
 def synthesize_identifier(df: DataFrame, name: str = "row_id", columns: Sequence[str] | None = None) -> DataFrame:
     """A deterministic identifier when the table has none.
 
-    ``row_<md5 of the row>`` plus an ordinal among identical rows; unlike
-    ``monotonically_increasing_id`` it does not change with partitioning.
-    Identical rows may hold a large share of the table, so the ordinal is
-    built per (hash, input partition): counts per pair are aggregated, their
-    running offsets computed over that small table, and rows numbered inside
-    their own partition only.  Which copy gets which ordinal is arbitrary,
-    but copies are identical, so the output is the same on every run.
+    ``row_<md5 of the row>_<ordinal>``; the ordinal numbers identical rows.  One
+    aggregate counts each distinct row (partial counts, so a row that fills a
+    third of the table is one buffer per task) and its copies are generated
+    from that count: no row is numbered twice or lost, whatever the
+    partitioning or retries, and no window sees a hot row's copies.
     """
     cols = list(columns) if columns else df.columns
-    keyed = df.withColumn("_h", F.md5(F.to_json(F.struct(*[F.col(c) for c in cols])))).withColumn(
-        "_part", F.spark_partition_id()
-    )
-    offsets = (
-        keyed.groupBy("_h", "_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.sum("_n").over(Window.partitionBy("_h").orderBy("_part")) - F.col("_n"))
-    )
-    rn = F.row_number().over(Window.partitionBy("_h", "_part").orderBy("_h"))
-    return (
-        keyed.join(offsets, ["_h", "_part"])
-        .withColumn(name, F.concat(F.lit("row_"), F.col("_h"), F.lit("_"), (F.col("_offset") + rn - 1).cast("string")))
-        .drop("_h", "_part", "_n", "_offset")
-    )
+    content = F.md5(F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}))
+    counted = df.withColumn("_h", content).groupBy("_h", *df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    # rows that agree in ``columns`` only share a hash: their ordinals follow each other
+    others = Window.partitionBy("_h").orderBy(*df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.lit(0).cast("long") if set(cols) == set(df.columns) else F.coalesce(F.sum("_n").over(others), F.lit(0))
+    return (counted.withColumn("_first", first)
+            .select(*df.columns, "_h", "_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("_k"))
+            .select(*df.columns, F.concat(F.lit("row_"), "_h", F.lit("_"), (F.col("_first") + F.col("_k")).cast("string")).alias(name)))
 
 
 def clean_features(df: DataFrame, contract: Contract) -> DataFrame:

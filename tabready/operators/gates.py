@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabready.functions.arithmetic import long_form
+from tabready.functions.cleaning import present
 from tabready.sources.io import dataset_fingerprint
 
 EXPORT_LABELS = ("train", "validate", "test")
 
 
 def _checks(agg: DataFrame, names: Sequence[str]) -> DataFrame:
-    stack = ", ".join(f"'{n}', `{n}`" for n in names)
-    return agg.selectExpr(f"stack({len(names)}, {stack}) as (check_name, violations)").withColumn(
+    return long_form(agg, {n: n for n in names}, "check_name", "violations").withColumn(
         "status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))
 
 
@@ -34,11 +35,11 @@ def validate_modeling_table(
         raise ValueError(f"Missing required columns: {missing}")
     leaking = sorted(set(features) & set([identifier, target, *prohibited]))
     if leaking:
-        raise ValueError(f"Prohibited model features detected: {leaking}")
+        raise ValueError(f"features that leak the target or name the row: {leaking}")
     agg = df.agg(
         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("non_empty"),
-        F.count_if(F.col(target).isNull()).alias("target_present"),
-        F.count_if(F.col(identifier).isNull()).alias("identifier_present"),
+        F.count_if(present(df, target).isNull()).alias("target_present"),
+        F.count_if(present(df, identifier).isNull()).alias("identifier_present"),
     )
     return _checks(agg, ["non_empty", "target_present", "identifier_present"])
 
@@ -51,7 +52,7 @@ def validate_split_export(
     identifiers and the exact label set, in two aggregates."""
     per_id = df.groupBy(identifier).agg(
         F.count(F.lit(1)).alias("_n"), F.count_distinct(split_col).alias("_s"),
-        F.count_if(F.col(target).isNull()).alias("_t"),
+        F.count_if(present(df, target).isNull()).alias("_t"),
     )
     labels = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("_rows"))
     lab = labels.agg(
@@ -128,7 +129,3 @@ def drop_null_metric_rows(lb: DataFrame, columns: Sequence[str]) -> DataFrame:
     """ignore models without timing."""
     return lb.dropna(subset=list(columns))
 
-
-def require(condition: Column, message: str) -> Column:
-    """A lazy assertion: the query fails with ``message`` where ``condition`` is false."""
-    return F.when(~condition, F.raise_error(F.lit(message))).otherwise(F.lit(True))

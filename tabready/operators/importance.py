@@ -1,15 +1,18 @@
 """Feature importance (L10 permutation importance, L11 model importance).
 
-Permutation importance is one Spark job over a bounded validation sample:
-the sample is exploded to (feature, repeat) copies; in each copy the
-feature's values are permuted by joining every row to the donor row whose
-hash rank equals its own position (an equi-join on rank, partitioned by
-feature and repeat); all copies are scored in a single pass and the RMSE
-increase is aggregated per (feature, repeat), then per feature.
+Permutation importance is one Spark job over the whole frame: rows are exploded
+to (feature, repeat) copies; in each copy the feature's values are permuted by
+joining every row to the donor row whose hash rank equals its own position (an
+equi-join on rank, partitioned by feature and repeat); all copies are scored in
+a single pass and the RMSE increase is aggregated per (feature, repeat), then
+per feature.  Ranks come from hash buckets: a window numbers the rows of one
+bucket, and the bucket's offset is a running sum over the small table of bucket
+counts, so no window holds more than about ``BUCKET_ROWS`` rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -19,6 +22,18 @@ from tabready.functions.arithmetic import round_metric
 from tabready.session import ensure_checkpoint_dir
 
 Scorer = Callable[[DataFrame], DataFrame]
+BUCKET_ROWS = 1 << 16
+
+
+def hash_ranks(df: DataFrame, by: Sequence[str], key: str, tie: str, name: str, digits: int) -> DataFrame:
+    """Add the 1-based rank by ``(key, tie)`` within ``by``; ``key`` is hex text."""
+    cut = df.withColumn("_bucket", F.substring(key, 1, digits))
+    counts = cut.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(key, tie))
+    return cut.withColumn("_own", own).join(offsets, [*by, "_bucket"]).withColumn(
+        name, F.col("_before") + F.col("_own")).drop("_bucket", "_own", "_before")
 
 
 def permutation_importance(
@@ -29,32 +44,33 @@ def permutation_importance(
     identifier: str,
     repeats: int = 3,
     seed: int = 42,
+    sample_size: int | None = None,
 ) -> DataFrame:
     """Mean and (population) standard deviation over ``repeats`` of
     ``RMSE(permuted) - RMSE(original)`` for every feature.
 
-    ``sample`` must be bounded (the reference uses at most 3,000 or 5,000
-    validation rows, see ``split.sample_rows``); ``scorer`` adds a
-    ``predicted`` column to any frame with the feature columns.
+    All rows of ``sample`` are scored; ``sample_size`` asks for a repeatable
+    sample of that many rows instead.  ``scorer`` adds a ``predicted`` column to
+    any frame with the feature columns.
     """
+    if sample_size is not None:
+        from tabready.operators.split import sample_rows
+
+        sample = sample_rows(sample, identifier, sample_size, seed)
     ident = F.col(identifier).cast("string")
     combos = F.array(*[F.struct(F.lit(f).alias("_feature"), F.lit(r).alias("_repeat"))
                        for f in features for r in range(1, repeats + 1)])
-    base = sample.select(identifier, target, *features)
-    # the original position of each row: hash order, one window over the
-    # bounded sample, checkpointed (reliably, to spark.checkpoint.dir) because
-    # four branches of the plan read it
+    # checkpointed (reliably, to spark.checkpoint.dir) because four branches of the plan read it
     ensure_checkpoint_dir(sample.sparkSession)
-    positioned = base.withColumn(
-        "_pos", F.row_number().over(Window.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), ident)), ident))
-    ).checkpoint(eager=True)
+    base = sample.select(identifier, target, *features)
+    digits = max(1, math.ceil(math.log(max(base.count(), 1) / BUCKET_ROWS + 1, 16)))
+    keyed = base.withColumns({"_id": ident, "_all": F.lit(0), "_key": F.md5(F.concat(F.lit(f"{seed}:"), ident))})
+    positioned = hash_ranks(keyed, ["_all"], "_key", "_id", "_pos", digits).drop("_all", "_key", "_id").checkpoint(eager=True)
     copies = positioned.select("*", F.explode(combos).alias("_c")).select("*", "_c._feature", "_c._repeat").drop("_c")
     perm_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_feature"), F.col("_repeat").cast("string"), ident))
-    donors = copies.select(
-        "_feature", "_repeat",
-        F.row_number().over(Window.partitionBy("_feature", "_repeat").orderBy(perm_key, ident)).alias("_pos"),
-        F.struct(*[F.col(f) for f in features]).alias("_donor"),
-    )
+    keyed = copies.select("_feature", "_repeat", perm_key.alias("_key"), ident.alias("_id"),
+                          F.struct(*[F.col(f) for f in features]).alias("_donor"))
+    donors = hash_ranks(keyed, ["_feature", "_repeat"], "_key", "_id", "_pos", digits).drop("_key", "_id")
     permuted = copies.join(donors, ["_feature", "_repeat", "_pos"]).withColumns(
         {f: F.when(F.col("_feature") == f, F.col("_donor")[f]).otherwise(F.col(f)) for f in features}
     ).drop("_donor", "_pos")
@@ -105,4 +121,4 @@ def model_importance(spark, ranked_models: Sequence[tuple[str, object]], attrs,
             continue
         rows = [(name, v, w) for v, w in fold_vector_importance(imp.toArray(), attrs, sources)]
         return spark.createDataFrame(rows, "model string, variable string, relative_importance double")
-    raise RuntimeError(f"No checked model exposed variable importance. Checked models: {checked}.")
+    raise RuntimeError(f"none of the models {checked} has importances")

@@ -22,14 +22,14 @@ def _w(by: Sequence[str]):
 def normalize_score_leaderboard(lb: DataFrame) -> DataFrame:
     """Higher-is-better ``score_val`` / ``score_test`` to positive RMSE columns."""
     if "model" not in lb.columns:
-        raise ValueError("Leaderboard is missing the model column.")
+        raise ValueError("a leaderboard needs a model column")
     out = lb
     if "score_val" in lb.columns:
         out = out.withColumn("validation_rmse", negated_score_to_error("score_val"))
     if "score_test" in lb.columns:
         out = out.withColumn("test_rmse", negated_score_to_error("score_test"))
     if "validation_rmse" not in out.columns:
-        raise ValueError("Leaderboard is missing score_val.")
+        raise ValueError("a leaderboard needs a score_val column")
     return out
 
 
@@ -45,7 +45,7 @@ def rank_leaderboard(
     rank = F.row_number().over(w.orderBy(s.asc_nulls_last(), F.col(name)))
     return lb.withColumn(score, s).withColumn(
         rank_col,
-        F.when(numeric == 0, F.raise_error(F.lit("Leaderboard contains no numeric RMSE values."))).otherwise(rank),
+        F.when(numeric == 0, F.raise_error(F.lit("no leaderboard row has a number as its score"))).otherwise(rank),
     )
 
 
@@ -62,7 +62,7 @@ def select_speed_column(columns: Sequence[str], options: Sequence[str] = ("fit_t
     for c in options:
         if c in columns:
             return c
-    raise ValueError("Leaderboard does not contain a model fit-time column.")
+    raise ValueError("no column of the leaderboard holds fit times")
 
 
 def top_models_by_speed(
@@ -101,7 +101,7 @@ def rank_importance(imp: DataFrame, by: Sequence[str] = (), feature: str | None
     feature = feature or ("variable" if "variable" in imp.columns else imp.columns[0])
     col = next((c for c in IMPORTANCE_COLUMNS if c in imp.columns), None)
     if col is None:
-        raise ValueError("No supported importance column was found.")
+        raise ValueError("the table has no importance column that is known here")
     v = F.col(col).try_cast("double")
     out = imp.withColumn("variable", F.trim(F.col(feature).cast("string"))).withColumn(col, v).filter(
         F.col(col).isNotNull()
@@ -135,7 +135,7 @@ def top_features(
     return out.withColumn(
         "top_features",
         F.when(F.size("top_features") != k,
-               F.raise_error(F.concat(F.lit(f"Expected {k} top features, found "),
-                                      F.size("top_features").cast("string"), F.lit(".")))).otherwise(
+               F.raise_error(F.concat(F.lit(f"{k} top features are asked for, found "),
+                                      F.size("top_features").cast("string"), F.lit("")))).otherwise(
             F.col("top_features")),
     )

@@ -26,12 +26,12 @@ def regression_metrics(
     """
     e = residual(actual, predicted)
     checked = F.when(F.col(actual).isNull() | F.col(predicted).isNull(),
-                     F.raise_error(F.lit("Actual and predicted values must both be present."))).otherwise(e)
+                     F.raise_error(F.lit("a prediction row lacks its actual or predicted value"))).otherwise(e)
     agg = preds.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"),
+        F.count(checked).alias("rows"),
         F.sum(checked * checked).alias("_sse"),
-        F.avg(F.abs(e)).alias("_mae"),
-        F.var_pop(F.col(actual)).alias("_var"),
+        F.avg(F.abs(checked)).alias("_mae"),
+        F.var_pop(F.when(checked.isNotNull(), F.col(actual))).alias("_var"),
     )
     sst = F.col("_var") * F.col("rows")
     r2 = F.when(sst > 0, 1 - F.col("_sse") / sst).when(F.col("_sse") == 0, 1.0).otherwise(0.0)

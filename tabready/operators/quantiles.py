@@ -7,81 +7,96 @@ histogram narrowing:
 
 1. one aggregate gives ``n``, ``min`` and ``max`` per group; each probability
    ``p`` needs the values at ranks ``floor((n-1)p)`` and ``ceil((n-1)p)``;
-2. each pass buckets the values inside every unresolved rank's current
-   interval into at most ``buckets`` equal-width buckets (a partial
-   aggregate: at most ``buckets`` rows per rank leave the map side), finds
-   the bucket holding the rank and shrinks the interval to that bucket's
-   ``[min, max]``; a bucket whose min equals its max resolves the rank, so a
-   value that fills a third of the table resolves at once;
-3. once an interval holds at most ``final_rows`` values they are ranked with
-   a window partitioned by (group, interval) -- bounded work per task (a
-   window sort spills, so about a million doubles per task is cheap and
-   safe); ranks sharing an interval share one sort.  A group that holds at
-   most ``final_rows`` values from the start skips step 2, so small inputs
-   cost one aggregate and one bounded window.
-
-Grouped quantiles keep the per-(group, rank) state as a small checkpointed
-table joined to the values on the group keys.  Ungrouped ones keep their few
-ranks (two per probability) on the driver and select interval rows with
-literal bounds, so nothing is joined on a constant key.  Passes re-read the
-input; ``materialize=True`` checkpoints the value column first for an input
-that is expensive to recompute.  ``aggregate_with_quantiles`` takes ``n``,
-``min`` and ``max`` from the caller's own aggregate pass.
-
-The interval shrinks by the bucket count per pass, so doubles resolve in a
-few passes.  The result equals Spark's ``percentile`` (same interpolation,
-``(hi - pos) * v_lo + (pos - lo) * v_hi``).
+2. each pass buckets the values inside every unresolved rank's interval -- by
+   sign and binary exponent where the interval spans several, by equal width
+   within one -- with a partial aggregate, finds the bucket that holds the rank
+   and shrinks the interval to that bucket's ``[min, max]``.  A bucket whose
+   min equals its max resolves the rank, so a value that fills a third of the
+   table resolves at once.  The smallest and largest value of an interval never
+   share a bucket, so every pass makes progress, and one exponent holds 2^52
+   doubles, so a handful of passes ends it for any input, infinities included;
+3. an interval of at most ``final_rows`` values is ranked with a window
+   partitioned by (group, interval): bounded work per task.
+
+A group of more than ``final_rows`` values is never hashed on its key: the
+ranks of such groups (there are at most rows / ``final_rows`` of them) are
+broadcast in slices of ``STATE_GROUPS`` groups and the values are selected on
+the map side.  Only groups that fit one bounded window go there whole.
+
+NaN counts as missing.  Passes re-read the input; ``materialize=True``
+checkpoints the value column first for an input that is expensive to recompute.
+``aggregate_with_quantiles`` takes ``n``, ``min`` and ``max`` from the caller's
+own aggregate pass.  The result equals Spark's ``percentile`` (same
+interpolation, ``(hi - pos) * v_lo + (pos - lo) * v_hi``).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabready.functions.cleaning import nan_to_null
 from tabready.session import ensure_checkpoint_dir
 
+BUCKETS, FINAL_ROWS = 4096, 1 << 20
+#: Large groups whose ranks are broadcast at a time.
+STATE_GROUPS = 50_000
+SMALLEST = 5e-324
+
+
+def _octave(x: Column) -> Column:
+    """Sign and binary exponent as one number that grows with ``x``."""
+    exponent = F.when(F.abs(x) == float("inf"), 3000).otherwise(F.floor(F.log2(F.abs(x))) + 1100)
+    return F.when(x == 0, 0).otherwise(F.signum(x) * exponent).cast("long")
+
+
+def _bucket(v: Column, lo: Column, hi: Column, buckets: int) -> Column:
+    """Monotone in ``v``; the ends of an interval get different buckets."""
+    width = F.greatest((hi - lo) / buckets, F.lit(SMALLEST))
+    return (F.when(_octave(lo) != _octave(hi), _octave(v))
+            .otherwise(F.least(F.floor((v - lo) / width), F.lit(buckets - 1))))
+
+
+def _join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner", broadcast: bool = False) -> DataFrame:
+    """Join on ``by``, null keys included; the columns of ``left`` stay."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by])
+    out = left.join(F.broadcast(named) if broadcast else named, on, how)
+    return out.drop(*[f"_r_{c}" for c in by]) if how in ("inner", "left") else out
+
 
 def _targets(stats: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
     pos = (F.col("_n") - 1) * F.col("_p")
     per_p = stats.select(*by, "_n", "_lo", "_hi", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
-    ranks = per_p.select(*by, "_lo", "_hi", F.explode(F.array_distinct(F.array(
+    ranks = per_p.select(*by, "_n", "_lo", "_hi", F.explode(F.array_distinct(F.array(
         F.floor(pos), F.ceil(pos)))).alias("_rank"))
     return ranks.distinct().select(
-        *by, "_rank", F.col("_lo"), F.col("_hi"), F.lit(0).cast("long").alias("_base"),
+        *by, "_rank", "_lo", "_hi", F.lit(0).cast("long").alias("_base"), F.col("_n").alias("_c"),
         F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_value"),
     )
 
 
-def _with_final(targets: DataFrame, stats: DataFrame, by: Sequence[str], final_rows: int) -> DataFrame:
-    """A group of at most ``final_rows`` values goes straight to the ranking step."""
-    small = stats.select(*by, (F.col("_n") <= final_rows).alias("_final"))
-    return targets.join(small, list(by))
-
-
-def _narrow(values: DataFrame, state: DataFrame, by: Sequence[str], buckets: int, final_rows: int) -> DataFrame:
-    """One histogram pass over the unresolved ranks."""
-    active = state.filter(F.col("_value").isNull() & ~F.col("_final"))
-    done = state.filter(F.col("_value").isNotNull() | F.col("_final"))
+def _narrow(values: DataFrame, state: DataFrame, by: Sequence[str], buckets: int, open_rank: Column) -> DataFrame:
+    """One histogram pass over the open ranks; ``state`` is broadcast."""
+    active = state.filter(open_rank)
     v = F.col("_v")
-    width = (F.col("_hi") - F.col("_lo")) / buckets
-    bucket = F.least(F.floor((v - F.col("_lo")) / width), F.lit(buckets - 1))
-    hist = (values.join(active, list(by))
+    hist = (_join(values, active.drop("_c", "_value"), by, broadcast=True)
             .filter(v.between(F.col("_lo"), F.col("_hi")))
-            .groupBy(*by, "_rank", "_base", bucket.alias("_b"))
+            .groupBy(*by, "_rank", "_base", _bucket(v, F.col("_lo"), F.col("_hi"), buckets).alias("_b"))
             .agg(F.count(F.lit(1)).alias("_c"), F.min(v).alias("_bmin"), F.max(v).alias("_bmax")))
-    # at most `buckets` rows per (group, rank): a bounded window
+    # some thousand buckets per (group, rank) at most: a bounded window
     w = Window.partitionBy(*by, "_rank").orderBy("_b")
     cum = hist.withColumn("_before", F.col("_base") + F.sum("_c").over(w) - F.col("_c"))
     hit = cum.filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_c")))
     nxt = hit.select(
-        *by, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), F.col("_before").alias("_base"),
+        *by, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), F.col("_before").alias("_base"), "_c",
         F.when(F.col("_bmin") == F.col("_bmax"), F.col("_bmin")).alias("_value"),
-        (F.col("_c") <= final_rows).alias("_final"),
     )
-    return done.unionByName(nxt)
+    return state.filter(~open_rank).unionByName(nxt)
 
 
 def exact_quantiles(
@@ -89,13 +104,12 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    buckets: int = 4096,
-    final_rows: int = 1 << 20,
-    max_passes: int = 24,
+    buckets: int = BUCKETS,
+    final_rows: int | None = None,
     names: Sequence[str] | None = None,
     materialize: bool = False,
 ) -> DataFrame:
-    """Exact interpolated quantiles of ``value`` per group (NULLs ignored).
+    """Exact interpolated quantiles of ``value`` per group (NULL and NaN ignored).
 
     Returns one row per group with one column per probability (named
     ``names`` or ``q_<p>``); groups without values are absent, so join the
@@ -108,16 +122,16 @@ def exact_quantiles(
     """
     names = list(names) if names else [f"q_{p}" for p in probs]
     by = list(by)
-    values = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    values = df.select(*by, nan_to_null(value).alias("_v")).filter(F.col("_v").isNotNull())
     stat_cols = [F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
     if not by:
         n, lo, hi = values.agg(*stat_cols).first()
-        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes, materialize)
+        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, materialize)
         rows = [] if n == 0 else [tuple(qs)]
         return df.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` double" for c in names))
     # one row per group, checkpointed: the only full pass when groups are small
     stats = values.groupBy(*by).agg(*stat_cols).checkpoint(eager=True)
-    return _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes, materialize)
+    return _quantiles(values, stats, by, probs, names, buckets, final_rows, materialize)
 
 
 def _interpolate(n: int, p: float, at: dict[int, float]) -> float:
@@ -146,11 +160,12 @@ def _intervals(values: DataFrame, intervals: Sequence[tuple[float, float]]) -> D
 
 def _global_quantiles(
     values: DataFrame, n: int, lo: float | None, hi: float | None, probs: Sequence[float],
-    buckets: int, final_rows: int, max_passes: int, materialize: bool,
+    buckets: int, final_rows: int | None, materialize: bool,
 ) -> list[float | None]:
     """The ungrouped case: the state is at most two ranks per probability, so
-    it lives on the driver; each pass returns at most ``buckets`` rows per
+    it lives on the driver; each pass returns some thousand rows per
     unresolved interval."""
+    final_rows = FINAL_ROWS if final_rows is None else final_rows
     if n == 0:
         return [None] * len(probs)
     ranks = sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
@@ -159,10 +174,7 @@ def _global_quantiles(
     pending = lambda: {(st[0], st[1]) for st in state.values() if st[4] is None and st[3] > final_rows}
     if materialize and pending():
         values = values.checkpoint(eager=True)
-    for _ in range(max_passes):
-        spans = sorted(pending())
-        if not spans:
-            break
+    while spans := sorted(pending()):
         rows = _histograms(values, spans, buckets)
         for r, st in state.items():
             if st[4] is not None or st[3] <= final_rows:
@@ -195,11 +207,10 @@ def _global_quantiles(
 
 def _histograms(values: DataFrame, spans: Sequence[tuple[float, float]], buckets: int) -> list[list[tuple]]:
     """Per interval, ``(min, max, count)`` of each non-empty equal-width bucket
-    in bucket order -- at most ``buckets`` rows per interval reach the driver."""
+    in bucket order -- some thousand rows per interval at most reach the driver."""
     iv = _intervals(values, spans)
     his = F.element_at(F.array(*[F.lit(float(hi)) for _, hi in spans]), F.col("_iv") + 1)
-    width = (his - F.col("_lo")) / buckets
-    b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(buckets - 1))
+    b = _bucket(F.col("_v"), F.col("_lo"), his, buckets)
     rows = (iv.groupBy("_iv", b.alias("_b"))
             .agg(F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"), F.count(F.lit(1)).alias("_c"))
             .collect())
@@ -211,40 +222,37 @@ def _histograms(values: DataFrame, spans: Sequence[tuple[float, float]], buckets
 
 def _quantiles(
     values: DataFrame, stats: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str],
-    buckets: int, final_rows: int, max_passes: int, materialize: bool,
+    buckets: int, final_rows: int | None, materialize: bool,
 ) -> DataFrame:
     """``values``: ``by`` + non-NULL double ``_v``; ``stats``: ``by`` + ``_n``,
     ``_lo``, ``_hi`` of the same values (groups with ``_n > 0`` only)."""
     ensure_checkpoint_dir(values.sparkSession)
-    state = _with_final(_targets(stats, by, probs), stats, by, final_rows)
-    unresolved = F.col("_value").isNull() & ~F.col("_final")
-    if not state.filter(unresolved).isEmpty():
-        # narrowing passes re-read the values; an expensive input is
-        # materialised once (reliably, in spark.checkpoint.dir)
-        if materialize:
-            values = values.checkpoint(eager=True)
-        for _ in range(max_passes):
-            state = _narrow(values, state, by, buckets, final_rows).checkpoint(eager=True)
-            if state.filter(unresolved).isEmpty():
-                break
-    # bounded residue: rank the remaining values inside each small interval
-    # ranks that share an interval (all of a small group's ranks) share one sort
-    pending = state.filter(F.col("_value").isNull()).groupBy(*by, "_lo", "_hi", "_base") \
-        .agg(F.collect_set("_rank").alias("_ranks"))
-    ranked = (values.join(pending, by)
-              .filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-              .withColumn("_rank", F.col("_base") - 1 + F.row_number().over(
-                  Window.partitionBy(*by, "_lo", "_hi").orderBy("_v")))
-              .filter(F.array_contains("_ranks", F.col("_rank")))
-              .select(*by, "_rank", F.col("_v").alias("_value")))
-    found = state.filter(F.col("_value").isNotNull()).select(*by, "_rank", "_value").unionByName(ranked)
+    final_rows = FINAL_ROWS if final_rows is None else final_rows
+    large = stats.filter(F.col("_n") > final_rows)
+    slices = -(-large.count() // STATE_GROUPS)
+    if slices and materialize:
+        # an expensive input is written once (reliably, in spark.checkpoint.dir)
+        values = values.checkpoint(eager=True)
+    # groups that fit a window are ranked there, sharing one sort for all their ranks
+    few = _targets(stats.filter(F.col("_n") <= final_rows), by, probs)
+    rest = values
+    for k in range(slices):
+        rest = _join(rest, _slice(large, by, slices, k).select(*by), by, "left_anti", broadcast=True)
+    found = _resolved(few).unionByName(_ranked(rest, few, by, broadcast=False))
+    open_rank = F.col("_value").isNull() & (F.col("_c") > final_rows)
+    for k in range(slices):
+        state = _targets(_slice(large, by, slices, k), by, probs)
+        while not state.filter(open_rank).isEmpty():
+            state = _narrow(values, state, by, buckets, open_rank).checkpoint(eager=True)
+        found = found.unionByName(_resolved(state)).unionByName(_ranked(values, state, by, broadcast=True))
+    found = found.select(*by, "_rank", "_value")
     # interpolate exactly as Spark's percentile does
     pos = (F.col("_n") - 1) * F.col("_p")
     per_p = stats.select(*by, "_n", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_k", "_p")) \
         .withColumn("_r0", F.floor(pos)).withColumn("_r1", F.ceil(pos)).withColumn("_pos", pos)
     lo = found.select(*by, F.col("_rank").alias("_r0"), F.col("_value").alias("_v0"))
     hi = found.select(*by, F.col("_rank").alias("_r1"), F.col("_value").alias("_v1"))
-    q = (per_p.join(lo, [*by, "_r0"]).join(hi, [*by, "_r1"])
+    q = (_join(_join(per_p, lo, [*by, "_r0"]), hi, [*by, "_r1"])
          .withColumn("_q", F.when(F.col("_r0") == F.col("_r1"), F.col("_v0"))
                      .when(F.col("_v0") == F.col("_v1"), F.col("_v0"))
                      .otherwise((F.col("_r1") - F.col("_pos")) * F.col("_v0")
@@ -252,10 +260,30 @@ def _quantiles(
     return q.groupBy(*by).agg(*[F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
 
 
+def _slice(groups: DataFrame, by: Sequence[str], slices: int, k: int) -> DataFrame:
+    return groups.filter(F.pmod(F.xxhash64(*by), F.lit(slices)) == k)
+
+
+def _resolved(state: DataFrame) -> DataFrame:
+    return state.filter(F.col("_value").isNotNull())
+
+
+def _ranked(values: DataFrame, state: DataFrame, by: Sequence[str], broadcast: bool) -> DataFrame:
+    """The rest of ``state``: rank the values inside each bounded interval.
+    Ranks that share an interval share one sort."""
+    pending = (state.filter(F.col("_value").isNull()).groupBy(*by, "_lo", "_hi", "_base")
+               .agg(F.collect_set("_rank").alias("_ranks")))
+    inside = _join(values, pending, by, broadcast=broadcast).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    ranked = (inside.withColumn("_rank", F.col("_base") - 1 + F.row_number().over(
+                  Window.partitionBy(*by, "_lo", "_hi").orderBy("_v")))
+              .filter(F.array_contains("_ranks", F.col("_rank"))))
+    nothing = F.lit(0).cast("long")
+    return ranked.select(*by, "_rank", "_lo", "_hi", "_base", nothing.alias("_c"), F.col("_v").alias("_value"))
+
+
 def aggregate_with_quantiles(
     df: DataFrame, value: Column, aggs: Sequence[Column], probs: Sequence[float], names: Sequence[str],
-    by: Sequence[str] = (), buckets: int = 4096, final_rows: int = 1 << 20, max_passes: int = 24,
-    materialize: bool = False,
+    by: Sequence[str] = (), buckets: int = BUCKETS, final_rows: int | None = None, materialize: bool = False,
 ) -> DataFrame:
     """``df.groupBy(by).agg(*aggs)`` (or a one-row global aggregate) plus exact
     quantile columns of ``value``.
@@ -265,16 +293,16 @@ def aggregate_with_quantiles(
     bounded ranking pass.
     """
     by = list(by)
-    v = value.cast("double")
+    v = nan_to_null(value)
     stat_cols = [F.count(v).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi")]
     values = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull())
     if not by:
         full = df.agg(*aggs, *stat_cols).checkpoint(eager=True)
         n, lo, hi = full.select("_n", "_lo", "_hi").first()
-        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, max_passes, materialize)
+        qs = _global_quantiles(values, n, lo, hi, probs, buckets, final_rows, materialize)
         return full.drop("_n", "_lo", "_hi").withColumns(
             {name: F.lit(q).cast("double") for name, q in zip(names, qs)})
     full = df.groupBy(*by).agg(*aggs, *stat_cols).checkpoint(eager=True)
     stats = full.filter(F.col("_n") > 0).select(*by, "_n", "_lo", "_hi")
-    q = _quantiles(values, stats, by, probs, names, buckets, final_rows, max_passes, materialize)
-    return full.join(q, by, "left").drop("_n", "_lo", "_hi")
+    q = _quantiles(values, stats, by, probs, names, buckets, final_rows, materialize)
+    return _join(full, q, by, "left").drop("_n", "_lo", "_hi")

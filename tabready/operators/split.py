@@ -40,7 +40,7 @@ def split_sizes(n: int, fractions: Sequence[float]) -> tuple[int, int, int]:
 
 def _check_fractions(fractions: Sequence[float]) -> None:
     if len(fractions) != 3 or not math.isclose(sum(fractions), 1.0, rel_tol=0, abs_tol=1e-8):
-        raise ValueError("Train, validation, and test fractions must sum to 1.0.")
+        raise ValueError(f"three fractions with sum 1 are needed, got {list(fractions)}")
 
 
 def _rank_cut(
@@ -140,9 +140,14 @@ def _boundary_keys(df: DataFrame, identifier: str, seed: int, cut_exprs, hex_dig
         wanted = c if wanted is None else wanted | c
     ranked = (keyed.withColumn("_p", prefix).filter(F.col("_p").isNotNull())
               .withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_h", "_id")))
+              .withColumn("_next", F.lead("_id").over(Window.partitionBy("_p").orderBy("_h", "_id")))
               .filter(wanted)
-              .select("_p", "_r", "_h", "_id"))
-    found = {(r["_p"], r["_r"]): (r["_h"], r["_id"]) for r in ranked.collect()}
+              .select("_p", "_r", "_h", "_id", "_next"))
+    found = {}
+    for r in ranked.collect():
+        if r["_next"] == r["_id"]:
+            raise ValueError(f"identifier {r['_id']!r} repeats at a cut, so no exact cut exists; de-duplicate first")
+        found[(r["_p"], r["_r"])] = (r["_h"], r["_id"])
     for i, (p, k, _) in where.items():
         bounds[i] = found[(p, k)]
     return bounds
@@ -161,7 +166,9 @@ def deterministic_split(
     """M1: exact-size, repeatable, disjoint train/validation/test labels.
 
     Identifiers must be unique (run W1 first).  Ranks ``1..n_test`` are test,
-    the next ``n_val`` validation, the rest train.  Membership differs from
+    the next ``n_val`` validation, the rest train.  An identifier that repeats
+    across a cut raises: its rows belong together and the sizes are exact.
+    Membership differs from
     scikit-learn's shuffle (H5); sizes and determinism match.
     """
     _check_fractions(fractions)
@@ -199,16 +206,6 @@ def resplit_after_cleaning(
 
 # ---- J5 / U5: isolation ------------------------------------------------------
 
-def split_isolation_violations(df: DataFrame, identifier: str, split_col: str = "data_split") -> DataFrame:
-    """J5 (strict form): identifiers in more than one split, repeated, or NULL."""
-    per_id = df.groupBy(identifier).agg(
-        F.count(F.lit(1)).alias("occurrences"), F.count_distinct(split_col).alias("split_count")
-    )
-    return per_id.filter(
-        (F.col("split_count") > 1) | (F.col("occurrences") > 1) | F.col(identifier).isNull()
-    )
-
-
 def split_isolation_summary(df: DataFrame, identifier: str, split_col: str = "data_split") -> DataFrame:
     """J5 as one row of counts (zero everywhere means the split is clean)."""
     per_id = df.groupBy(identifier).agg(
@@ -251,7 +248,7 @@ def combine_splits(
     from tabready.contract import validate_schemas_match
 
     if tuple(frames.keys()) != tuple(expected):
-        raise ValueError(f"split_frames must be ordered as {', '.join(expected)}.")
+        raise ValueError(f"expected the splits {list(expected)} in this order, got {list(frames)}")
     cols = validate_schemas_match(frames)
     out = None
     for label in expected:
@@ -278,15 +275,17 @@ def distinct_split_labels(df: DataFrame, split_col: str = "data_split", expected
 
 def split_summary(df: DataFrame, target: str, split_col: str = "data_split") -> DataFrame:
     """A5: per split rows, share of all rows, target mean/median/std/max."""
+    from tabready.functions.cleaning import present
     from tabready.operators.quantiles import aggregate_with_quantiles
 
+    value = present(df, target)
     aggs = [
         F.count(F.lit(1)).alias("rows"),
-        round_metric(F.avg(target)).alias("target_mean"),
-        round_metric(F.stddev_samp(target)).alias("target_std"),
-        F.max(target).alias("target_max"),
+        round_metric(F.avg(value)).alias("target_mean"),
+        round_metric(F.stddev_samp(value)).alias("target_std"),
+        F.max(value).alias("target_max"),
     ]
-    per = aggregate_with_quantiles(df, F.col(target), aggs, [0.5], ["target_median"], [split_col]).withColumn(
+    per = aggregate_with_quantiles(df, value, aggs, [0.5], ["target_median"], [split_col]).withColumn(
         "target_median", round_metric("target_median"))
     # the aggregated table has one row per split label: an unpartitioned window is fine
     total = F.sum("rows").over(Window.partitionBy(F.lit(1)))

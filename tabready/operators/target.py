@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabready.functions.arithmetic import round_metric
-from tabready.functions.cleaning import is_sentinel, null_sentinels, safe_float
+from tabready.functions.arithmetic import long_form, round_metric
+from tabready.functions.cleaning import is_sentinel, null_sentinels, present, safe_float
 from tabready.operators.quantiles import aggregate_with_quantiles
 
 
@@ -48,15 +48,14 @@ def build_target(
     """P10: add the target column.  Raises if a component column is missing."""
     missing = sorted(set(components) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing target component columns: {missing}")
+        raise ValueError(f"the table lacks target components: {missing}")
     return df.withColumn(target, target_expr(components, sentinels, mask_non_positive))
 
 
 def sentinel_counts(df: DataFrame, components: Sequence[str], sentinels: Sequence[float]) -> DataFrame:
     """P9 counts: ``(component, sentinel_count)`` per component, one scan."""
     agg = df.agg(*[F.count_if(is_sentinel(safe_float(c), sentinels)).alias(f"n{i}") for i, c in enumerate(components)])
-    pairs = ", ".join(f"'{c}', n{i}" for i, c in enumerate(components))
-    return agg.selectExpr(f"stack({len(components)}, {pairs}) as (component, sentinel_count)")
+    return long_form(agg, {c: f"n{i}" for i, c in enumerate(components)}, "component", "sentinel_count")
 
 
 def target_readiness(
@@ -150,7 +149,7 @@ def prep_funnel(df: DataFrame, target: str, identifier: str, required: Sequence[
 # ---- F5 / F6: target quality gate --------------------------------------------
 
 def outlier_reason(target: str | Column, minimum: float, maximum: float) -> Column:
-    t = (F.col(target) if isinstance(target, str) else target).try_cast("double")
+    t = safe_float(target)
     return (
         F.when(t.isNull(), "missing_target")
         .when(t < minimum, "below_minimum")
@@ -167,7 +166,7 @@ def audit_target_outliers(df: DataFrame, target: str, minimum: float, maximum: f
 
 def filter_valid_target(df: DataFrame, target: str, minimum: float, maximum: float) -> DataFrame:
     """keep rows with ``minimum <= target <= maximum`` (inclusive); target as double."""
-    t = F.col(target).try_cast("double")
+    t = safe_float(target)
     return df.filter(t.between(minimum, maximum)).withColumn(target, t)
 
 
@@ -178,7 +177,7 @@ def target_statistics(df: DataFrame, target: str, by: Sequence[str] = ()) -> Dat
 
     Median and p99 are exact, computed by bounded histogram narrowing
     (``quantiles.exact_quantiles``) rather than a per-group value map."""
-    t = F.col(target)
+    t = present(df, target)
     aggs = [
         F.count(t).alias("target_count"),
         F.min(t).alias("target_min"),

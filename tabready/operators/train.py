@@ -20,17 +20,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabready.functions.arithmetic import round_metric
+from tabready.functions.cleaning import present
 
 
 # ---- L1 / L2: imputation fitted on train ------------------------------------
 
 def _cells(df: DataFrame, columns: Sequence[str], cast: str | None = None) -> DataFrame:
     """``(_column, _value)`` for every non-NULL cell of ``columns`` (unpivot)."""
-    cells = [F.struct(F.lit(c).alias("_column"), (F.col(c).cast(cast) if cast else F.col(c)).alias("_value"))
+    cells = [F.struct(F.lit(c).alias("_column"), (present(df, c).cast(cast) if cast else present(df, c)).alias("_value"))
              for c in columns]
     return df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*").filter(F.col("_value").isNotNull())
 
@@ -80,8 +80,8 @@ def _typed(v: str, dtype) -> object:
 
 
 def apply_imputer(df: DataFrame, fill: dict[str, object]) -> DataFrame:
-    """Replace NULLs by the fitted values (a projection, no job)."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items() if v is not None})
+    """Replace NULL and NaN by the fitted values (a projection, no job)."""
+    return df.withColumns({c: F.coalesce(present(df, c), F.lit(v)) for c, v in fill.items() if v is not None})
 
 
 # ---- L3 / L4: encoding and assembly -------------------------------------------
@@ -179,8 +179,9 @@ def candidate_search(
     """Fit candidates on the fixed train split.  ``max_models``, excluded
     families and a deadline are checked before each submission; fits run in
     a small driver thread pool, each one an ordinary Spark ML job.  All fits
-    share one job group, cancelled when the deadline passes, so a fit that
-    overruns the budget is stopped and left out rather than waited for."""
+    share one job group, cancelled again and again once the deadline has passed,
+    so a fit that overruns the budget stops at its next job and is left out; a
+    fit that finishes is kept."""
     names = [n for n in estimators if n not in excluded]
     if max_models is not None:
         names = names[:max_models]
@@ -203,21 +204,23 @@ def candidate_search(
             if expired():  # cancelled at the deadline
                 return None
             raise
-        if expired():
-            return None
         return FittedCandidate(name, model, time.perf_counter() - t0)
 
-    timer = None
+    done = threading.Event()
+
+    def stop_late_jobs() -> None:
+        done.wait(max(0.0, deadline - time.monotonic()))
+        while not done.is_set():  # a fit may be between two jobs
+            sc.cancelJobGroup(group)
+            done.wait(0.2)
+
     if deadline is not None:
-        timer = threading.Timer(max(0.0, deadline - time.monotonic()), sc.cancelJobGroup, args=(group,))
-        timer.daemon = True
-        timer.start()
+        threading.Thread(target=stop_late_jobs, daemon=True).start()
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             results = list(pool.map(fit, names))
     finally:
-        if timer is not None:
-            timer.cancel()
+        done.set()
     return [r for r in results if r is not None]
 
 
@@ -246,7 +249,8 @@ def error_gram_matrix(preds: DataFrame, models: Sequence[str], split_label: str
     """
     wide = (preds.filter(F.col("data_split") == split_label)
             .withColumn("_e", F.col("actual") - F.col("predicted"))
-            .groupBy("row_id").pivot("model", list(models)).agg(F.first("_e")))
+            .groupBy("row_id").pivot("model", list(models)).agg(F.when(F.count("_e") > 1, F.raise_error(F.lit(
+                "a row is predicted twice by one model"))).otherwise(F.max("_e"))))
     k = len(models)
     aggs = [F.avg(F.col(f"`{models[i]}`") * F.col(f"`{models[j]}`")).alias(f"g_{i}_{j}")
             for i in range(k) for j in range(i, k)]
@@ -294,10 +298,3 @@ def leaderboard_from_predictions(preds: DataFrame, fit_seconds: dict[str, float]
     costs = spark.createDataFrame([(k, float(v)) for k, v in fit_seconds.items()], "model string, fit_time double")
     return model_validation_table(preds, costs)
 
-
-def label_column(c: str | Column, name: str = "label") -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double").alias(name)
-
-
-def rounded(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    return df.withColumns({c: round_metric(c, digits) for c in cols})

@@ -23,7 +23,7 @@ def _flat(df, *cols):
 def q_column_profile(spark, sf):
     """A1 over every column of the raw lineitem table."""
     c = line_contract()
-    return profile.column_profile(raw_lines(spark, sf, spread=True), c.target, c.components, [c.identifier])
+    return profile.column_profile(raw_lines(spark, sf), c.target, c.components, [c.identifier])
 
 
 def _profile_sql() -> str:
@@ -84,10 +84,10 @@ SELECT "column", role, raw_dtype, missing_percentage, unique_count, numeric_pars
   CASE WHEN role IN ('target', 'target_component', 'identifier', 'metadata') THEN 'exclude'
        WHEN is_constant THEN 'exclude'
        WHEN is_high_cardinality AND numeric_parse_rate < 0.90 THEN 'review' ELSE 'candidate' END AS recommended_action,
-  CASE WHEN role IN ('target', 'target_component', 'identifier', 'metadata') THEN 'Excluded based on its ' || role || ' role.'
-       WHEN is_constant THEN 'Constant or effectively constant column.'
-       WHEN is_high_cardinality AND numeric_parse_rate < 0.90 THEN 'High-cardinality non-numeric column requires manual review.'
-       ELSE 'Potential AutoML feature; confirm semantic meaning.' END AS reason
+  CASE WHEN role IN ('target', 'target_component', 'identifier', 'metadata') THEN 'role:' || role
+       WHEN is_constant THEN 'one value'
+       WHEN is_high_cardinality AND numeric_parse_rate < 0.90 THEN 'many text values'
+       ELSE 'usable' END AS reason
 FROM prof"""
 
 

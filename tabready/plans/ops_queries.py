@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabready.functions.cleaning import parse_numeric_or_time
-from tabready.operators import gates, importance, split, train
+from tabready.operators import gates, importance, train
 from tabready.operators.candidates import fit_candidate
 from tabready.operators.features import drop_split_and_filter, project_model_frame, synthesize_identifier
 from tabready.operators.metrics import add_residual, align_predictions
@@ -20,18 +20,16 @@ from tabready.session import ensure_checkpoint_dir
 from tabready.sources import io
 
 ALL_DOC = [*DOC_NUMERIC, *DOC_CATEGORICAL]
-SAMPLE_SIZE = 3000
 REPEATS = 3
 IMPORTANCE_MODEL = "ols_word_by_lang"
 
 
 def q_permutation_importance(spark, sf):
-    """L10 for the per-language least-squares model on a validation sample."""
+    """L10 for the per-language least-squares model on the whole validation split."""
     splits = doc_splits(spark, sf)
     cand = next(c for c in X.CANDIDATES if c.name == IMPORTANCE_MODEL)
     scorer = fit_candidate(splits.filter(F.col("data_split") == "train"), cand, DOC_TARGET)
-    sample = split.sample_rows(splits.filter(F.col("data_split") == "validation"), "doc_id", SAMPLE_SIZE, SEED)
-    return importance.permutation_importance(sample, scorer, ALL_DOC, DOC_TARGET, "doc_id", REPEATS, SEED)
+    return importance.permutation_importance(splits.filter(F.col("data_split") == "validation"), scorer, ALL_DOC, DOC_TARGET, "doc_id", REPEATS, SEED)
 
 
 _COMBOS = ", ".join(f"('{f}', {r})" for f in ALL_DOC for r in range(1, REPEATS + 1))
@@ -41,8 +39,7 @@ _FEATS = ", ".join(ALL_DOC)
 _ID = "CAST(doc_id AS VARCHAR)"
 SQL_PERMUTATION = S.with_(S.DOC_SPLITS) + f""",
 train AS (SELECT * FROM doc_splits WHERE data_split = 'train'),
-sample AS (SELECT doc_id, n_chars, {_FEATS} FROM doc_splits WHERE data_split = 'validation'
-           ORDER BY md5('{SEED}:' || {_ID}), {_ID} LIMIT {SAMPLE_SIZE}),
+sample AS (SELECT doc_id, n_chars, {_FEATS} FROM doc_splits WHERE data_split = 'validation'),
 pos AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}:' || {_ID}), {_ID}) AS _pos FROM sample),
 combos AS (SELECT * FROM (VALUES {_COMBOS}) AS t(_feature, _repeat)),
 copies AS (SELECT p.*, c._feature, c._repeat FROM pos p, combos c),

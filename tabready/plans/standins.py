@@ -30,10 +30,9 @@ LINE_SENTINELS = (1.0,)
 LINE_TARGET_BOUNDS = (1000.0, 100000.0)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.  ``spread`` round-robins an under-partitioned scan over
-    the cores (S2); worth it before heavy per-row work, not for one aggregate."""
-    return read_parquet_table(spark, f"{sf_dir}/{name}.parquet", spread=spread)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return read_parquet_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def line_contract() -> Contract:
@@ -56,9 +55,9 @@ def line_contract() -> Contract:
     )
 
 
-def raw_lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table: identifier, components and raw feature columns."""
-    li = table(spark, sf_dir, "lineitem", spread)
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("row_key"),
         *LINE_COMPONENTS,
@@ -68,12 +67,12 @@ def raw_lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
 
 def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw -> target (P10) -> cleaning (P4-P8) -> engineered (P11), before row filters."""
-    return clean_table(raw_lines(spark, sf_dir, spread=True), line_contract())
+    return clean_table(raw_lines(spark, sf_dir), line_contract())
 
 
 def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 -> F2 -> F3 -> projection (P12) -> de-duplication (W1) on the cleaned lines."""
-    return prepare_table(raw_lines(spark, sf_dir, spread=True), line_contract())
+    return prepare_table(raw_lines(spark, sf_dir), line_contract())
 
 
 def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,18 +101,19 @@ def doc_model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``labels`` covers part of the documents, so ``quality``/``toxic`` are sparse.
     """
-    docs = table(spark, sf_dir, "documents", spread=True)
-    labels = table(spark, sf_dir, "labels")
-    return docs.join(labels, "doc_id", "left").select(
+    # the counts are made on the scan, so that no text goes through an exchange
+    docs = table(spark, sf_dir, "documents").select(
         "doc_id",
         F.size(F.split(F.col("text"), " ")).cast("double").alias("word_count"),
         F.size(F.split(F.col("text"), "\n")).cast("double").alias("line_count"),
-        F.col("quality").cast("double").alias("quality"),
-        F.col("toxic").cast("double").alias("toxic"),
         "lang",
         "source",
         F.col("n_chars").cast("double").alias("n_chars"),
     )
+    return docs.join(table(spark, sf_dir, "labels"), "doc_id", "left").select(
+        "doc_id", "word_count", "line_count", F.col("quality").cast("double").alias("quality"),
+        F.col("toxic").cast("double").alias("toxic"), "lang", "source", "n_chars",
+    )
 
 
 def doc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,19 +60,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
-def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder.
-
-    A written table survives executor loss (unlike a cached or locally
-    checkpointed frame) and lets later stages scan it with pushdown.
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "tables", f"{name or 'table'}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
-
-
 _STAGED: dict[tuple[str, str], str] = {}
 
 

@@ -43,26 +43,13 @@ def read_csv_table(spark: SparkSession, path: str, columns: Sequence[str] | None
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster can run.
-
-    A file written as one row group scans in one task, so every per-row
-    expression before the first shuffle would run on one core.  Large inputs
-    scan in many splits already and are returned untouched (no extra shuffle).
-    Filters and column pruning still reach the scan below the repartition.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def read_parquet_table(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, spread: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Parquet with column pruning (and predicate pushdown by later filters)."""
     df = spark.read.parquet(path)
     df = df.select(*columns) if columns else df
-    return spread_scan(df) if spread else df
+    return df
 
 
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
@@ -131,7 +118,7 @@ def save_results_as_tables(tables: Mapping[str, DataFrame], database: str | None
 def write_report_table(df: DataFrame, base: str, name: str, fmt: str = "json") -> str:
     """An already-aggregated report table as one JSON/CSV file."""
     path = versioned_path(base, f"{name}.{fmt}")
-    w = df.coalesce(1).write.mode("error")
+    w = df.repartition(1).write.mode("error")
     (w.option("header", True).csv(path) if fmt == "csv" else w.json(path))
     return path
 
@@ -161,7 +148,7 @@ def load_model(path: str) -> PipelineModel:
 def row_hash(columns: Sequence[str]):
     """A 60-bit integer per row from md5 over the row as JSON (type-aware,
     no separator ambiguity, expressible in SQL)."""
-    j = F.to_json(F.struct(*[F.col(c) for c in columns]))
+    j = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
     return F.conv(F.substring(F.md5(j), 1, 15), 16, 10).cast("bigint")
 
 

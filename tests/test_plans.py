@@ -4,6 +4,8 @@ any SQL-checked query, pruned scans, one shared shuffle in the profile."""
 import contextlib
 import io
 
+import re
+
 import __spark_entry__ as E
 from tabready.operators import profile
 from tabready.plans.standins import line_contract, raw_lines
@@ -43,11 +45,13 @@ def test_profile_counts_and_samples_share_one_shuffle(spark):
     assert "ReusedExchange" in plan_of(df)
 
 
-def test_spread_only_under_partitioned_scans(spark):
-    from tabready.sources.io import spread_scan
+def test_no_text_in_an_exchange(spark):
+    from tabready.plans.standins import doc_model_table
 
-    many = spark.range(0, 1000, numPartitions=16)
-    assert spread_scan(many, min_partitions=8) is many
-    few = spark.range(0, 1000, numPartitions=1)
-    spread = spread_scan(few, min_partitions=8)
-    assert spread.rdd.getNumPartitions() == 8 and spread.count() == 1000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(doc_model_table(spark, SF), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    assert exchanged and not any("text" in x for x in exchanged)

@@ -16,12 +16,12 @@ from tabready.sources import io
 def insights_frame(spark):
     rows = [(30.0, 200.0, "male", 300.0, "train"), (40.0, None, "female", 350.0, "train"),
             (50.0, 180.0, "male", 400.0, "train"), (35.0, 190.0, "male", 320.0, "test")]
-    return spark.createDataFrame(rows, "age double, fran double, gender string, total_lift double, data_split string")
+    return spark.createDataFrame(rows, "age double, fran double, gender string, total double, data_split string")
 
 
 def test_data_insights(spark):
     out = {(r.section, r.name): r.value for r in profile.data_insights(
-        insights_frame(spark), ["age", "fran", "gender"], ["age", "fran"], ["gender"], "total_lift").collect()}
+        insights_frame(spark), ["age", "fran", "gender"], ["age", "fran"], ["gender"], "total").collect()}
     assert out[("missing_percentage_train", "fran")] == pytest.approx(33.333333, abs=1e-6)
     assert out[("categorical_cardinality_train", "gender")] == 2.0
     assert out[("row_counts", "train")] == 3.0 and out[("row_counts", "test")] == 1.0
@@ -30,16 +30,16 @@ def test_data_insights(spark):
 
 def test_column_profile_and_draft_contract(spark):
     rows = [(str(i), float(i % 3), "x", f"cat{i}", None if i % 2 else "1,5") for i in range(300)]
-    df = spark.createDataFrame(rows, "athlete_id string, age double, const string, tag string, text_num string")
-    prof = {r.column: r for r in profile.column_profile(df, identifiers=["athlete_id"]).collect()}
+    df = spark.createDataFrame(rows, "member_id string, age double, const string, tag string, text_num string")
+    prof = {r.column: r for r in profile.column_profile(df, identifiers=["member_id"]).collect()}
     assert prof["age"].unique_count == 3 and prof["age"].numeric_parse_rate == 1.0
     assert prof["age"].sample_values == "0.0 | 1.0 | 2.0"
     assert prof["const"].is_constant
     assert prof["tag"].is_high_cardinality and prof["tag"].unique_ratio == 1.0
     assert prof["text_num"].missing_percentage == 50.0 and prof["text_num"].numeric_parse_rate == 0.0
     draft = {r.column: r.recommended_action for r in profile.draft_feature_contract(
-        profile.column_profile(df, identifiers=["athlete_id"])).collect()}
-    assert draft == {"athlete_id": "exclude", "age": "candidate", "const": "exclude", "tag": "review",
+        profile.column_profile(df, identifiers=["member_id"])).collect()}
+    assert draft == {"member_id": "exclude", "age": "candidate", "const": "exclude", "tag": "review",
                      "text_num": "exclude"}
 
 
@@ -54,18 +54,18 @@ def test_normalize_columns_and_contract_helpers(spark):
     assert contract.normalize_columns(df).columns == ["body_weight_lb", "age"]
     with pytest.raises(ValueError, match="Duplicate columns"):
         contract.normalize_columns(spark.createDataFrame([(1, 2)], "`A b` int, `a_B` int"))
-    assert contract.resolve_identifier(["x", "athlete_id"], ["id", "athlete_id"]) == "athlete_id"
-    with pytest.raises(ValueError, match="Prohibited"):
-        contract.reject_prohibited_features(["age", "total_lift"], ["total_lift", "deadlift"])
-    with pytest.raises(ValueError, match="cannot be empty"):
-        contract.reject_prohibited_features([], ["total_lift"])
-    c = contract.Contract(identifier="athlete_id", target="total_lift",
-                          components=("deadlift", "candj", "snatch", "backsq"),
+    assert contract.resolve_identifier(["x", "member_id"], ["id", "member_id"]) == "member_id"
+    with pytest.raises(ValueError, match="leak"):
+        contract.reject_prohibited_features(["age", "total"], ["total", "part_a"])
+    with pytest.raises(ValueError, match="no model features"):
+        contract.reject_prohibited_features([], ["total"])
+    c = contract.Contract(identifier="member_id", target="total",
+                          components=("part_a", "part_b", "part_c", "part_d"),
                           numeric_features=("age", "weight"), categorical_features=("gender",),
                           engineered={"bmi": F.lit(1.0)})
     fc = {r.column: (r.role, r.action) for r in contract.final_feature_contract(
-        spark, c, ["athlete_id", "age", "weight", "gender", "deadlift", "candj", "snatch", "backsq"]).collect()}
-    assert all(fc[x] == ("target_component", "exclude") for x in ("deadlift", "candj", "snatch", "backsq"))
+        spark, c, ["member_id", "age", "weight", "gender", "part_a", "part_b", "part_c", "part_d"]).collect()}
+    assert all(fc[x] == ("target_component", "exclude") for x in ("part_a", "part_b", "part_c", "part_d"))
     assert fc["bmi"] == ("numeric_feature", "include")
 
 
@@ -73,7 +73,7 @@ def test_validate_modeling_table(spark):
     df = spark.createDataFrame([(1, 2.0, 30.0), (None, None, 20.0)], "id int, y double, age double")
     checks = {r.check_name: r.violations for r in gates.validate_modeling_table(df, "id", "y", ["age"]).collect()}
     assert checks == {"non_empty": 0, "target_present": 1, "identifier_present": 1}
-    with pytest.raises(ValueError, match="Prohibited"):
+    with pytest.raises(ValueError, match="leak"):
         gates.validate_modeling_table(df, "id", "y", ["age", "y"])
 
 

@@ -69,3 +69,31 @@ def test_no_values(spark):
     assert row["rows"] == 2 and row["med"] is None
     grouped = aggregate_with_quantiles(df, F.col("v"), [F.count(F.lit(1)).alias("rows")], [0.5], ["med"], ["g"])
     assert sorted((r.g, r.rows, r.med) for r in grouped.collect()) == [(1, 1, None), (2, 1, None)]
+
+
+EXTREMES = [float("inf"), float("-inf"), 1.7e308, -1.7e308, 1.7976931348623157e308, 0.0, -0.0, 5e-324, -5e-324, 2.2e-308, 1.0,
+            1.0000000000000002, -1.0] + [10.0 ** k for k in range(-300, 301, 7)] + [-(10.0 ** k) for k in range(-300, 301, 13)]
+
+
+@pytest.mark.parametrize("by", [["g"], []])
+def test_any_double_ends(spark, by):
+    values = sorted(EXTREMES * 3)
+    df = spark.createDataFrame([("a", v) for v in values] + [(None, v) for v in values[::2]] + [("a", None), ("a", float("nan"))],
+                               "g string, v double")
+    ps = [0.0, 0.25, 0.5, 0.99, 1.0]
+    got = exact_quantiles(df, "v", ps, by, buckets=16, final_rows=2)
+    want = (df.where("NOT isnan(v)").groupBy(*by)).agg(*[F.percentile("v", p).alias(f"q_{p}") for p in ps])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_hot_group_is_not_hashed_on_its_key(spark):
+    df = spark.range(20000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
+                                   F.sqrt(F.col("id").cast("double")).alias("v"))
+    got = exact_quantiles(df, "v", [0.5], ["g"], final_rows=500, names=["m"])
+    assert {r.g: r.m for r in got.collect()}["hot"] == df.where("g = 'hot'").agg(F.percentile("v", 0.5)).first()[0]
+
+
+def test_nan_is_missing_in_aggregates(spark):
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),)], "v double")
+    assert exact_quantiles(df, "v", [0.5], names=["m"]).first()["m"] == 2.0

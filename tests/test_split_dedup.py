@@ -9,28 +9,28 @@ from tabready.operators.gates import validate_split_export
 
 def split_100(spark):
     return spark.createDataFrame([(i, 20 + i % 30, 1000 + i) for i in range(100)],
-                                 "athlete_id bigint, age bigint, total_lift bigint")
+                                 "member_id bigint, age bigint, total bigint")
 
 
 def _labels(df):
-    return {r.athlete_id: r.data_split for r in df.collect()}
+    return {r.member_id: r.data_split for r in df.collect()}
 
 
 def test_exact_sizes_repeatable_disjoint(spark):
     df = split_100(spark)
-    a = split.deterministic_split(df, "athlete_id")
+    a = split.deterministic_split(df, "member_id")
     sizes = {r.data_split: r["count"] for r in a.groupBy("data_split").count().collect()}
     assert sizes == {"train": 64, "validation": 16, "test": 20}
     # same labels on a second run and after repartitioning the input
-    assert _labels(a) == _labels(split.deterministic_split(df.repartition(7), "athlete_id"))
-    assert split.split_isolation_summary(a, "athlete_id").first().identifiers_in_multiple_splits == 0
+    assert _labels(a) == _labels(split.deterministic_split(df.repartition(7), "member_id"))
+    assert split.split_isolation_summary(a, "member_id").first().identifiers_in_multiple_splits == 0
 
 
 @pytest.mark.parametrize("digits", [1, 2, 4])
 def test_bucket_width_does_not_change_labels(spark, digits):
     df = split_100(spark)
-    assert _labels(split.deterministic_split(df, "athlete_id", hex_digits=digits)) == _labels(
-        split.deterministic_split(df, "athlete_id"))
+    assert _labels(split.deterministic_split(df, "member_id", hex_digits=digits)) == _labels(
+        split.deterministic_split(df, "member_id"))
 
 
 def test_split_sizes_rule():
@@ -39,21 +39,21 @@ def test_split_sizes_rule():
 
 
 def test_fractions_must_sum_to_one(spark):
-    with pytest.raises(ValueError, match="sum to 1.0"):
-        split.deterministic_split(split_100(spark), "athlete_id", (0.5, 0.2, 0.2))
+    with pytest.raises(ValueError, match="with sum 1"):
+        split.deterministic_split(split_100(spark), "member_id", (0.5, 0.2, 0.2))
 
 
 def test_sample_rows(spark):
     df = split_100(spark)
-    s = split.sample_rows(df, "athlete_id", 30)
-    assert s.count() == 30 and s.select("athlete_id").distinct().count() == 30
+    s = split.sample_rows(df, "member_id", 30)
+    assert s.count() == 30 and s.select("member_id").distinct().count() == 30
     assert _labels(s.withColumn("data_split", F.lit("x"))) == _labels(
-        split.sample_rows(df.repartition(5), "athlete_id", 30).withColumn("data_split", F.lit("x")))
-    assert split.sample_rows(df, "athlete_id", 500).count() == 100
+        split.sample_rows(df.repartition(5), "member_id", 30).withColumn("data_split", F.lit("x")))
+    assert split.sample_rows(df, "member_id", 500).count() == 100
 
 
 def frames(spark):
-    schema = "athlete_id bigint, age bigint, weight bigint, total_lift bigint"
+    schema = "member_id bigint, age bigint, weight bigint, total bigint"
     mk = lambda ids: spark.createDataFrame([(i, 30, 180, 300 + i) for i in ids], schema)
     return {"train": mk(range(6)), "validate": mk(range(6, 8)), "test": mk(range(8, 10))}
 
@@ -68,23 +68,23 @@ def test_combine_splits(spark):
 
 def test_combine_rejects_order_and_columns(spark):
     f = frames(spark)
-    with pytest.raises(ValueError, match="ordered"):
+    with pytest.raises(ValueError, match="in this order"):
         split.combine_splits({"validate": f["validate"], "train": f["train"], "test": f["test"]})
     f["test"] = f["test"].drop("weight")
-    with pytest.raises(ValueError, match="Column mismatch in 'test'"):
+    with pytest.raises(ValueError, match="columns of 'test' differ"):
         split.combine_splits(f)
 
 
 def test_overlap_detected(spark):
     combined = split.combine_splits(frames(spark)).withColumn(
-        "athlete_id", F.when(F.col("athlete_id") == 9, F.lit(1)).otherwise(F.col("athlete_id")))
-    assert split.split_isolation_summary(combined, "athlete_id").first().identifiers_in_multiple_splits == 1
-    checks = {r.check_name: r.status for r in validate_split_export(combined, "athlete_id", "total_lift").collect()}
+        "member_id", F.when(F.col("member_id") == 9, F.lit(1)).otherwise(F.col("member_id")))
+    assert split.split_isolation_summary(combined, "member_id").first().identifiers_in_multiple_splits == 1
+    checks = {r.check_name: r.status for r in validate_split_export(combined, "member_id", "total").collect()}
     assert checks["identifiers_in_multiple_splits"] == "FAIL"
     assert checks["duplicate_identifiers"] == "FAIL"
     assert checks["label_set"] == "PASS"
     pairs = {(r.left_split, r.right_split): r.shared_identifiers
-             for r in split.id_overlap_between_splits(combined, "athlete_id", labels=("train", "validate", "test")).collect()}
+             for r in split.id_overlap_between_splits(combined, "member_id", labels=("train", "validate", "test")).collect()}
     assert pairs[("train", "test")] == 1 and pairs[("train", "validate")] == 0
 
 

@@ -6,16 +6,16 @@ from pyspark.sql import functions as F
 from tabready.operators import target as T
 from tabready.operators.features import add_engineered_features, body_features
 
-COMPONENTS = ["deadlift", "candj", "snatch", "backsq"]
+COMPONENTS = ["part_a", "part_b", "part_c", "part_d"]
 
 
 def test_target_components(spark):
     df = spark.createDataFrame([(100.0, 50.0, 40.0, 80.0), (1.0, 50.0, 40.0, 80.0), (100.0, None, 40.0, 80.0)],
                                ", ".join(f"{c} double" for c in COMPONENTS))
-    out = [r.total_lift for r in T.build_target(df, "total_lift", COMPONENTS, [1]).collect()]
+    out = [r.total for r in T.build_target(df, "total", COMPONENTS, [1]).collect()]
     assert out == [270.0, None, None]
     counts = {r.component: r.sentinel_count for r in T.sentinel_counts(df, COMPONENTS, [1]).collect()}
-    assert counts == {"deadlift": 1, "candj": 0, "snatch": 0, "backsq": 0}
+    assert counts == {"part_a": 1, "part_b": 0, "part_c": 0, "part_d": 0}
 
 
 def test_non_positive_masked_in_preparation_only(spark):
@@ -26,8 +26,8 @@ def test_non_positive_masked_in_preparation_only(spark):
 
 
 def test_missing_component_column_raises(spark):
-    df = spark.createDataFrame([(1.0,)], "deadlift double")
-    with pytest.raises(ValueError, match="Missing target component"):
+    df = spark.createDataFrame([(1.0,)], "part_a double")
+    with pytest.raises(ValueError, match="lacks target components"):
         T.build_target(df, "t", COMPONENTS, [1])
 
 
@@ -39,21 +39,21 @@ def raw_sample(spark):
         (4.0, 35, "female", 100.0, None, 40.0, 80.0),
         (5.0, 28, "male", 120.0, 60.0, 50.0, 90.0),
     ]
-    return spark.createDataFrame(rows, "athlete_id double, age bigint, gender string, deadlift double, "
-                                       "candj double, snatch double, backsq double")
+    return spark.createDataFrame(rows, "member_id double, age bigint, gender string, part_a double, "
+                                       "part_b double, part_c double, part_d double")
 
 
 def test_target_readiness(spark):
-    r = T.target_readiness(raw_sample(spark), COMPONENTS, [1], "athlete_id").first()
+    r = T.target_readiness(raw_sample(spark), COMPONENTS, [1], "member_id").first()
     assert (r.initial_rows, r.missing_identifier_rows, r.missing_or_invalid_target_rows, r.eligible_rows) == (5, 1, 2, 2)
     assert r.total_sentinel_replacements == 1
     assert (r.target_min, r.target_max, r.target_mean) == (270.0, 320.0, 295.0)
 
 
 def test_prep_funnel_is_monotone(spark):
-    df = T.build_target(raw_sample(spark), "total_lift", COMPONENTS, [1]).withColumn(
-        "athlete_id", F.when(F.col("athlete_id") == 5.0, F.lit(1.0)).otherwise(F.col("athlete_id")))
-    f = T.prep_funnel(df, "total_lift", "athlete_id", ["age", "gender"]).first()
+    df = T.build_target(raw_sample(spark), "total", COMPONENTS, [1]).withColumn(
+        "member_id", F.when(F.col("member_id") == 5.0, F.lit(1.0)).otherwise(F.col("member_id")))
+    f = T.prep_funnel(df, "total", "member_id", ["age", "gender"]).first()
     assert f.initial_rows == 5
     assert f.rows_after_target_filter == 3
     assert f.missing_identifier_rows == 1
@@ -68,12 +68,12 @@ def test_prep_funnel_is_monotone(spark):
 
 def test_bounds_inclusive(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([8.0, 1000.0, 2367.0, 2500.0, 2501.0, None])],
-                               "athlete_id bigint, total_lift double")
-    audit = T.audit_target_outliers(df, "total_lift", 8, 2500)
+                               "member_id bigint, total double")
+    audit = T.audit_target_outliers(df, "total", 8, 2500)
     reasons = sorted(r.target_quality_reason for r in audit.collect())
     assert reasons == ["above_maximum", "missing_target"]
-    kept = T.filter_valid_target(df, "total_lift", 8, 2500)
-    vals = sorted(r.total_lift for r in kept.collect())
+    kept = T.filter_valid_target(df, "total", 8, 2500)
+    vals = sorted(r.total for r in kept.collect())
     assert vals == [8.0, 1000.0, 2367.0, 2500.0]
     assert audit.count() + kept.count() == df.count()
 
