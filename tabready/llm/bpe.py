@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tabready.llm.common import releasing
+
 #: Words whose ids a worker keeps, and the longest word (in characters) it keeps.
 KEPT_WORDS, KEPT_LENGTH = 120_000, 64
 NO_PAIR = 1 << 60
@@ -182,6 +184,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """``doc_id, ids, decoded``, one row per input row."""
 
     @F.pandas_udf("ids array<int>, decoded string")
+    @releasing
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
         for batch in texts:
@@ -196,6 +199,7 @@ def digest_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     ``encode_texts`` does and returns digests in place of ids and text."""
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @releasing
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
         for batch in texts:

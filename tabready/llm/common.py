@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import functools
+import gc
 import os
 import shutil
 import tempfile
@@ -11,6 +14,7 @@ import uuid
 import zipfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +72,23 @@ def on_executors(step: Callable) -> Callable:
     return run
 
 
+def releasing(step: Callable) -> Callable:
+    """An iterator function of a task that hands free memory back to the system
+    when it ends: Python workers live on, and their allocators keep the most
+    that any task before needed."""
+    @functools.wraps(step)
+    def run(batches):
+        try:
+            yield from step(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def row_key(id_col: str, text_col: str):
     """128 bits that name a row by its id and its text.  Rows that share it are
     equal in both, so an operator decides alike for them."""

@@ -26,6 +26,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from tabready.llm.common import releasing
 from pyspark.sql import types as T
 
 Q = 8
@@ -243,7 +245,7 @@ def matches_column(items: list[tuple], item_type: T.DataType, text: Column, rate
                     size, first = 0, k + 1
             yield pd.Series([[dict(zip(("item_id", "start", "end", "edits"), m)) for m in ms] for ms in out], dtype="object")
 
-    return F.pandas_udf(run, T.ArrayType(match))(text)
+    return F.pandas_udf(releasing(run), T.ArrayType(match))(text)
 
 
 def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabready.llm.common import releasing
+
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
@@ -229,6 +231,6 @@ def _main_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars``, one row per input row."""
-    text = F.pandas_udf(_main_text, "string")(F.col(html_col))
+    text = F.pandas_udf(releasing(_main_text), "string")(F.col(html_col))
     return (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text.alias("text"))
             .withColumn("n_chars", F.char_length("text").cast("long")))

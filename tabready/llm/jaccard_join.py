@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabready.llm.common import written
+from tabready.llm.common import releasing, written
 from tabready.llm.components import connected_components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -188,7 +188,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 rows.append((set_id(s), signature(s).tobytes()) if len(s) else (None, None))
             yield pd.DataFrame(rows, columns=["sid", "sig"])
 
-    made = F.pandas_udf(run, "sid binary, sig binary")(F.col(text_col))
+    made = F.pandas_udf(releasing(run), "sid binary, sig binary")(F.col(text_col))
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("key"), made.alias("s")).select("doc_id", "key", "s.*")
 
 
@@ -210,7 +210,7 @@ def split_nodes(rows: DataFrame) -> DataFrame:
             out.insert(0, "node", np.concatenate(nodes) if nodes else np.empty(0, np.int64))
             yield out
 
-    return rows.select("node", "sid", "sig").mapInPandas(run, "node long, sid binary, sig binary")
+    return rows.select("node", "sid", "sig").mapInPandas(releasing(run), "node long, sid binary, sig binary")
 
 
 def first_nodes(sets: DataFrame, runs: int) -> DataFrame:
@@ -222,7 +222,7 @@ def first_nodes(sets: DataFrame, runs: int) -> DataFrame:
             kids = np.concatenate([children(int(mixed(np.array([r + 1], np.uint64))[0]), signatures) for r in range(runs)], axis=1)
             yield pd.Series(list(kids.view(np.int64)), dtype="object")
 
-    nodes = F.pandas_udf(run, "array<long>")(F.col("sig"))
+    nodes = F.pandas_udf(releasing(run), "array<long>")(F.col("sig"))
     return sets.select(F.explode(nodes).alias("node"), "sid")
 
 
@@ -246,7 +246,7 @@ def sketch_edges(leaves: DataFrame) -> DataFrame:
             yield pd.DataFrame({"a": sid[a], "b": sid[b]})
 
     return (leaves.repartition("node").sortWithinPartitions("node").select("node", "sid", "sketch")
-            .mapInPandas(run, "a binary, b binary"))
+            .mapInPandas(releasing(run), "a binary, b binary"))
 
 
 def pivot_edges(rows: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def pivot_edges(rows: DataFrame) -> DataFrame:
         for x, y in batches:
             yield pd.Series(alike(_rows(x), _rows(y)))
 
-    estimate = F.pandas_udf(run, "double")
+    estimate = F.pandas_udf(releasing(run), "double")
     pivots = rows.groupBy("node").agg(F.min(F.struct("sid", "sketch")).alias("p"), F.count(F.lit(1)).alias("n"))
     scored = written(rows.join(pivots, "node").select("node", "sid", "sketch", "n", F.col("p.sid").alias("pivot"), estimate("sketch", "p.sketch").alias("e")), "jaccard-pivots")
     close = F.col("e") >= THRESHOLD - MARGIN
@@ -284,7 +284,7 @@ def pivot_edges(rows: DataFrame) -> DataFrame:
 
     rest = left.unionByName(right)
     keys = ["node", "i", "j"]
-    found = rest.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(compare, "a binary, b binary")
+    found = rest.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(releasing(compare), "a binary, b binary")
     return stars.unionByName(found)
 
 
@@ -317,7 +317,7 @@ def with_sketch(rows: DataFrame) -> DataFrame:
             low = np.ascontiguousarray(_rows(batch)[:, ::4])
             yield pd.Series([x.tobytes() for x in low], dtype="object")
 
-    return rows.select("node", "sid", F.pandas_udf(run, "binary")("sig").alias("sketch"))
+    return rows.select("node", "sid", F.pandas_udf(releasing(run), "binary")("sig").alias("sketch"))
 
 
 def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -376,7 +376,7 @@ def exact_links(members: DataFrame) -> DataFrame:
             yield pd.concat(out, ignore_index=True)
 
     return (tasks.select(*keys, "at", "n", "sid", "copies", "shingles").repartition(*keys).sortWithinPartitions(*keys)
-            .mapInPandas(run, "sid binary, root binary, links long, whole boolean"))
+            .mapInPandas(releasing(run), "sid binary, root binary, links long, whole boolean"))
 
 
 def shingles_of(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -384,13 +384,14 @@ def shingles_of(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) ->
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
         for texts in batches:
-            sets = [shingler(t) for t in texts]
-            yield pd.DataFrame({"sid": [set_id(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+            for lo in range(0, len(texts), 500):  # a few MB of shingles at a time
+                sets = [shingler(t) for t in texts.iloc[lo:lo + 500]]
+                yield pd.DataFrame({"sid": [set_id(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
     rows = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     if keys.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    made = F.pandas_udf(run, "sid binary, shingles binary")(F.col("text"))
+    made = F.pandas_udf(releasing(run), "sid binary, shingles binary")(F.col("text"))
     return rows.join(keys, "key", "left_semi").select(made.alias("s")).select("s.*")
 
 

@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabready.llm.common import releasing
+
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -311,7 +313,7 @@ def prediction(model: Crf, text: Column) -> Column:
         for batch in batches:
             yield pd.DataFrame(predictions(model, batch.tolist()), columns=["lang_pred", "score"]).astype({"score": "float64"})
 
-    return F.pandas_udf(run, "lang_pred string, score double")(text)
+    return F.pandas_udf(releasing(run), "lang_pred string, score double")(text)
 
 
 def predict_language(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -326,7 +328,7 @@ def label_runs(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: st
         for batch in batches:
             yield pd.Series([[dict(zip(("start", "end", "lang"), r)) for r in model.runs(t)] for t in batch], dtype="object")
 
-    runs = F.pandas_udf(run, "array<struct<start: long, end: long, lang: string>>")(F.col(text_col))
+    runs = F.pandas_udf(releasing(run), "array<struct<start: long, end: long, lang: string>>")(F.col(text_col))
     return docs.select(F.col(id_col).alias("doc_id"), F.explode(runs).alias("r")).select("doc_id", "r.*")
 
 
@@ -336,4 +338,4 @@ def known_language(docs: DataFrame, model: Crf, text_col: str = "text", min_scor
         for batch in batches:
             yield pd.Series([s if lang != UNKNOWN else -1.0 for lang, s in predictions(model, batch.tolist())], dtype="float64")
 
-    return docs.where(F.pandas_udf(run, "double")(docs[text_col]) >= min_score)
+    return docs.where(F.pandas_udf(releasing(run), "double")(docs[text_col]) >= min_score)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabready.llm.common import written
+from tabready.llm.common import releasing, written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SEPARATORS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -81,7 +81,7 @@ def _counts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` with ``COUNTS`` and ``base_failed``, one row per input row."""
-    counts = F.pandas_udf(_counts, ", ".join(f"{c} long" for c in COUNTS))
+    counts = F.pandas_udf(releasing(_counts), ", ".join(f"{c} long" for c in COUNTS))
     return (docs.select(F.col(id_col).alias("doc_id"), counts(F.col(text_col)).alias("c")).select("doc_id", "c.*")
             .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
 

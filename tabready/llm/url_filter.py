@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabready.llm.common import releasing
+
 MAX_RULES = 1000
 DIMENSIONS = 1 << 14
 #: Bound of the labelled urls that the driver learns from.
@@ -168,6 +170,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], model: UrlModel, id_col:
     rules, weights, bias = list(rules), model.weights, model.bias
 
     @F.pandas_udf("double")
+    @releasing
     def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         own = UrlModel(weights, bias)
         for hosts, paths in parts:

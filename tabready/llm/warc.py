@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabready.llm.common import scratch_path
+from tabready.llm.common import releasing, scratch_path
 
 #: Compressed bytes of a written row, and rows of a file: a file holds about 32 MB.
 ROW_BYTES, ROWS_PER_FILE = 4 << 20, 8
@@ -113,7 +113,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: st
     rows = with_revisits(base, min_bytes).select(
         urn("id").alias("record_id"), "uri", "payload",
         F.when(F.col("refers_to").isNotNull(), urn("refers_to")).alias("refers_to"))
-    (rows.mapInArrow(_pack, "members binary").select(F.col("members").cast("string").alias("value"))
+    (rows.mapInArrow(releasing(_pack), "members binary").select(F.col("members").cast("string").alias("value"))
      .write.mode("error").option("lineSep", "\u0000").option("maxRecordsPerFile", ROWS_PER_FILE).text(path))
 
 
@@ -192,7 +192,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                 yield pa.RecordBatch.from_pylist(held, schema)
 
     files = spark.read.format("binaryFile").load(path)
-    return files.select("content").mapInArrow(read, RECORD_SCHEMA)
+    return files.select("content").mapInArrow(releasing(read), RECORD_SCHEMA)
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html") -> DataFrame:
