@@ -58,6 +58,12 @@ def model_validation_table(
     return wide.join(costs, "model", "left")
 
 
+def align_sample_target(sample: DataFrame, rows: DataFrame, identifier: str, target: str) -> DataFrame:
+    """The target of every sampled row, by identifier; the sample's rows
+    and columns stay."""
+    return sample.join(rows.select(identifier, target), identifier, "left")
+
+
 def align_predictions(actuals: DataFrame, predictions: DataFrame, identifier: str) -> DataFrame:
     """Actual and predicted values matched by identifier (Spark has no
     positional alignment).  Unmatched rows on either side surface as NULLs,

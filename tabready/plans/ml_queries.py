@@ -19,7 +19,6 @@ from tabready.operators.metrics import regression_metrics
 from tabready.plans import models as X
 from tabready.plans.standins import DOC_CATEGORICAL, DOC_NUMERIC, DOC_TARGET, doc_splits
 from tabready.session import staged
-from tabready.sources import io
 
 LABEL = "label"
 _SEARCHES: dict = {}
@@ -154,32 +153,6 @@ def q_trial_table(spark, sf):
     return trials.join(lb.select("model", "validation_rmse"), "model")
 
 
-def q_run_registry(spark, sf):
-    """S9 + S4: run records appended in long form to a registry table, then
-    read back and pivoted to one row per run."""
-    runs = X.runs_table(spark, sf)
-    run_id = F.concat_ws("/", "experiment_id", "platform", "feature_set")
-    metrics = ["validation_rmse", "test_rmse", "test_mae", "test_r2", "training_seconds", "prediction_seconds"]
-    long = runs.select(run_id.alias("run_id"), F.explode(F.array(
-        *[F.struct(F.lit("metric").alias("kind"), F.lit(m).alias("key"), F.col(m).cast("string").alias("value"))
-          for m in metrics],
-        F.struct(F.lit("param").alias("kind"), F.lit("feature_count").alias("key"),
-                 F.col("feature_count").cast("string").alias("value")),
-        F.struct(F.lit("tag").alias("kind"), F.lit("best_model").alias("key"), F.col("best_model").alias("value")),
-    )).alias("r")).select("run_id", "r.*")
-    base = io.versioned_path(_registry_base(spark), "run_registry")
-    long.write.mode("append").parquet(base)
-    back = spark.read.parquet(base)
-    keys = [*metrics, "feature_count", "best_model"]
-    return back.groupBy("run_id").pivot("key", keys).agg(F.first("value"))
-
-
-def _registry_base(spark):
-    from tabready.session import ensure_checkpoint_dir
-
-    return ensure_checkpoint_dir(spark) + "/registry"
-
-
 QUERIES = {
     "random_forest_baseline": (q_random_forest_baseline, None),
     "candidate_search": (q_candidate_search, None),
@@ -188,5 +161,4 @@ QUERIES = {
     "model_importance": (q_model_importance, None),
     "reduced_feature_rerun": (q_reduced_feature_rerun, None),
     "trial_table": (q_trial_table, None),
-    "run_registry": (q_run_registry, None),
 }

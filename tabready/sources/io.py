@@ -72,12 +72,29 @@ RUN_SUMMARY_SCHEMA = T.StructType([
     T.StructField("model_features", T.ArrayType(T.StringType())),
     T.StructField("top_five_features", T.ArrayType(T.StringType())),
     T.StructField("package_versions", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("recorded", T.LongType()),
 ])
 
 
 def read_run_registry(spark: SparkSession, glob: str, schema: T.StructType = RUN_SUMMARY_SCHEMA) -> DataFrame:
-    """Many run-summary JSON documents as one table (explicit schema, no inference)."""
-    return spark.read.schema(schema).option("multiLine", True).json(glob)
+    """Many run-summary JSON records as one table (explicit schema, no inference)."""
+    return spark.read.schema(schema).json(glob)
+
+
+def append_run_records(runs: DataFrame, path: str, recorded: int, tags: Mapping[str, str] | None = None) -> None:
+    """Append one JSON record per run to the registry at ``path``.
+    ``recorded`` orders records of a run (a time or a version); earlier ones stay."""
+    pairs = [F.lit(x) for kv in (tags or {}).items() for x in kv]
+    known = {f.name for f in RUN_SUMMARY_SCHEMA.fields}
+    (runs.withColumn("tags", F.create_map(*pairs)).withColumn("recorded", F.lit(recorded))
+     .select(*[c for c in [*runs.columns, "tags", "recorded"] if c in known]).write.mode("append").json(path))
+
+
+def latest_run_records(registry: DataFrame, run: Sequence[str]) -> DataFrame:
+    """The last record of each run: one aggregate per ``run`` key."""
+    last = F.max_by(F.struct(*registry.columns), "recorded").alias("_r")
+    return registry.groupBy(*run).agg(last).select("_r.*")
 
 
 # ---- S5-S8, S10, S11: writes ------------------------------------------------------
