@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabready.functions.arithmetic import residual, round_metric
+from tabready.operators.joins import join_small
+from tabready.session import ensure_checkpoint_dir
 
 
 def regression_metrics(
@@ -87,6 +89,8 @@ def actual_vs_predicted_grid(
         F.least(F.min(actual), F.min(predicted)).alias("lo"),
         F.greatest(F.max(actual), F.max(predicted)).alias("hi"),
     )
+    ensure_checkpoint_dir(preds.sparkSession)
+    bounds = bounds.checkpoint(eager=True)
     width = (F.col("hi") - F.col("lo")) / bins
 
     def bin_of(c):
@@ -94,7 +98,7 @@ def actual_vs_predicted_grid(
         return F.least(raw, F.lit(bins - 1)).cast("int")
 
     return (
-        preds.join(bounds, list(by))
+        join_small(preds, bounds, by)
         .groupBy(*by, "lo", "hi", bin_of(actual).alias("actual_bin"), bin_of(predicted).alias("predicted_bin"))
         .agg(F.count(F.lit(1)).alias("points"))
         .withColumn("lo", round_metric("lo"))

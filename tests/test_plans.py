@@ -55,3 +55,15 @@ def test_no_text_in_an_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
     assert exchanged and not any("text" in x for x in exchanged)
+
+
+def test_candidates_score_in_one_pass(spark):
+    from tabready.operators.candidates import candidate_predictions
+    from tabready.plans import models as X
+    from tabready.plans.standins import doc_splits
+
+    splits = doc_splits(spark, SF)
+    preds = candidate_predictions(splits, X.CANDIDATES, "doc_id", X.DOC_TARGET)
+    plan = plan_of(preds, "simple")
+    assert plan.count("FileScan") == 1 and " Exchange" not in plan and "SortMergeJoin" not in plan
+    assert preds.count() == splits.count() * len(X.CANDIDATES)
