@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tabready.operators import compare, importance, train
 from tabready.operators.metrics import regression_metrics
 from tabready.plans import models as X
-from tabready.plans.standins import DOC_CATEGORICAL, DOC_NUMERIC, DOC_TARGET, doc_splits
-from tabready.session import staged
+from tabready.plans.standins import DOC_CATEGORICAL, DOC_NUMERIC, DOC_TARGET, doc_inputs, doc_splits
+from tabready.session import input_version, staged
 
 LABEL = "label"
 _SEARCHES: dict = {}
@@ -31,23 +31,28 @@ def _prepared(spark, sf):
         splits = doc_splits(spark, sf)
         fill = train.fit_median_imputer(splits.filter(F.col("data_split") == "train"), DOC_NUMERIC)
         return train.apply_imputer(splits, fill).withColumn(LABEL, F.col(DOC_TARGET).cast("double"))
-    return staged(spark, f"ml_prepared:{sf}", build)
+    return staged(spark, f"ml_prepared:{sf}", build, doc_inputs(sf))
 
 
 def _search(spark, sf, numeric, categoricals):
-    key = (spark.sparkContext.applicationId, sf, tuple(numeric), tuple(categoricals))
+    key = (spark.sparkContext.applicationId, input_version(spark, doc_inputs(sf)), tuple(numeric), tuple(categoricals))
     if key not in _SEARCHES:
         df = _prepared(spark, sf)
         tr = df.filter(F.col("data_split") == "train").cache()
         fitted = train.candidate_search(tr, numeric, categoricals, LABEL, train.default_candidates(LABEL),
                                         max_models=5, time_limit_seconds=None)
         preds = staged(spark, f"ml_preds:{sf}:{numeric}:{categoricals}",
-                       lambda: train.long_predictions(fitted, df, "doc_id", LABEL))
+                       lambda: train.long_predictions(fitted, df, "doc_id", LABEL), doc_inputs(sf))
         tr.unpersist()
         _SEARCHES[key] = (fitted, preds)
     return _SEARCHES[key]
 
 
+def forget_searches() -> None:
+    """Let the next use of every search fit anew (for the bench)."""
+    _SEARCHES.clear()
+
+
 def _leaderboard(spark, sf, numeric=DOC_NUMERIC, categoricals=DOC_CATEGORICAL):
     fitted, preds = _search(spark, sf, list(numeric), list(categoricals))
     return train.leaderboard_from_predictions(preds, {f.name: f.fit_seconds for f in fitted}), fitted, preds

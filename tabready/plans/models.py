@@ -20,7 +20,7 @@ from tabready.operators.leaderboard import top_features
 from tabready.operators.metrics import model_validation_table
 from tabready.operators.profile import target_correlation
 from tabready.session import staged
-from tabready.plans.standins import DOC_CATEGORICAL, DOC_NUMERIC, DOC_TARGET, doc_splits
+from tabready.plans.standins import DOC_CATEGORICAL, DOC_NUMERIC, DOC_TARGET, doc_inputs, doc_splits
 
 EXPERIMENT = "documents_n_chars"
 TOP_K = 2
@@ -48,7 +48,7 @@ BASELINE_PLATFORM = "baseline"
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Every candidate's prediction for every document and split (staged)."""
     return staged(spark, f"doc_predictions:{sf}",
-                  lambda: candidate_predictions(doc_splits(spark, sf), CANDIDATES, "doc_id", DOC_TARGET))
+                  lambda: candidate_predictions(doc_splits(spark, sf), CANDIDATES, "doc_id", DOC_TARGET), doc_inputs(sf))
 
 
 def leaderboard(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,4 +131,4 @@ def runs_table(spark: SparkSession, sf: str) -> DataFrame:
     def build():
         automl, base = run_summaries(spark, sf)
         return normalize_run_rows(automl, base, BASELINE_PLATFORM)
-    return staged(spark, f"runs:{sf}", build)
+    return staged(spark, f"runs:{sf}", build, doc_inputs(sf))

@@ -79,14 +79,16 @@ def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared table as later steps read it: written once per session
     (S5) and scanned back, as the quality gate, statistics and resplit read
     the prepared Parquet rather than re-running preparation."""
-    return staged(spark, f"prepared_lines:{sf_dir}", lambda: prepared_lines(spark, sf_dir))
+    return staged(spark, f"prepared_lines:{sf_dir}", lambda: prepared_lines(spark, sf_dir),
+                  [f"{sf_dir}/lineitem.parquet"])
 
 
 def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared table with its split labels, staged once per session."""
     c = line_contract()
     return staged(spark, f"split_lines:{sf_dir}",
-                  lambda: deterministic_split(prepared_table(spark, sf_dir), c.identifier, SPLIT_FRACTIONS, SEED))
+                  lambda: deterministic_split(prepared_table(spark, sf_dir), c.identifier, SPLIT_FRACTIONS, SEED),
+                  [f"{sf_dir}/lineitem.parquet"])
 
 
 # ---- the documents model table ------------------------------------------------
@@ -96,6 +98,11 @@ DOC_CATEGORICAL = ("lang", "source")
 DOC_TARGET = "n_chars"
 
 
+def doc_inputs(sf_dir: str) -> list[str]:
+    """The files that the documents model table is made of."""
+    return [f"{sf_dir}/documents.parquet", f"{sf_dir}/labels.parquet"]
+
+
 def doc_model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, word_count, line_count, quality, toxic, lang, source, n_chars``.
 
@@ -119,4 +126,4 @@ def doc_model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model table with its split labels, staged once per session."""
     return staged(spark, f"doc_splits:{sf_dir}",
-                  lambda: deterministic_split(doc_model_table(spark, sf_dir), "doc_id", SPLIT_FRACTIONS, SEED))
+                  lambda: deterministic_split(doc_model_table(spark, sf_dir), "doc_id", SPLIT_FRACTIONS, SEED), doc_inputs(sf_dir))

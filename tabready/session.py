@@ -7,9 +7,12 @@ tests, the bench and the driver smoke check.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,25 +57,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(f"Set {CHECKPOINT_CONF} to shared storage; checkpoints and staged tables "
                                "must survive executor loss.")
         current = tempfile.mkdtemp(prefix="tabready-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)  # the scratch folder ends with the application
         spark.conf.set(CHECKPOINT_CONF, current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGED: dict[tuple, str] = {}
 
 
-def staged(spark: SparkSession, key: str, build) -> DataFrame:
-    """Build a table once per application and key, write it under the shared
-    checkpoint folder and read it back.
+def input_version(spark: SparkSession, paths: Sequence[str]) -> tuple:
+    """Modification time and size of each input, on any file system of the session."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        out.append((p, fs.getFileStatus(path).getModificationTime(), fs.getContentSummary(path).getLength()))
+    return tuple(out)
+
+
+def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame], inputs: Sequence[str]) -> DataFrame:
+    """Build a table once per application, key and version of its inputs, write
+    it under the shared checkpoint folder and read it back.
 
     Intermediate tables that several queries reuse (the split model table,
     the long predictions table) are computed once; the written copy cuts the
     lineage, so a lost executor re-reads Parquet instead of re-running the
-    upstream plan.
+    upstream plan.  A rewritten input is a new version and is built anew.
     """
-    memo_key = (spark.sparkContext.applicationId, key)
+    memo_key = (spark.sparkContext.applicationId, key, input_version(spark, inputs))
     path = _STAGED.get(memo_key)
     if path is None:
         df = build()
@@ -81,3 +96,8 @@ def staged(spark: SparkSession, key: str, build) -> DataFrame:
         df.write.mode("error").parquet(path)
         _STAGED[memo_key] = path
     return spark.read.parquet(path)
+
+
+def forget_staged() -> None:
+    """Let the next use of every staged table build it anew (for the bench)."""
+    _STAGED.clear()
