@@ -266,21 +266,29 @@ def pivot_edges(rows: DataFrame) -> DataFrame:
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     at = lambda n: F.pmod(F.xxhash64("sid"), n).cast("int")
     left = (odd.join(apart, "node").withColumn("i", at(blocks("r")))
-            .select("node", "sid", "sketch", "i", F.explode(F.sequence(F.lit(0), blocks("n") - 1)).alias("j"), F.lit(True).alias("odd")))
+            .select("node", "sid", "sketch", "i", F.explode(F.sequence(F.lit(0), blocks("n") - 1)).alias("j"), F.lit(0).alias("side")))
     right = (scored.join(apart, "node").withColumn("j", at(blocks("n")))
-             .select("node", "sid", "sketch", F.explode(F.sequence(F.lit(0), blocks("r") - 1)).alias("i"), "j", F.lit(False).alias("odd")))
+             .select("node", "sid", "sketch", F.explode(F.sequence(F.lit(0), blocks("r") - 1)).alias("i"), "j", F.when(close, 1).otherwise(2).alias("side")))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in grouped(batches, ["node", "i", "j"]):
-            sketch, sid, is_odd = _rows(frame["sketch"]), frame["sid"].to_numpy(), frame["odd"].to_numpy()
+            sketch, sid, side = _rows(frame["sketch"]), frame["sid"].to_numpy(), frame["side"].to_numpy()
             bounds = _bounds(frame, ["node", "i", "j"])
             for lo, hi in zip(bounds[:-1], bounds[1:]):
-                rest = lo + np.flatnonzero(~is_odd[lo:hi])
-                for k in lo + np.flatnonzero(is_odd[lo:hi]):
-                    near = rest[alike(sketch[rest], sketch[k]) >= THRESHOLD - MARGIN]
-                    near = near[sid[near] != sid[k]]
-                    # one edge suffices among sets that the pivot has joined, but which they are isn't known here
-                    yield pd.DataFrame({"a": np.repeat(sid[k:k + 1], len(near)), "b": sid[near]})
+                odds, joined, others = (lo + np.flatnonzero(side[lo:hi] == k) for k in (0, 1, 2))
+                near = np.array([alike(sketch[joined], sketch[k]) for k in odds]).reshape(len(odds), len(joined)) >= THRESHOLD - MARGIN
+                # the pivot has joined that side already: one edge does
+                some = near.any(1) if len(joined) else np.zeros(len(odds), bool)
+                a, b = [sid[odds[some]]], [sid[joined[near.argmax(1)[some]]] if some.any() else sid[:0]]
+                both = np.concatenate([odds, others])
+                full = np.zeros((len(both), len(both)), bool)
+                for n, k in enumerate(odds):
+                    full[n, len(odds):] = alike(sketch[others], sketch[k]) >= THRESHOLD - MARGIN
+                full |= full.T
+                label = _spanning(full)
+                a.append(sid[both])
+                b.append(sid[both[label]])
+                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     rest = left.unionByName(right)
     keys = ["node", "i", "j"]
@@ -320,28 +328,34 @@ def with_sketch(rows: DataFrame) -> DataFrame:
     return rows.select("node", "sid", F.pandas_udf(releasing(run), "binary")("sig").alias("sketch"))
 
 
-def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, from shared shingles only, some thousand at a time."""
-    out = np.zeros((len(a), len(b)), np.float32)
-    code, place = np.unique(np.concatenate(a + b), return_inverse=True)
-    split = sum(map(len, a))
-    row_a = np.repeat(np.arange(len(a)), [len(x) for x in a])
-    row_b = np.repeat(np.arange(len(b)), [len(x) for x in b])
-    seen = np.zeros(len(code), np.int8)
-    seen[place[:split]] |= 1
-    seen[place[split:]] |= 2
-    new = np.cumsum(seen == 3) - 1
-    keep_a, keep_b = seen[place[:split]] == 3, seen[place[split:]] == 3
-    row_a, col_a, row_b, col_b = row_a[keep_a], new[place[:split][keep_a]], row_b[keep_b], new[place[split:][keep_b]]
-    order_a, order_b = np.argsort(col_a, kind="stable"), np.argsort(col_b, kind="stable")
-    row_a, col_a, row_b, col_b = row_a[order_a], col_a[order_a], row_b[order_b], col_b[order_b]
+def intersections(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of all intersections of ``a`` with ``b`` (or among ``a``), some
+    thousand shingles at a time, from those only that two sets share."""
+    both = a if b is None else a + b
+    code, place = np.unique(np.concatenate(both), return_inverse=True)
+    row = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    if b is None:
+        shared = np.bincount(place, minlength=len(code)) > 1
+    else:
+        split = sum(map(len, a))
+        shared = np.zeros(len(code), bool)
+        shared[place[:split]] = True
+        second = np.zeros(len(code), bool)
+        second[place[split:]] = True
+        shared &= second
+    keep = shared[place]
+    row, col = row[keep], (np.cumsum(shared) - 1)[place[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(a), len(both) - len(a) if b is not None else len(a)), np.float32)
     step = 2048
-    for lo in range(0, int((seen == 3).sum()), step):
-        x, y = np.zeros((len(a), step), np.float32), np.zeros((len(b), step), np.float32)
-        for m, rows, cols in ((x, row_a, col_a), (y, row_b, col_b)):
-            i, j = np.searchsorted(cols, [lo, lo + step])
-            m[rows[i:j], cols[i:j] - lo] = 1
-        out += x @ y.T
+    for lo in range(0, int(shared.sum()), step):
+        i, j = np.searchsorted(col, [lo, lo + step])
+        m = np.zeros((len(both), step), np.float32)
+        m[row[i:j], col[i:j] - lo] = 1
+        out += m @ m.T if b is None else m[:len(a)] @ m[len(a):].T
+    if b is None:
+        np.fill_diagonal(out, [len(x) for x in a])
     return out
 
 
@@ -362,15 +376,20 @@ def exact_links(members: DataFrame) -> DataFrame:
             out = []
             for lo, hi in zip(bounds[:-1], bounds[1:]):
                 part = frame.iloc[lo:hi].drop_duplicates("sid")
+                part = part.sort_values("at", kind="stable")
                 sets = [np.frombuffer(s, np.uint64) for s in part["shingles"]]
-                sid, copies = part["sid"].to_numpy(), part["copies"].to_numpy()
+                sid, copies, at = part["sid"].to_numpy(), part["copies"].to_numpy(), part["at"].to_numpy()
                 count = np.array([len(s) for s in sets], np.float64)
-                inner = intersections(sets, sets).astype(float)
-                near = inner >= THRESHOLD * (count[:, None] + count[None, :] - inner) - 1e-9
+                near = np.zeros((len(sets), len(sets)), bool)
+                first = int((at == at[0]).sum()) if part["i"].iloc[0] != part["j"].iloc[0] else 0
+                if not first:
+                    inner = intersections(sets)
+                    near = inner >= THRESHOLD * (count[:, None] + count[None, :] - inner) - 1e-9
+                elif first < len(sets):  # pairs inside a block are counted in its own task
+                    inner = intersections(sets[:first], sets[first:])
+                    cross = inner >= THRESHOLD * (count[:first, None] + count[None, first:] - inner) - 1e-9
+                    near[:first, first:], near[first:, :first] = cross, cross.T
                 label = _spanning(near)
-                if part["i"].iloc[0] != part["j"].iloc[0]:
-                    at = part["at"].to_numpy()
-                    near = near & (at[:, None] != at[None, :])  # pairs inside a block are counted there
                 np.fill_diagonal(near, False)
                 out.append(pd.DataFrame({"sid": sid, "root": sid[label], "links": near @ copies, "whole": part["n"].to_numpy() == 1}))
             yield pd.concat(out, ignore_index=True)
