@@ -121,7 +121,7 @@ def q_run_registry(spark, sf):
     runs = X.runs_table(spark, sf).withColumnRenamed("training_seconds", "training_wall_clock_seconds")
     io.append_run_records(runs.withColumn("test_rmse", F.lit(-1.0)), path, 1, {"stage": "draft"})
     io.append_run_records(runs, path, 2, {"stage": "final"})
-    last = io.latest_run_records(io.read_run_registry(spark, path), ["experiment_id", "platform", "feature_set", "best_model"])
+    last = io.latest_run_records(io.read_run_registry(spark, path, lines=True), ["experiment_id", "platform", "feature_set", "best_model"])
     return last.select("experiment_id", "platform", "feature_set", "best_model", "feature_count", F.round("validation_rmse", 6).alias("validation_rmse"),
                        F.round("test_rmse", 6).alias("test_rmse"), F.size("model_features").alias("n_features"), F.col("tags")["stage"].alias("stage"))
 

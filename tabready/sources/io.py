@@ -77,9 +77,10 @@ RUN_SUMMARY_SCHEMA = T.StructType([
 ])
 
 
-def read_run_registry(spark: SparkSession, glob: str, schema: T.StructType = RUN_SUMMARY_SCHEMA) -> DataFrame:
-    """Many run-summary JSON records as one table (explicit schema, no inference)."""
-    return spark.read.schema(schema).json(glob)
+def read_run_registry(spark: SparkSession, glob: str, schema: T.StructType = RUN_SUMMARY_SCHEMA, lines: bool = False) -> DataFrame:
+    """Many run-summary JSON documents as one table (explicit schema, no
+    inference); ``lines`` reads appended records (S9), one per line."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(glob)
 
 
 def append_run_records(runs: DataFrame, path: str, recorded: int, tags: Mapping[str, str] | None = None) -> None:

@@ -67,3 +67,12 @@ def test_candidates_score_in_one_pass(spark):
     plan = plan_of(preds, "simple")
     assert plan.count("FileScan") == 1 and " Exchange" not in plan and "SortMergeJoin" not in plan
     assert preds.count() == splits.count() * len(X.CANDIDATES)
+
+
+def test_profile_of_texts_shuffles_digests(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = plan_of(profile.column_profile(docs, columns=["text", "lang"]), "formatted")
+    assert "md5" in plan
+    long = spark.createDataFrame([("a" * 5000 + str(k),) for k in range(20)] * 2, "t string")
+    row = profile.column_profile(long).first()
+    assert (row.unique_count, row.row_count, row.sample_values) == (20, 40, " | ".join(["a" * 100] * 3))
