@@ -72,6 +72,14 @@ def on_executors(step: Callable) -> Callable:
     return run
 
 
+def release_memory() -> None:
+    """Hand free memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def releasing(step: Callable) -> Callable:
     """An iterator function of a task that hands free memory back to the system
     when it ends: Python workers live on, and their allocators keep the most
@@ -81,10 +89,7 @@ def releasing(step: Callable) -> Callable:
         try:
             yield from step(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # glibc only
-                ctypes.CDLL(None).malloc_trim(0)
+            release_memory()
 
     return run
 

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabready.llm.common import releasing
+from tabready.llm.common import release_memory, releasing
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNKNOWN = "und"
@@ -292,7 +292,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     texts = [(words_of(r.text), r.lang) for r in sample]
     languages = sorted({lang for words, lang in texts if words})
     y = {lang: k for k, lang in enumerate(languages)}
-    return Crf(languages).fit(spliced([(words, y[lang]) for words, lang in texts if words]))
+    model = Crf(languages).fit(spliced([(words, y[lang]) for words, lang in texts if words]))
+    del sample, texts
+    release_memory()
+    return model
 
 
 def predictions(model: Crf, texts: list[str | None]) -> list[tuple[str, float]]:
