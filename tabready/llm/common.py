@@ -32,10 +32,17 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
 
 def written(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` to the shared folder and scan it back: lineage ends here,
-    and a lost executor costs a re-read, not a re-run."""
-    path = scratch_path(df.sparkSession, kind)
+    and a lost executor costs a re-read, not a re-run.
+
+    Shuffle files go when the driver's JVM collects the plans that made them,
+    which may be long after; asking for a collection here lets the disk of a
+    finished step serve the next one."""
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_path(spark, kind)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
