@@ -94,6 +94,5 @@ def test_hot_group_is_not_hashed_on_its_key(spark):
 
 
 def test_nan_is_missing_in_aggregates(spark):
-
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),)], "v double")
     assert exact_quantiles(df, "v", [0.5], names=["m"]).first()["m"] == 2.0
