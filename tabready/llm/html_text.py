@@ -60,6 +60,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.out, self.link = ["#root"], [-1], [False], [False]
+        self.named_out = [False]  # by its class or id words only
         self.runs: list[tuple[int, str]] = []  # node and text; a block boundary is a space
         self._open = [0]
         self._read(source)
@@ -119,7 +120,8 @@ class Page:
         node, parent = len(self.tag), self._open[-1]
         self.tag.append(name)
         self.parent.append(parent)
-        self.out.append(self.out[parent] or self._dropped(name, attributes))
+        self.out.append(self._dropped(name, attributes))
+        self.named_out.append(self._named_dropped(name, attributes))
         self.link.append(self.link[parent] or name == "a")
         if name not in VOID:
             self._open.append(node)
@@ -154,8 +156,12 @@ class Page:
             return False
         if name in DROPPED or "hidden" in attributes or attributes.get("role", "").lower() in DROPPED_ROLES:
             return True
-        if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
-            return True
+        return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I))
+
+    @staticmethod
+    def _named_dropped(name: str, attributes: dict[str, str]) -> bool:
+        if name in NEVER_DROPPED and name != "article" or not ("class" in attributes or "id" in attributes):
+            return False
         words = WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
         return any(w in DROPPED_WORDS for w in words) and not any(w in KEPT_WORDS for w in words)
 
@@ -169,8 +175,12 @@ class Page:
             for i in range(1, n):
                 inside[i] = inside[parent[i]] or tag[i] in ("article", "main")
             header = [t == "header" and not inside[i] for i, t in enumerate(tag)]
+        holds_main = [False] * n  # a wrapper of the article stays, whatever its class says
+        for i in range(n - 1, 0, -1):
+            if holds_main[i] or tag[i] in ("article", "main") and not self.named_out[i]:
+                holds_main[parent[i]] = True
         for i in range(1, n):
-            out[i] = out[i] or header[i] or out[parent[i]]
+            out[i] = out[i] or self.named_out[i] and not holds_main[i] or header[i] or out[parent[i]]
         chars, commas, linked, direct = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.runs:
             if not out[node] and (size := len(text.strip())):

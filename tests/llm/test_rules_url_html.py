@@ -121,6 +121,12 @@ def test_container_without_article():
     assert html_text.main_text(page) == "One sentence, with commas, here. Short. x y"
 
 
+def test_wrapper_of_the_article_stays():
+    page = "<div id=page class='comment-open sidebar'><article><p>Text, here.</p><div class=ad>Buy</div></article></div><div class=sidebar>Side</div>"
+    assert html_text.main_text(page) == "Text, here."
+    assert html_text.main_text("<p>A, real, text.</p><div class=comments><article class=comment><p>I, think, so</p></article></div>") == "A, real, text."
+
+
 def test_awkward_pages(spark):
     pages = [None, "", "<", "<<<p", "plain text", "<p>cut <b off", "<!-- open", "<div>" * 3000 + "deep", "<script>never closed",
              "<p>a" * 2000, "<a title='x>y'>z</a>", "&lt;p&gt; &#x41; &bogus; &am"]
