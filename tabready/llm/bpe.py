@@ -32,8 +32,10 @@ from tokenizers import Tokenizer
 
 from tabready.llm.common import releasing
 
-#: Words whose ids a worker keeps, and the longest word (in characters) it keeps.
-KEPT_WORDS, KEPT_LENGTH = 120_000, 64
+#: Words whose ids a worker keeps (at most twice as many: those met since the
+#: last change of generation and those of the one before), and the longest word
+#: (in characters) it keeps.
+KEPT_WORDS, KEPT_LENGTH = 160_000, 64
 NO_PAIR = 1 << 60
 
 # The word pattern of this vocabulary.
@@ -103,6 +105,7 @@ class Bpe:
         self.last = [self.vocab[s + self.suffix] for s in symbols]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self._kept: dict[str, tuple[bytes, int, str]] = {}
+        self._before: dict[str, tuple[bytes, int, str]] = {}
 
     def merge_word(self, word: str) -> list[int]:
         """The ids of one word."""
@@ -133,11 +136,14 @@ class Bpe:
         return [x for x, y in zip(ids, alive) if y]
 
     def _word(self, word: str) -> tuple[bytes, int, str]:
-        ids = self.merge_word(word)
-        out = array("I", ids).tobytes(), len(ids), self.decode(ids)
+        """A word that is not among the recently met."""
+        out = self._kept.get(word) or self._before.get(word)
+        if out is None:
+            ids = self.merge_word(word)
+            out = array("I", ids).tobytes(), len(ids), self.decode(ids)
         if len(word) <= KEPT_LENGTH:
             if len(self._kept) >= KEPT_WORDS:
-                self._kept.clear()
+                self._before, self._kept = self._kept, {}
             self._kept[word] = out
         return out
 

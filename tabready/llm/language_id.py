@@ -20,7 +20,7 @@ length are labelled whole; further columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +37,7 @@ BUCKETS = 1 << 17
 #: document (characters) and the most languages.
 DOCS_PER_LANGUAGE, MAX_TRAINING_CHARS, MAX_LANGUAGES = 300, 20_000, 500
 #: Words whose scores a worker keeps; words that run through the chain at a time.
-KEPT_WORDS, CHAIN_WORDS = 500_000, 400_000
+KEPT_WORDS, CHAIN_WORDS = 200_000, 200_000
 LONGEST_WORD = 40
 
 
@@ -152,42 +152,62 @@ class Crf:
         return gamma, (pair * mask[:, 1:, None, None]).sum((0, 1)), gamma[:, 0].sum(0)
 
     # -- labelling --------------------------------------------------------
-    def _word_rows(self, words: list[str]) -> np.ndarray:
-        """Rows of the emission table, made for words not seen yet."""
-        index = self._index
-        new = [w for w in dict.fromkeys(words) if w not in index]
-        if new:
-            if len(index) + len(new) > KEPT_WORDS and index:
-                index.clear()
-                self._emit = np.zeros((0, len(self.languages)))
-                return self._word_rows(words)
-            feats = [word_features(w) for w in new]
-            first = np.concatenate([[0], np.cumsum([len(f) for f in feats])[:-1]])
-            sums = np.add.reduceat(self.weights[np.concatenate(feats)].astype(float), first, axis=0)
-            self._emit = np.concatenate([self._emit, np.exp(np.maximum(sums - sums.max(1, keepdims=True), -300))])
-            for w in new:
-                index[w] = len(index)
-        return np.array([index[w] for w in words], np.int64)
+    def word_ids(self, texts: Iterable[list[str]]) -> list[np.ndarray]:
+        """Rows of the emission table for the words of each text; rows are made
+        for words not seen yet.  Ids hold until the next call."""
+        if len(self._index) > KEPT_WORDS:
+            self._index, self._emit = {}, np.zeros((0, len(self.languages)))
+        index, out = self._index, []
+        for words in texts:
+            ids = [index.get(w) for w in words]
+            if None in ids:
+                self._learn_words([w for w in dict.fromkeys(words) if w not in index])
+                ids = [index[w] for w in words]
+            out.append(np.array(ids, np.int32))
+        return out
 
-    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Language probabilities of every word of every text.  Texts are
-        sorted by length and run side by side, one position at a time."""
-        out: list[np.ndarray] = [np.zeros((0, len(self.languages)))] * len(texts)
-        order = sorted((i for i, t in enumerate(texts) if t), key=lambda i: -len(texts[i]))
-        at = 0
+    def _learn_words(self, new: list[str]) -> None:
+        feats = [word_features(w) for w in new]
+        first = np.concatenate([[0], np.cumsum([len(f) for f in feats])[:-1]])
+        sums = np.add.reduceat(self.weights[np.concatenate(feats)].astype(float), first, axis=0)
+        n = len(self._index)
+        if n + len(new) > len(self._emit):
+            grown = np.zeros((max(2 * len(self._emit), n + len(new), 1024), len(self.languages)))
+            grown[:n] = self._emit[:n]
+            self._emit = grown
+        self._emit[n:n + len(new)] = np.exp(np.maximum(sums - sums.max(1, keepdims=True), -300))
+        for w in new:
+            self._index[w] = len(self._index)
+
+    def _groups(self, ids: list[np.ndarray]) -> Iterator[list[int]]:
+        """Texts of similar length, some words at a time, longest first."""
+        order, at = sorted((i for i, t in enumerate(ids) if len(t)), key=lambda i: -len(ids[i])), 0
         while at < len(order):
             group, size = [], 0
-            while at < len(order) and (not group or size + len(texts[order[at]]) <= CHAIN_WORDS):
+            while at < len(order) and (not group or size + len(ids[order[at]]) <= CHAIN_WORDS):
                 group.append(order[at])
-                size += len(texts[order[at]])
+                size += len(ids[order[at]])
                 at += 1
-            for i, p in zip(group, self._chain([texts[i] for i in group])):
-                out[i] = p
+            yield group
+
+    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Language probabilities of every word of every text."""
+        ids = self.word_ids(texts)
+        out: list[np.ndarray] = [np.zeros((0, len(self.languages)))] * len(ids)
+        for group in self._groups(ids):
+            p, major = self._chain([ids[i] for i in group])
+            minor = np.empty_like(p)
+            minor[major] = p
+            for i, part in zip(group, np.split(minor, np.cumsum([len(ids[i]) for i in group])[:-1])):
+                out[i] = part
         return out
 
-    def _chain(self, texts: list[list[str]]) -> list[np.ndarray]:
+    def _chain(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Language probabilities of all words, side by side: all first words,
+        all second words, ...; and the place of each in the texts' order.  The
+        texts come longest first."""
         lengths = np.array([len(t) for t in texts])
-        rows = self._word_rows([w for t in texts for w in t])
+        rows = np.concatenate(texts)
         first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         # position-major order: all first words, all second words, ...
         step = np.arange(lengths.sum()) - np.repeat(first, lengths)
@@ -212,22 +232,21 @@ class Crf:
             beta[:n] = x / x.sum(1, keepdims=True)
         alpha[:off[1]] *= beta
         alpha /= alpha.sum(1, keepdims=True)
-        minor = np.empty_like(alpha)
-        minor[major] = alpha
-        return np.split(minor, first[1:])
+        return alpha, major
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score of each text."""
         if not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
-        out = []
-        for p in self.posteriors([words_of(t) for t in texts]):
-            if not len(p):
-                out.append((UNKNOWN, 0.0))
-                continue
-            sums = p.sum(0)
-            k = int(np.argmax(sums))
-            out.append((self.languages[k], float(min(1.0, sums[k] / len(p)))))
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        ids = self.word_ids(map(words_of, texts))
+        for group in self._groups(ids):
+            p, major = self._chain([ids[i] for i in group])
+            lengths = np.array([len(ids[i]) for i in group])
+            sums = summed(np.repeat(np.arange(len(group)), lengths)[major], p, len(group))
+            best = sums.argmax(1)
+            for i, k, total, n in zip(group, best, sums.max(1), lengths):
+                out[i] = self.languages[k], float(min(1.0, total / n))
         return out
 
     def runs(self, text: str | None) -> list[tuple[int, int, str]]:
