@@ -41,6 +41,7 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     path = scratch_path(spark, kind)
     df.write.mode("error").parquet(path)
     del df
+    gc.collect()
     spark._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
