@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from tabready.llm.common import ship
+
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -22,6 +24,7 @@ def awkward_texts() -> list[str | None]:
 
 def table(spark, texts, first_id=10, **extra):
     """Documents with ids from ``first_id``, one null id, a repeated row, and a column that clashes."""
+    ship(spark)
     rows = [(first_id + i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
     if rows:
         rows += [rows[-1], (None, texts[-1], None, None, None)]
