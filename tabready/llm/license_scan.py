@@ -4,8 +4,11 @@ Words of a text are joined with the template positions on the hash of each
 ``K`` consecutive words, and compared word by word.  A hit votes for its
 diagonal (text position minus template position).  Diagonals are aggregated per
 document and template, neighbouring diagonals that overlap are merged to spans,
-and a span counts if it covers enough of the template's words.  Base phrases
-are counted at every place.
+and a span counts if it covers enough of the template's words and all of its
+distinguishing places (``required_places``), so that notices which differ by one
+word or by an inserted word get their own label only.  Base phrases are counted
+at every place; their labels stand whatever the templates say, so a notice of
+the Lesser or Affero license keeps the base phrase's ``gpl``.
 
 Templates are configuration of at most ``MAX_TEMPLATE_WORDS`` words, which
 bounds their broadcast.  A row per word leaves the join only where a template
@@ -19,6 +22,8 @@ are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,13 +79,48 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(safe), F.lit(f"({WORD})"), F.lit(1))
 
 
+def template_words(templates: list[tuple[str, str]]) -> list[list[str]]:
+    """The words of each template; one too short for a gram is an error."""
+    out = [re.findall(WORD, text.lower()) for _, text in templates]
+    for (label, text), ws in zip(templates, out):
+        if len(ws) < K:
+            raise ValueError(f"template of {label} has less than {K} words: {text!r}")
+    return out
+
+
+def required_places(templates: list[tuple[str, str]]) -> list[list[tuple[int, int]]]:
+    """For each template the ranges of ``tpos`` of which a span must hold one.
+
+    Distinguishing words are those of the template's own label, and those
+    between two words on either side (or one and the template's end) where a
+    template of another label has other words, or none (up to ``SLACK``, the
+    shorter of the two up to 2).  Each such word must be in the text, next to
+    its neighbours in the template."""
+    parts = template_words(templates)
+    between: dict[tuple[str, ...], set[tuple[str, tuple[str, ...]]]] = {}
+    places = []
+    for tid, ((label, _), ws) in enumerate(zip(templates, parts)):
+        ended = [*ws, ""]
+        for i in range(2, len(ws)):
+            for j in range(i, min(i + SLACK, len(ws) - 1) + 1):
+                key = (*ws[i - 2:i], *ended[j:j + 2])
+                between.setdefault(key, set()).add((label, tuple(ws[i:j])))
+                places.append((tid, i, j, key))
+    needs: list[set[tuple[int, int]]] = [set() for _ in parts]
+    for tid, ((label, _), ws) in enumerate(zip(templates, parts)):
+        own = set(re.findall(WORD, label.lower()))
+        needs[tid] |= {(i, i) for i, w in enumerate(ws) if w in own}
+    for tid, i, j, key in places:
+        label, middle = templates[tid][0], tuple(parts[tid][i:j])
+        if any(other != label and m != middle and min(len(m), len(middle)) <= 2 for other, m in between[key]):
+            needs[tid] |= {(p, p + 1) for p in range(i - 1, j)}
+    return [sorted({(max(0, b - K + 1), min(a, len(ws) - K)) for a, b in need}) for need, ws in zip(needs, parts)]
+
+
 def word_grams(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     """``tid, label, length, tpos, t0.., gram`` of every template position."""
-    import re
-
     rows = []
-    for tid, (label, text) in enumerate(templates):
-        ws = re.findall(WORD, text.lower())
+    for tid, ((label, _), ws) in enumerate(zip(templates, template_words(templates))):
         rows += [(tid, label, len(ws), i, *ws[i:i + K]) for i in range(len(ws) - K + 1)]
     if len(rows) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"at most {MAX_TEMPLATE_WORDS} template words")
@@ -102,7 +142,7 @@ def template_hits(docs: DataFrame, templates: list[tuple[str, str]]) -> DataFram
     return grams.join(F.broadcast(table), "gram").where(same).select("row_key", "tid", "label", "length", "tpos", "pos")
 
 
-def template_spans(hits: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+def template_spans(hits: DataFrame, templates: list[tuple[str, str]], min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``row_key, tid, label, first, last, coverage`` of verified spans."""
     votes = (hits.withColumn("diagonal", F.col("pos") - F.col("tpos")).groupBy("row_key", "tid", "label", "length", "diagonal")
              .agg(F.collect_set("tpos").alias("covered"), F.min("pos").alias("first"), F.max("pos").alias("last")))
@@ -114,7 +154,10 @@ def template_spans(hits: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataF
     spans = (numbered.groupBy("row_key", "tid", "label", "length", "span")
              .agg(F.min("first").alias("first"), (F.max("last") + K).alias("last"), F.flatten(F.collect_list("covered")).alias("at")))
     in_template = F.size(F.array_distinct(F.flatten(F.transform("at", lambda x: F.sequence(x, x + (K - 1))))))
+    needs = hits.sparkSession.createDataFrame(list(enumerate(required_places(templates))), "tid int, needs array<struct<lo: int, hi: int>>")
     return (spans.withColumn("coverage", in_template / F.col("length")).where(F.col("coverage") >= min_coverage)
+            .join(F.broadcast(needs), "tid")
+            .where(F.forall("needs", lambda r: F.exists("at", lambda x: x.between(r["lo"], r["hi"]))))
             .select("row_key", "tid", "label", "first", "last", "coverage"))
 
 
@@ -144,7 +187,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     score, spans``, one row per input row; ``score`` is the best coverage."""
     phrases, templates = phrases or PHRASES, templates or TEMPLATES
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col))
-    found = (template_spans(template_hits(rows, templates), min_coverage).groupBy("row_key")
+    found = (template_spans(template_hits(rows, templates), templates, min_coverage).groupBy("row_key")
              .agg(F.collect_set("label").alias("found"), F.max("coverage").alias("score"),
                   F.sort_array(F.collect_list(F.struct("first", "last", "label", "coverage"))).alias("spans")))
     w = F.col("w")

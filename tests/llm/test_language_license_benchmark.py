@@ -108,6 +108,42 @@ def test_licenses(spark):
     assert lic.scan_licenses(docs.where("false")).count() == 0
 
 
+FREE = "is free software: you can redistribute it and/or modify it under the terms of the GNU%s General Public License as published by the Free Software Foundation"
+NOTICES = {
+    "under the terms of the GNU General Public License": set(),
+    "This program " + FREE % "": {"gpl"},
+    "This library " + FREE % " Lesser": {"lgpl"},
+    "This program " + FREE % " Affero": {"agpl"},
+    "This library " + FREE % " Library": set(),
+    "This work is licensed under the GNU General Public License.": {"gpl"},
+    "This work is licensed under the GNU Lesser General Public License.": set(),
+    **{f"This work is licensed under a Creative Commons Attribution{kind} 4.0 International License.": want for kind, want in [
+        ("", {"cc-by"}), ("-ShareAlike", {"cc-by-sa"}), ("-NonCommercial", {"cc-by-nc"}), ("-NoDerivatives", set()),
+        ("-NonCommercial-ShareAlike", set())]},
+    "Licensed under CC BY 4.0": {"cc-by"}, "Licensed under CC BY-SA 4.0": {"cc-by-sa"}, "Licensed under CC BY-NC 4.0": {"cc-by-nc"},
+    "Available under the Apache License, Version 2.0": {"apache-2.0"}, "Licensed under the Apache License, Version 1.1": set(),
+    "Licensed under the Educational Community License, Version 2.0": set()}
+
+
+def test_notices_that_differ_by_a_word(spark):
+    texts = [f"Some words first. {t} Some more, at the end." for t in NOTICES]
+    rows = {x.doc_id: x for x in lic.scan_licenses(table(spark, texts)).collect() if x.doc_id is not None}
+    for i, (t, want) in enumerate(NOTICES.items()):
+        assert {s.label for s in rows[10 + i].spans or []} == want, t
+        assert set(rows[10 + i].labels.split(",")) - {""} == want | set(brute_license(t)[4].split(",")) - {""}, t
+
+
+def test_both_licenses_of_a_text_are_found(spark):
+    text = f"Part one: this program {FREE % ''}. " + "x " * 30 + f"Part two: this library {FREE % ' Lesser'}."
+    rows = lic.scan_licenses(table(spark, [text])).collect()
+    assert all([s.label for s in x.spans] == ["gpl", "lgpl"] for x in rows)
+
+
+def test_short_templates_are_an_error(spark):
+    with pytest.raises(ValueError, match="less than 3 words"):
+        lic.scan_licenses(table(spark, ["x"]), templates=[("mit", "MIT License")])
+
+
 def test_license_plan_is_native(spark):
     plan = lic.scan_licenses(table(spark, ["x"]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval", plan)
