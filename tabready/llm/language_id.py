@@ -8,7 +8,7 @@ switches; a document's language is the one with the largest sum, its score that
 sum over the number of words.
 
 Training takes a bounded sample of labelled texts (``DOCS_PER_LANGUAGE`` and
-``MAX_TRAINING_CHARS`` state the bound) and splices runs of words from
+``MAX_TRAINING_CHARS`` state the bound; longer texts give pieces) and splices runs of words from
 different documents, so that switches are seen.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0,
@@ -25,7 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tabready.llm.common import release_memory, releasing
@@ -33,9 +33,9 @@ from tabready.llm.common import release_memory, releasing
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNKNOWN = "und"
 BUCKETS = 1 << 17
-#: Bounds of the training sample: expected documents of a language, the longest
-#: document (characters) and the most languages.
-DOCS_PER_LANGUAGE, MAX_TRAINING_CHARS, MAX_LANGUAGES = 300, 20_000, 500
+#: Bounds of the training sample: documents of a language, characters of a
+#: document, the most languages; and pieces that a longer document gives.
+DOCS_PER_LANGUAGE, MAX_TRAINING_CHARS, MAX_LANGUAGES, PIECES = 300, 20_000, 500, 4
 #: Words whose scores a worker keeps; words that run through the chain at a time.
 KEPT_WORDS, CHAIN_WORDS = 200_000, 200_000
 LONGEST_WORD = 40
@@ -295,20 +295,37 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = DOCS_PER_LANGUAGE) -> Crf:
-    """Learn from labelled rows that are not held out: about ``per_language``
-    of each language, chosen by the hash of the id."""
+def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    per_language: int = DOCS_PER_LANGUAGE) -> list[Row]:
+    """``lang, pieces`` of at most ``per_language`` labelled documents of each
+    language that have a letter and are not held out: those with the least hash
+    of id and text.  Repeats of a row count once.  A text of more than
+    ``MAX_TRAINING_CHARS`` gives ``PIECES`` pieces of together that length: one
+    from its first letter, and one from each further part of it."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
-        ~held_out(id_col) & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+        ~held_out(id_col) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", F.xxhash64("id", "text").alias("key"))
+    counts = (rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("key").alias("distinct"))
+              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
+    # the least hashes of about twice as many documents as are taken, so that the window orders a few rows only
     share = F.lit(0.0)
     for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"]))).otherwise(share)
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
-    sample = (rows.where((draw < share) & (F.char_length("text") <= MAX_TRAINING_CHARS))
-              .orderBy("lang", "id", "text").limit(3 * per_language * max(len(counts), 1)).collect())
-    texts = [(words_of(r.text), r.lang) for r in sample]
+        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2.0 * (per_language + 10) / max(r["distinct"], 1)))).otherwise(share)
+    length, piece = F.char_length("text"), MAX_TRAINING_CHARS // PIECES
+    part = F.floor(length / PIECES).cast("int")
+    starts = [F.regexp_instr("text", F.lit(r"(\p{L})")), *(F.lit(1) + k * part + F.pmod("key", part - piece + 1).cast("int") for k in range(1, PIECES))]
+    pieces = F.when(length <= MAX_TRAINING_CHARS, F.array("text")).otherwise(F.array(*(F.substring("text", at, F.lit(piece)) for at in starts)))
+    order = F.pmod("key", F.lit(1 << 20)) / (1 << 20)
+    drawn = rows.where(order < share).select("lang", "key", pieces.alias("pieces")).dropDuplicates(["lang", "key"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 20)), "key"))
+    return drawn.withColumn("rank", rank).where(F.col("rank") <= per_language).orderBy("lang", "rank").select("lang", "pieces").collect()
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          per_language: int = DOCS_PER_LANGUAGE) -> Crf:
+    """Learn from ``training_sample``."""
+    sample = training_sample(docs, id_col, text_col, lang_col, per_language)
+    texts = [(words_of(p), r.lang) for r in sample for p in r.pieces]
     languages = sorted({lang for words, lang in texts if words})
     y = {lang: k for k, lang in enumerate(languages)}
     model = Crf(languages).fit(spliced([(words, y[lang]) for words, lang in texts if words]))

@@ -41,6 +41,26 @@ def test_held_out_accuracy(spark):
     assert kept.columns == docs.columns and not {900, 901} & {x.doc_id for x in kept.collect()}
 
 
+def test_every_language_is_learned_from_a_bounded_sample(spark):
+    rng = random.Random(8)
+    nulls = [(None, sentence(rng, 8, TONGUES["xx"]) + f" {i}", "xx", "s", 1) for i in range(600)] + [(None, "thor ered", "xx", "s", 1)] * 300
+    same = [(None, "los que mente", "zz", "s", 1)] * 3000 + [(3 * i, "12 34 !", "zz", "s", 1) for i in range(500)]
+    docs = docs_of(spark, nulls + same + [t for t in tongue_rows() if t[2] == "yy"])
+    sample = lang.training_sample(docs, per_language=5)
+    assert {k: sum(r.lang == k for r in sample) for k in TONGUES} == {"xx": 5, "yy": 5, "zz": 1}
+    assert lang.train(docs, per_language=5).languages == ["xx", "yy", "zz"]
+
+
+def test_long_texts_are_learned_in_pieces(spark):
+    rng = random.Random(9)
+    long = ["1 " * 15_000 + sentence(rng, 9_000, TONGUES["yy"]), sentence(rng, 9_000, TONGUES["yy"]), "1 " * 15_000 + "der"]
+    docs = docs_of(spark, [(None, t, "yy", "s", 1) for t in long] + [t for t in tongue_rows() if t[2] == "xx"])
+    sample = [r.pieces for r in lang.training_sample(docs) if r.lang == "yy"]
+    assert len(sample) == 3 and all(sum(map(len, p)) <= lang.MAX_TRAINING_CHARS and any(map(lang.words_of, p)) for p in sample)
+    assert all(any(p in t for t in long) for p in sum(sample, []))
+    assert lang.train(docs).predict([sentence(rng, 20, TONGUES["yy"])])[0][0] == "yy"
+
+
 def test_code_switching():
     model = lang.Crf(["xx", "yy", "zz"]).fit(lang.spliced([(t.split(), "xyz".index(k[0])) for _, t, k, _, _ in tongue_rows()]))
     text = "thor with thing ered then, der lich ung schön chen"
