@@ -49,7 +49,8 @@ NEVER_DROPPED = frozenset("html body article main".split())
 TEXT_LIKE = frozenset("p pre h1 h2 h3 h4 h5 h6 ul ol dl blockquote figure table".split())
 BOXES = frozenset("div section article main body td blockquote".split())
 
-ATTRIBUTE = re.compile(r"[\s/]*([^\s=>/][^\s=>/]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+ATTRIBUTE = re.compile(r"[\s/]*([^\s>/][^\s=>/]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+COMMENT_END = re.compile(r"--!?>")
 TAG_END = re.compile(r"[\s/]*>")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORDS = re.compile(r"[a-z]+")
@@ -76,8 +77,9 @@ class Page:
                 at = lt
                 continue
             if s.startswith("<!--", at):
-                end = s.find("-->", at + 4)
-                at = n if end < 0 else end + 3
+                empty = next((x for x in ("<!-->", "<!--->") if s.startswith(x, at)), None)
+                end = COMMENT_END.search(s, at + 4)
+                at = at + len(empty) if empty else end.end() if end else n
             elif s.startswith(("<!", "<?"), at):
                 end = s.find(">", at)
                 at = n if end < 0 else end + 1

@@ -127,6 +127,13 @@ def test_wrapper_of_the_article_stays():
     assert html_text.main_text("<p>A, real, text.</p><div class=comments><article class=comment><p>I, think, so</p></article></div>") == "A, real, text."
 
 
+def test_broken_tags_and_empty_comments_do_not_end_the_page():
+    for x in ['<a href="x"="y">', '<td width="5" ="">', "<div = >", "<div ==>", "<div =>", '<p ="a" class=b>', "<!-->", "<!--->", "<!---->", "<!-- a --!>",
+              "<!-- a -- > <b> -->"]:
+        assert html_text.main_text(f"<p>First, text.</p>{x}<p>Second, text.</p>") == "First, text. Second, text.", x
+    assert html_text.main_text("<p>First.</p><div =") == "First."
+
+
 def test_awkward_pages(spark):
     pages = [None, "", "<", "<<<p", "plain text", "<p>cut <b off", "<!-- open", "<div>" * 3000 + "deep", "<script>never closed",
              "<p>a" * 2000, "<a title='x>y'>z</a>", "&lt;p&gt; &#x41; &bogus; &am"]
