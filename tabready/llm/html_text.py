@@ -7,6 +7,12 @@ and a container's sum is discounted by its link density.  The best container,
 or the article around it, is kept, with those siblings that score or read like
 text.  Blocks are joined in page order.
 
+Forms and boxes that only their class words drop are looked into.  One that
+holds an article or main stays (a form without its controls).  If hardly any
+text is left without them, and none in an article or main, the one that holds
+most of the page's unlinked text comes back, or else all of them; boxes of
+reader comments only come back if nothing at all is left.
+
 Defined results: null, empty or text-free html gives an empty text; broken,
 unclosed or cut-off markup is read as far as it goes; texts of any depth and
 length are read whole and without recursion; repeated rows get equal results;
@@ -15,6 +21,7 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
 from collections.abc import Iterator
@@ -35,17 +42,20 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 ITEM_OF = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
            "option": ({"option"}, {"select"})}
-DROPPED = frozenset("nav aside footer form button select input svg math canvas object audio video map dialog "
+DROPPED = frozenset("nav aside footer button select input svg math canvas object audio video map dialog "
                     "menu head".split()) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
-                          "toolbar form".split())
+                          "toolbar".split())
 DROPPED_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner banners breadcrumb breadcrumbs "
                           "comment comments commentlist disqus respond cookie cookies consent gdpr footer header masthead menu nav navbar "
                           "navigation newsletter subscribe subscription notice notices notification alert pager pagination popup "
                           "modal overlay promo promoted promotion related recommended recommendations share sharing social "
                           "sidebar sponsor sponsored toolbar widget widgets login signup signin copyright outbrain taboola".split())
+READER_WORDS = frozenset("comment comments commentlist disqus respond".split())
 KEPT_WORDS = frozenset("has with no without".split())
 NEVER_DROPPED = frozenset("html body article main".split())
+#: Hardly any text: less than these characters and than this share of the page's.
+FEW_CHARS, FEW_SHARE = 200, 0.1
 TEXT_LIKE = frozenset("p pre h1 h2 h3 h4 h5 h6 ul ol dl blockquote figure table".split())
 BOXES = frozenset("div section article main body td blockquote".split())
 
@@ -62,6 +72,7 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.out, self.link = ["#root"], [-1], [False], [False]
         self.named_out = [False]  # by its class or id words only
+        self.form, self.readers = [False], [False]
         self.runs: list[tuple[int, str]] = []  # node and text; a block boundary is a space
         self._open = [0]
         self._read(source)
@@ -124,6 +135,8 @@ class Page:
         self.parent.append(parent)
         self.out.append(self._dropped(name, attributes))
         self.named_out.append(self._named_dropped(name, attributes))
+        self.form.append(name == "form" or name not in ("html", "body", "main") and attributes.get("role", "").lower() == "form")
+        self.readers.append(self.named_out[-1] and not READER_WORDS.isdisjoint(self._name_words(attributes)))
         self.link.append(self.link[parent] or name == "a")
         if name not in VOID:
             self._open.append(node)
@@ -161,12 +174,52 @@ class Page:
         return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I))
 
     @staticmethod
-    def _named_dropped(name: str, attributes: dict[str, str]) -> bool:
+    def _name_words(attributes: dict[str, str]) -> list[str]:
+        return WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
+
+    @classmethod
+    def _named_dropped(cls, name: str, attributes: dict[str, str]) -> bool:
         if name in NEVER_DROPPED and name != "article" or not ("class" in attributes or "id" in attributes):
             return False
-        words = WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
+        words = cls._name_words(attributes)
         return any(w in DROPPED_WORDS for w in words) and not any(w in KEPT_WORDS for w in words)
 
+    def _bring_back(self, box: list[bool], out: list[bool]) -> None:
+        """Take the mark from boxes that hold the page's text.  ``box`` marks
+        what its form or class words drop, ``out`` what goes in any case."""
+        tag, parent, n = self.tag, self.parent, len(self.tag)
+        around, main = [0] * n, [False] * n  # the nearest box, and whether an article or main is around
+        for i in range(1, n):
+            out[i] = out[i] or out[parent[i]]
+            around[i] = i if box[i] else around[parent[i]]
+            main[i] = main[parent[i]] or tag[i] in ("article", "main")
+        own, in_main = [0] * n, [False] * n  # unlinked text of a box, without the boxes in it
+        for node, text in self.runs:
+            if not out[node] and not self.link[node] and (size := len(text.strip())):
+                own[around[node]] += size
+                in_main[around[node]] |= main[node]
+        whole, inner = own[:], {0: []}
+        for i in range(n - 1, 0, -1):
+            if box[i] and whole[i]:
+                whole[around[parent[i]]] += whole[i]
+                inner.setdefault(around[parent[i]], []).append(i)
+        left, said = own[0], in_main[0]
+        plain, readers = [], []
+
+        def see(into: int) -> None:
+            for i in inner.get(into, ()):
+                heapq.heappush(readers if self.readers[i] else plain, (-whole[i], i))
+
+        see(0)
+        while (plain or readers and not left) and not (left and said) and left < min(FEW_CHARS, FEW_SHARE * whole[0]):
+            queue = plain if left or not readers or plain and plain[0] <= readers[0] else readers
+            most = -2 * queue[0][0] > whole[0]
+            for _ in range(1 if most else len(queue)):
+                i = heapq.heappop(queue)[1]
+                box[i] = False
+                left, said = left + own[i], said or in_main[i]
+                see(i)
+
     def main_text(self) -> str:
         tag, parent, out = self.tag, self.parent, self.out
         n = len(tag)
@@ -181,8 +234,12 @@ class Page:
         for i in range(n - 1, 0, -1):
             if holds_main[i] or tag[i] in ("article", "main") and not self.named_out[i]:
                 holds_main[parent[i]] = True
+        box = [(self.named_out[i] or self.form[i]) and not holds_main[i] for i in range(n)]
+        for i in range(1, n):
+            out[i] = out[i] or header[i]
+        self._bring_back(box, out)
         for i in range(1, n):
-            out[i] = out[i] or self.named_out[i] and not holds_main[i] or header[i] or out[parent[i]]
+            out[i] = out[i] or box[i] or out[parent[i]]
         chars, commas, linked, direct = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.runs:
             if not out[node] and (size := len(text.strip())):

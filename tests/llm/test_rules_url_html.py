@@ -127,6 +127,26 @@ def test_wrapper_of_the_article_stays():
     assert html_text.main_text("<p>A, real, text.</p><div class=comments><article class=comment><p>I, think, so</p></article></div>") == "A, real, text."
 
 
+def test_containers_that_hold_the_page_stay():
+    body = "<p>One long sentence, with commas, stands here.</p><p>Another one, as long as that, follows it.</p>" * 4
+    text = " ".join(re.sub("<[^>]+>", " ", body).split())
+    controls = "<input name=a><select><option>One</select><button>Send</button><textarea>Type</textarea>"
+    for page in [f"<form id=aspnetForm>{controls}<article>{body}</article></form>", f"<form method=post>{controls}<div>{body}</div></form>",
+                 f"<div role=form><div>{body}</div></div>", f"<main><form>{body}{controls}</form></main>",
+                 f"<div class='layout sidebar-right'>{body}</div>", f"<div id=page class=related>{body}</div><p>Copyright X</p>",
+                 f"<div class=related><form><div class=menu>Menu, here</div><div class=widget-area>{body}</div></form></div>",
+                 f"<div class='comments cookie'>{body}</div>", "<div class=sidebar>" * 500 + body]:
+        got = html_text.main_text(page)
+        assert text in got and not re.search("Send|Type|Menu|One$", got), page[:80]
+    halves = "".join(f"<div class=widget><p>Part {i}, of, text.</p></div>" for i in range(3))
+    assert "of, text." in html_text.main_text(halves)
+    for page in [f"<div>{body}</div><form><p>Mail, me</p></form>", f"<article>{body}</article><div class=comments>{body * 20}</div>",
+                 f"<article><p>{text}</p></article><form><p>{text * 20}</p></form>", f"<div>{body}</div><div class=related>{'<p>More, text.</p>' * 90}</div>"]:
+        assert html_text.main_text(page) == text, page[:80]
+    assert html_text.main_text(f"<div><p>A, short, text.</p></div><div class=comments>{body * 20}</div>") == "A, short, text."
+    assert html_text.main_text("<form><input><button>Go</button></form>") == ""
+
+
 def test_broken_tags_and_empty_comments_do_not_end_the_page():
     for x in ['<a href="x"="y">', '<td width="5" ="">', "<div = >", "<div ==>", "<div =>", '<p ="a" class=b>', "<!-->", "<!--->", "<!---->", "<!-- a --!>",
               "<!-- a -- > <b> -->"]:
