@@ -371,10 +371,12 @@ def label_runs(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).alias("doc_id"), F.explode(runs).alias("r")).select("doc_id", "r.*")
 
 
-def known_language(docs: DataFrame, model: Crf, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
-    """The rows whose language is known with ``min_score`` or more, all columns kept."""
+def known_language(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
+    """The rows that get a language, all columns kept.  The score is the share
+    of the main language, which is small for clean texts of several languages,
+    so it does not decide."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([s if lang != UNKNOWN else -1.0 for lang, s in predictions(model, batch.tolist())], dtype="float64")
+            yield pd.Series([lang != UNKNOWN for lang, _ in predictions(model, batch.tolist())], dtype="bool")
 
-    return docs.where(F.pandas_udf(releasing(run), "double")(docs[text_col]) >= min_score)
+    return docs.where(F.pandas_udf(releasing(run), "boolean")(docs[text_col]))

@@ -61,6 +61,20 @@ def test_long_texts_are_learned_in_pieces(spark):
     assert lang.train(docs).predict([sentence(rng, 20, TONGUES["yy"])])[0][0] == "yy"
 
 
+def test_documents_of_several_languages_are_kept(spark):
+    rng = random.Random(10)
+    model = lang.train(docs_of(spark, tongue_rows()))
+
+    def mixed(*parts):
+        return ". ".join(sentence(rng, n, TONGUES[k]) for k, n in parts)
+
+    docs = docs_of(spark, [(i, t, None, "s", 1) for i, t in enumerate([
+        mixed(("xx", 45), ("yy", 30), ("zz", 25)), mixed(("xx", 48), ("yy", 47), ("zz", 5)), mixed(("zz", 40)), "12 345 !", "", None])])
+    rows = {r.doc_id: r for r in lang.predict_language(docs, model).collect()}
+    assert all(rows[i].lang_pred != "und" and rows[i].score < 0.5 for i in (0, 1))
+    assert {r.doc_id for r in lang.known_language(docs, model).collect()} == {0, 1, 2} == {i for i, r in rows.items() if r.lang_pred != "und"}
+
+
 def test_code_switching():
     model = lang.Crf(["xx", "yy", "zz"]).fit(lang.spliced([(t.split(), "xyz".index(k[0])) for _, t, k, _, _ in tongue_rows()]))
     text = "thor with thing ered then, der lich ung schön chen"
