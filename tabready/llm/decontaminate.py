@@ -8,9 +8,11 @@ wide as that, keeps bands that reach the bound, and aligns the item with the
 band's region.  A region within the budget is a match.
 
 The items are the query set: they go to the tasks in blocks of at most
-``BLOCK_CHARS`` characters, one pass over the documents per block, so the size
-of the benchmark is not limited.  Nothing is shuffled and no document meets
-another, so hot sources and copies weigh no more than their rows.
+``BLOCK_CHARS`` characters, one pass over the documents per block.  A benchmark
+of one block is map only.  With more, the blocks run one after the other and
+their matches are gathered in the shared folder, so the driver's memory does
+not grow with the benchmark, but the time does; documents are then dropped by a
+join on the digests of the texts that matched.
 
 Defined results: case and kind of white space do not matter; null and empty
 texts match nothing; items shorter than ``Q`` characters are no evidence and
@@ -20,14 +22,16 @@ id one match per place is given, the best; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabready.llm.common import releasing
+from tabready.llm.common import releasing, scratch_path
 from pyspark.sql import types as T
 
 Q = 8
@@ -248,17 +252,38 @@ def matches_column(items: list[tuple], item_type: T.DataType, text: Column, rate
     return F.pandas_udf(releasing(run), T.ArrayType(match))(text)
 
 
+def gathered(found_in: Callable[[list[tuple]], DataFrame], parts: Iterator[list[tuple]]) -> DataFrame | None:
+    """The rows that each block of items gives.  More than one block are run
+    one after the other, and their rows gathered in the shared folder: the
+    driver holds two blocks at a time, and the plan none.  None: no block."""
+    items, after = next(parts, None), next(parts, None)
+    if items is None or after is None:
+        return found_in(items) if items else None
+    path = None
+    while items:
+        found = found_in(items)
+        path = path or scratch_path(found.sparkSession, "benchmark-matches")
+        found.write.mode("append").parquet(path)
+        spark, schema = found.sparkSession, found.schema
+        del found
+        gc.collect()
+        spark._jvm.System.gc()
+        items, after = after, next(parts, None)
+    return spark.read.schema(schema).parquet(path)
+
+
 def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             item_col: str = "item_id", item_text_col: str = "text", rate: float = ERROR_RATE) -> DataFrame:
     """``doc_id, item_id, start, end, edits, similarity``: a row per passage of
     a document (characters from ``start`` up to ``end``) that is within the
     edit budget of an item."""
     item_type = benchmark.schema[item_col].dataType
-    out = None
-    for items in blocks(benchmark, item_col, item_text_col):
-        found = docs.select(F.col(id_col).alias("doc_id"), F.explode(
+
+    def found_in(items: list[tuple]) -> DataFrame:
+        return docs.select(F.col(id_col).alias("doc_id"), F.explode(
             matches_column(items, item_type, F.col(text_col), rate)).alias("m")).select("doc_id", "m.*")
-        out = found if out is None else out.unionByName(found)
+
+    out = gathered(found_in, blocks(benchmark, item_col, item_text_col))
     if out is None:
         out = docs.select(F.col(id_col).alias("doc_id"), F.lit(None).cast(item_type).alias("item_id"),
                           *(F.lit(0).cast("long").alias(c) for c in ("start", "end", "edits"))).where("false")
@@ -267,8 +292,21 @@ def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, id_col: str =
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text_col: str = "text", rate: float = ERROR_RATE) -> DataFrame:
-    """The documents without any such passage, all columns kept."""
+    """The documents without any such passage, all columns kept.  Equal texts
+    are decided alike, so with several blocks the texts' digests are gathered."""
     item_type = benchmark.schema[item_col].dataType
-    for items in blocks(benchmark, item_col, item_text_col):
-        docs = docs.where(F.coalesce(F.size(matches_column(items, item_type, docs[text_col], rate)), F.lit(0)) <= 0)
-    return docs
+    parts = blocks(benchmark, item_col, item_text_col)
+    first = list(itertools.islice(parts, 2))
+    if len(first) < 2:
+        for items in first:
+            docs = docs.where(F.coalesce(F.size(matches_column(items, item_type, docs[text_col], rate)), F.lit(0)) <= 0)
+        return docs
+
+    def found_in(items: list[tuple]) -> DataFrame:
+        return (docs.where(F.size(matches_column(items, item_type, docs[text_col], rate)) > 0)
+                .select(F.md5(docs[text_col]).alias("text_digest")).distinct())
+
+    parts = itertools.chain(first, parts)
+    del first
+    digests = gathered(found_in, parts)
+    return docs.join(digests, F.md5(docs[text_col]) == digests["text_digest"], "left_anti")

@@ -256,3 +256,16 @@ def test_blocks_cover_all_items(spark, monkeypatch):
     assert len(parts) > 5 and sorted(k for p in parts for k, _ in p) == list(range(20))
     docs = table(spark, ["x " + "item 7 " * 9])
     assert 7 in {x.item_id for x in d.find_benchmark_passages(docs, bench).collect()}
+
+
+def test_blocks_leave_the_plan(spark, monkeypatch):
+    bench = spark.createDataFrame([(k, "item %d " % k * 9) for k in range(20)], "item_id long, text string")
+    docs = table(spark, ["x " + "item 7 " * 9, None, "clean, clean, clean", "item 3 " * 9 + "item 11 " * 9])
+    want = sorted(map(tuple, d.find_benchmark_passages(docs, bench).collect()), key=str)
+    kept = sorted(map(tuple, d.drop_contaminated(docs, bench).collect()), key=str)
+    monkeypatch.setattr(d, "BLOCK_CHARS", 500)
+    found, left = d.find_benchmark_passages(docs, bench), d.drop_contaminated(docs, bench)
+    assert sorted(map(tuple, found.collect()), key=str) == want and len({r[1] for r in want}) > 2
+    assert sorted(map(tuple, left.collect()), key=str) == kept and left.columns == docs.columns
+    for out in (found, left):
+        assert "ArrowEval" not in out._jdf.queryExecution().executedPlan().toString()
