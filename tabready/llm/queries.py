@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabready.llm import bpe, decontaminate, html_text, jaccard_join, language_id, license_scan, quality_rules, repeat_removal, url_filter, warc
+from tabready.llm import (bpe, decontaminate, html_text, jaccard_join, language_id, license_scan, quality_rules, repeat_removal,
+                          token_alignment, url_filter, warc)
 from tabready.llm.common import on_executors, read_table
 
 #: Path rules of the url query.
@@ -73,10 +74,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_benchmark_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@on_executors
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.align_tokenizers(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_html_extraction": op2_html_extraction,
            "op3_url_filter": op3_url_filter, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op6_jaccard_join": op6_jaccard_join,
            "op7_suffix_dedup": op7_suffix_dedup,
-           "op8_language_id": op8_language_id, "op9_license_scan": op9_license_scan, "op10_decontamination": op10_decontamination}
+           "op8_language_id": op8_language_id, "op9_license_scan": op9_license_scan, "op10_decontamination": op10_decontamination,
+           "op11_token_alignment": op11_token_alignment}
 
 #: DuckDB SQL where it can express the whole result.
 ORACLES: dict[str, str] = {
