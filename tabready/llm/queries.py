@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabready.llm import (bpe, decontaminate, html_text, jaccard_join, language_id, license_scan, quality_rules, repeat_removal,
-                          token_alignment, url_filter, warc)
+from tabready.llm import (bpe, centroid_search, decontaminate, html_text, jaccard_join, language_id, license_scan, quality_rules,
+                          repeat_removal, simhash, token_alignment, url_filter, warc)
 from tabready.llm.common import on_executors, read_table
 
 #: Path rules of the url query.
@@ -82,11 +82,21 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@on_executors
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@on_executors
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_search.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_html_extraction": op2_html_extraction,
            "op3_url_filter": op3_url_filter, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op6_jaccard_join": op6_jaccard_join,
            "op7_suffix_dedup": op7_suffix_dedup,
            "op8_language_id": op8_language_id, "op9_license_scan": op9_license_scan, "op10_decontamination": op10_decontamination,
-           "op11_token_alignment": op11_token_alignment}
+           "op11_token_alignment": op11_token_alignment, "op12_simhash": op12_simhash, "op13_centroids": op13_centroids}
 
 #: DuckDB SQL where it can express the whole result.
 ORACLES: dict[str, str] = {
@@ -98,4 +108,5 @@ ORACLES: dict[str, str] = {
                CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN keeper <> page_id THEN keeper END AS refers_to
         FROM d LEFT JOIN k USING (payload_digest)""",
+    "op13_centroids": centroid_search.oracle(),
 }
