@@ -55,7 +55,7 @@ from tabready.llm.common import releasing, written
 #: Bytes of text that are aligned at once.
 CHUNK_BYTES = 4 << 20
 #: Stretches whose ids a worker keeps (twice as many at most), and the longest.
-KEPT_STRETCHES, KEPT_LENGTH = 200_000, 40
+KEPT_STRETCHES, KEPT_LENGTH = 120_000, 40
 
 # The word pattern of A, and the sign that B has for a space.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
