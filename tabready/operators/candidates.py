@@ -39,7 +39,6 @@ class Candidate:
     kind: str
     features: tuple[str, ...] = ()
     key: str | None = None  # SQL expression of the grouping key
-    n_params: int = 1
 
 
 def _train(df: DataFrame, split_col: str, train_label: str) -> DataFrame:
@@ -113,8 +112,10 @@ def candidate_predictions(
     target: str,
     split_col: str = "data_split",
     train_label: str = "train",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """All candidates' predictions on all splits as one long table.
+    """All candidates' predictions on all splits as one long table, with the
+    columns of ``keep``.
 
     One pass over the train rows fits everything, one pass over all rows scores
     all candidates side by side and unpivots them.  The fits (a row per key
@@ -145,23 +146,18 @@ def candidate_predictions(
 
     cells = [F.struct(F.lit(c.name).alias("model"), predicted(c).alias("predicted")) for c in candidates]
     return wide.select(F.explode(F.array(*cells)).alias("_p"), F.col(identifier).alias("row_id"), F.col(split_col).alias("data_split"),
-                       F.col(target).alias("actual")).select("_p.model", "row_id", "data_split", "actual", "_p.predicted")
+                       F.col(target).alias("actual"), *keep).select("_p.model", "row_id", "data_split", "actual", "_p.predicted", *keep)
 
 
 def candidate_costs(
     df: DataFrame, candidates: Sequence[Candidate], split_col: str = "data_split", train_label: str = "train"
 ) -> DataFrame:
-    """Deterministic cost proxies per candidate: ``fit_time`` (seconds-like,
-    train rows x parameters x 1e-6) and ``predict_time_per_row_ms``
-    (parameters x 1e-3).  They stand in for wall-clock timings so speed
-    rankings are reproducible; real timings come from ``train.score_split``.
+    """Deterministic costs per candidate: ``fit_cells``, the cells that its fit
+    reads (train rows x features and target), and ``predict_cells_per_row``, the
+    cells that a prediction reads.  They rank models by work where seconds would
+    differ from run to run; ``cost.measured_costs`` times the passes.
     """
     n_train = _train(df, split_col, train_label).agg(F.count(F.lit(1))).scalar()
-    rows = [(c.name, float(c.n_params), len(c.features)) for c in candidates]
-    meta = df.sparkSession.createDataFrame(rows, "model string, n_params double, feature_count int")
-    return meta.select(
-        "model",
-        "feature_count",
-        (n_train * F.col("n_params") * F.lit(1e-6)).alias("fit_time"),
-        (F.col("n_params") * F.lit(1e-3)).alias("predict_time_per_row_ms"),
-    )
+    meta = df.sparkSession.createDataFrame([(c.name, len(c.features)) for c in candidates], "model string, feature_count int")
+    return meta.select("model", "feature_count", (n_train * (F.col("feature_count") + 1)).cast("long").alias("fit_cells"),
+                       F.col("feature_count").alias("predict_cells_per_row"))

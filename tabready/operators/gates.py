@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabready.functions.arithmetic import long_form
@@ -96,6 +96,49 @@ def status_check(df: DataFrame, table: str, status_col: str = "status", warn_val
     )
 
 
+#: Files that a listing may hold: artifacts are reports and models, not data.
+MAX_ARTIFACTS = 20_000
+
+
+def artifact_listing(spark: SparkSession, base: str, tables: Sequence[str] = ()) -> DataFrame:
+    """``artifact, kind, bytes``: every file under ``base`` on any file system of
+    the session, named by its path below it, and those of the named catalog tables
+    that exist (their size is that of their plan's statistics).
+
+    Only names and sizes are read; a folder that isn't there holds no artifacts.  A
+    folder of more than ``MAX_ARTIFACTS`` files is an error: list a part of it.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = [(t, "table", int(str(spark.table(t)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+            for t in tables if spark.catalog.tableExists(t)]
+    if fs.exists(path):
+        root = fs.makeQualified(path).toUri().getPath().rstrip("/") + "/"
+        files = fs.listFiles(path, True)  # recursive, read in pages
+        while files.hasNext():
+            if len(rows) >= MAX_ARTIFACTS:
+                raise ValueError(f"{base} holds more than {MAX_ARTIFACTS} artifacts")
+            status = files.next()
+            rows.append((status.getPath().toUri().getPath().removeprefix(root), "file", status.getLen()))
+    return spark.createDataFrame(rows, "artifact string, kind string, bytes long")
+
+
+def check_exists(expected: DataFrame, listing: DataFrame) -> DataFrame:
+    """Q1 kind "exists": a row per expected artifact (``artifact, kind``).  A
+    folder exists if it holds a file; its size is that of its files.  FAIL if it
+    isn't there, WARN if it is empty."""
+    parts = F.split("artifact", "/")
+    # a file stands for itself and for the folders above it
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    found = listing.select("kind", "bytes", F.explode(F.when(F.col("kind") == "file", above).otherwise(F.array("artifact"))).alias("artifact"))
+    sizes = found.groupBy("artifact", "kind").agg(F.sum("bytes").alias("_bytes"), F.count(F.lit(1)).alias("_files"))
+    wanted = expected.select(F.regexp_replace("artifact", "/+$", "").alias("artifact"), "kind").distinct()
+    return wanted.join(sizes, ["artifact", "kind"], "left").select(
+        F.col("artifact").alias("table_name"), F.concat(F.col("kind"), F.lit(" exists")).alias("check_name"),
+        F.when(F.col("_files").isNull(), "FAIL").when(F.col("_bytes") == 0, "WARN").otherwise("PASS").alias("status"),
+        F.when(F.col("_files").isNull(), "absent").when(F.col("_bytes") == 0, "empty").otherwise("present").alias("details"))
+
+
 def expectation_table(checks: Sequence[DataFrame]) -> DataFrame:
     """Q1: one row per check (table, check, PASS/WARN/FAIL, details)."""
     out = checks[0]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabready.functions.arithmetic import round_metric
+from tabready.functions.distributions import student_t_quantile, student_t_tail
 from tabready.session import ensure_checkpoint_dir
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -36,7 +37,7 @@ def hash_ranks(df: DataFrame, by: Sequence[str], key: str, tie: str, name: str,
         name, F.col("_before") + F.col("_own")).drop("_bucket", "_own", "_before")
 
 
-def permutation_importance(
+def repeat_importance(
     sample: DataFrame,
     scorer: Scorer,
     features: Sequence[str],
@@ -46,8 +47,8 @@ def permutation_importance(
     seed: int = 42,
     sample_size: int | None = None,
 ) -> DataFrame:
-    """Mean and (population) standard deviation over ``repeats`` of
-    ``RMSE(permuted) - RMSE(original)`` for every feature.
+    """``feature, repeat, importance``: ``RMSE(permuted) - RMSE(original)`` of
+    every permutation.
 
     All rows of ``sample`` are scored; ``sample_size`` asks for a repeatable
     sample of that many rows instead.  ``scorer`` adds a ``predicted`` column to
@@ -68,12 +69,15 @@ def permutation_importance(
     positioned = hash_ranks(keyed, ["_all"], "_key", "_id", "_pos", digits).drop("_all", "_key", "_id").checkpoint(eager=True)
     copies = positioned.select("*", F.explode(combos).alias("_c")).select("*", "_c._feature", "_c._repeat").drop("_c")
     perm_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_feature"), F.col("_repeat").cast("string"), ident))
-    keyed = copies.select("_feature", "_repeat", perm_key.alias("_key"), ident.alias("_id"),
-                          F.struct(*[F.col(f) for f in features]).alias("_donor"))
+    # a donor ships the permuted feature's value only: one column per type, of which one is used
+    types = {f: base.schema[f].dataType.simpleString() for f in features}
+    donor = {t: f"_donor{i}" for i, t in enumerate(sorted(set(types.values())))}
+    given = [F.coalesce(*[F.when(F.col("_feature") == f, F.col(f)) for f in features if types[f] == t]).alias(name) for t, name in donor.items()]
+    keyed = copies.select("_feature", "_repeat", perm_key.alias("_key"), ident.alias("_id"), *given)
     donors = hash_ranks(keyed, ["_feature", "_repeat"], "_key", "_id", "_pos", digits).drop("_key", "_id")
     permuted = copies.join(donors, ["_feature", "_repeat", "_pos"]).withColumns(
-        {f: F.when(F.col("_feature") == f, F.col("_donor")[f]).otherwise(F.col(f)) for f in features}
-    ).drop("_donor", "_pos")
+        {f: F.when(F.col("_feature") == f, F.col(donor[types[f]])).otherwise(F.col(f)) for f in features}
+    ).drop("_pos", *donor.values())
     original = positioned.drop("_pos").withColumn("_feature", F.lit(None).cast("string")).withColumn(
         "_repeat", F.lit(0))
     scored = scorer(original.unionByName(permuted))
@@ -82,14 +86,44 @@ def permutation_importance(
     # the RMSE table has features x repeats + 1 rows: an unpartitioned window
     # over it reads the baseline without re-running the scoring plan
     base_rmse = F.max(F.when(F.col("_repeat") == 0, F.col("_rmse"))).over(Window.partitionBy(F.lit(0)))
-    per = rmse.withColumn("_imp", F.col("_rmse") - base_rmse).filter(F.col("_repeat") > 0)
-    return per.groupBy(F.col("_feature").alias("feature")).agg(
-        round_metric(F.avg("_imp")).alias("importance_mean"),
-        round_metric(F.stddev_pop("_imp")).alias("importance_std"),
+    per = rmse.withColumn("importance", F.col("_rmse") - base_rmse).filter(F.col("_repeat") > 0)
+    return per.select(F.col("_feature").alias("feature"), F.col("_repeat").alias("repeat"), "importance")
+
+
+def permutation_importance(sample: DataFrame, scorer: Scorer, features: Sequence[str], target: str, identifier: str, repeats: int = 3,
+                           seed: int = 42, sample_size: int | None = None) -> DataFrame:
+    """Mean and (population) standard deviation of ``repeat_importance``."""
+    per = repeat_importance(sample, scorer, features, target, identifier, repeats, seed, sample_size)
+    return per.groupBy("feature").agg(
+        round_metric(F.avg("importance")).alias("importance_mean"),
+        round_metric(F.stddev_pop("importance")).alias("importance_std"),
         F.count(F.lit(1)).alias("repeats"),
     )
 
 
+def importance_statistics(per_repeat: DataFrame, level: float = 0.99, by: Sequence[str] = ("feature",)) -> DataFrame:
+    """``importance, stddev, p_value, n`` and the two ends of the interval
+    that holds the mean with probability ``level``, from one row per repeat.
+
+    ``p_value`` is the one-sided chance of a mean at least as large if the
+    feature had no importance (Student's t with n - 1 degrees of freedom, sample
+    standard deviation).  Repeats that agree exactly leave no doubt: 0 or 1 by
+    the mean's sign, 0.5 for 0, and an interval of no width.  A single repeat
+    says nothing about its spread: null.
+    """
+    # differences of errors that should be equal differ in the order of their sums
+    settled = per_repeat.withColumn("importance", round_metric("importance", 9))
+    stats = settled.groupBy(*by).agg(F.avg("importance").alias("importance"), F.stddev_samp("importance").alias("stddev"),
+                                        F.count("importance").alias("n"))
+    df, error = F.col("n") - 1, F.col("stddev") / F.sqrt("n")
+    half = error * student_t_quantile(F.lit((1 - level) / 2), df)
+    certain = F.when(F.col("importance") > 0, 0.0).when(F.col("importance") < 0, 1.0).otherwise(0.5)
+    p = F.when(F.col("stddev") == 0, certain).otherwise(student_t_tail(F.col("importance") / F.when(error > 0, error), df))
+    name = f"p{round(level * 100)}"
+    return stats.select(*by, round_metric("importance").alias("importance"), round_metric("stddev").alias("stddev"), round_metric(p).alias("p_value"),
+                        "n", round_metric(F.col("importance") - half).alias(f"{name}_low"), round_metric(F.col("importance") + half).alias(f"{name}_high"))
+
+
 def fold_vector_importance(
     importances, attrs: Sequence[tuple[int, str]], sources: Sequence[str]
 ) -> list[tuple[str, float]]:

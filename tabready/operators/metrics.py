@@ -48,12 +48,13 @@ def regression_metrics(
 
 
 def model_validation_table(
-    preds: DataFrame, costs: DataFrame, validation_label: str = "validation", test_label: str = "test"
+    preds: DataFrame, costs: DataFrame, validation_label: str = "validation", test_label: str = "test",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Per model validation and test RMSE/MAE/R^2 next to its fit and
-    predict times (the leaderboard)."""
-    m = regression_metrics(preds.filter(F.col("data_split").isin(validation_label, test_label)))
-    wide = m.groupBy("model").agg(
+    """Per model (of each ``by``) validation and test RMSE/MAE/R^2 next to
+    what its fit and predictions cost (the leaderboard)."""
+    m = regression_metrics(preds.filter(F.col("data_split").isin(validation_label, test_label)), [*by, "model", "data_split"])
+    wide = m.groupBy(*by, "model").agg(
         *[F.max(F.when(F.col("data_split") == s, F.col(c))).alias(f"{p}_{c}")
           for s, p in ((validation_label, "validation"), (test_label, "test")) for c in ("rmse", "mae", "r2")]
     )

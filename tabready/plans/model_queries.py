@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabready.functions.arithmetic import percent_change
-from tabready.operators import compare, leaderboard as L, metrics, profile
+from tabready.operators import compare, leaderboard as L, metrics, moments, profile
+from tabready.operators.compare import EXP
 from tabready.plans import model_sql as M
 from tabready.plans import models as X
 from tabready.plans import sql as S
@@ -188,11 +189,12 @@ SQL_LB = S.with_(M.LEADERBOARD) + "SELECT * FROM leaderboard"
 
 def q_rank_leaderboard(spark, sf):
     """Validation rank 1..n by (RMSE, model)."""
-    return L.rank_leaderboard(X.leaderboard(spark, sf)).select("model", "validation_rmse", "validation_rank")
+    return L.rank_leaderboard(X.experiment_leaderboard(spark, sf), by=[EXP]).select(EXP, "model", "validation_rmse", "validation_rank")
 
 
-SQL_RANK_LB = S.with_(M.LEADERBOARD) + """SELECT model, validation_rmse,
-  CAST(row_number() OVER (ORDER BY validation_rmse ASC NULLS LAST, model) AS INTEGER) AS validation_rank FROM leaderboard"""
+SQL_RANK_LB = S.with_(M.EXP_LEADERBOARD) + """SELECT experiment_id, model, validation_rmse,
+  CAST(row_number() OVER (PARTITION BY experiment_id ORDER BY validation_rmse ASC NULLS LAST, model) AS INTEGER) AS validation_rank
+FROM exp_leaderboard"""
 
 
 def q_negated_score(spark, sf):
@@ -208,59 +210,69 @@ SQL_NEGATED = S.with_(M.LEADERBOARD) + """SELECT model, -validation_rmse AS scor
 
 def q_top_models_by_score(spark, sf):
     """Three best candidates."""
-    return L.top_models_by_score(X.leaderboard(spark, sf), 3).select("model", "validation_rmse", "score_rank")
+    return L.top_models_by_score(X.experiment_leaderboard(spark, sf), 3, by=[EXP]).select(EXP, "model", "validation_rmse", "score_rank")
 
 
-SQL_TOP_SCORE = S.with_(M.LEADERBOARD) + """SELECT * FROM (SELECT model, validation_rmse,
-  CAST(row_number() OVER (ORDER BY validation_rmse ASC NULLS LAST, model) AS INTEGER) AS score_rank FROM leaderboard)
+SQL_TOP_SCORE = S.with_(M.EXP_LEADERBOARD) + """SELECT * FROM (SELECT experiment_id, model, validation_rmse,
+  CAST(row_number() OVER (PARTITION BY experiment_id ORDER BY validation_rmse ASC NULLS LAST, model) AS INTEGER) AS score_rank
+  FROM exp_leaderboard)
 WHERE score_rank <= 3"""
 
 
 def q_top_models_by_training_speed(spark, sf):
     """Three fastest to fit (ties by RMSE, name)."""
-    return L.top_models_by_training_speed(X.leaderboard(spark, sf), 3).select(
-        "model", "fit_time", "validation_rmse", "speed_rank")
+    return L.top_models_by_training_speed(X.experiment_leaderboard(spark, sf), 3, time_col="fit_cells", by=[EXP]).select(
+        EXP, "model", "fit_cells", "validation_rmse", "speed_rank")
 
 
-SQL_TOP_FIT = S.with_(M.LEADERBOARD) + """SELECT * FROM (SELECT model, fit_time, validation_rmse,
-  CAST(row_number() OVER (ORDER BY fit_time, validation_rmse ASC NULLS LAST, model) AS INTEGER) AS speed_rank
-  FROM leaderboard WHERE fit_time IS NOT NULL) WHERE speed_rank <= 3"""
+SQL_TOP_FIT = S.with_(M.EXP_LEADERBOARD) + """SELECT * FROM (SELECT experiment_id, model, CAST(fit_cells AS DOUBLE) AS fit_cells, validation_rmse,
+  CAST(row_number() OVER (PARTITION BY experiment_id ORDER BY fit_cells, validation_rmse ASC NULLS LAST, model) AS INTEGER) AS speed_rank
+  FROM exp_leaderboard WHERE fit_cells IS NOT NULL) WHERE speed_rank <= 3"""
 
 
 def q_top_models_by_prediction_speed(spark, sf):
     """Three fastest per predicted row."""
-    return L.top_models_by_prediction_speed(X.leaderboard(spark, sf), 3).select(
-        "model", "predict_time_per_row_ms", "validation_rmse", "prediction_speed_rank")
+    return L.top_models_by_prediction_speed(X.experiment_leaderboard(spark, sf), 3, time_col="predict_cells_per_row", by=[EXP]).select(
+        EXP, "model", "predict_cells_per_row", "validation_rmse", "prediction_speed_rank")
 
 
-SQL_TOP_PRED = S.with_(M.LEADERBOARD) + """SELECT * FROM (SELECT model, predict_time_per_row_ms, validation_rmse,
-  CAST(row_number() OVER (ORDER BY predict_time_per_row_ms, validation_rmse ASC NULLS LAST, model) AS INTEGER)
-    AS prediction_speed_rank FROM leaderboard WHERE predict_time_per_row_ms IS NOT NULL)
+SQL_TOP_PRED = S.with_(M.EXP_LEADERBOARD) + """SELECT * FROM (SELECT experiment_id, model, CAST(predict_cells_per_row AS DOUBLE) AS predict_cells_per_row,
+  validation_rmse, CAST(row_number() OVER (PARTITION BY experiment_id ORDER BY predict_cells_per_row, validation_rmse ASC NULLS LAST, model) AS INTEGER)
+    AS prediction_speed_rank FROM exp_leaderboard WHERE predict_cells_per_row IS NOT NULL)
 WHERE prediction_speed_rank <= 3"""
 
 
 def _importance(spark, sf):
-    corr = X.ranked_correlations(spark, sf)
-    return corr.select(F.col("feature").alias("variable"), F.col("abs_correlation").alias("relative_importance"))
+    """|correlation| with the target on the train rows of each experiment."""
+    corr = moments.feature_correlations(X.experiment_moments(spark, sf).filter("data_split = 'train'"), X.SEARCH_FEATURES)
+    return corr.select(EXP, F.col("feature").alias("variable"), F.round(F.abs("correlation"), 6).alias("relative_importance"))
+
+
+IMPORTANCE_CTE = S.with_(S.DOC_SPLITS) + """, d AS (SELECT *, word_count / line_count AS words_per_line FROM doc_splits
+  WHERE data_split = 'train' AND lang IS NOT NULL),
+imp AS (""" + "\nUNION ALL ".join(
+    f"SELECT '{X.EXPERIMENT}_' || lang AS experiment_id, '{c}' AS variable, round(abs(corr({c}, n_chars)), 6) AS relative_importance FROM d GROUP BY lang"
+    for c in X.SEARCH_FEATURES) + ")\n"
 
 
 def q_rank_importance(spark, sf):
     """W9 on correlation-based importances."""
-    return L.rank_importance(_importance(spark, sf))
+    return L.rank_importance(_importance(spark, sf), by=[EXP], feature="variable")
 
 
-SQL_RANK_IMP = S.with_(DOC_TRAIN + M.TOP) + """SELECT feature AS variable, abs_correlation AS relative_importance,
-  CAST(row_number() OVER (ORDER BY abs_correlation DESC, feature) AS INTEGER) AS importance_rank FROM corrs"""
+SQL_RANK_IMP = IMPORTANCE_CTE + """SELECT experiment_id, variable, relative_importance,
+  CAST(row_number() OVER (PARTITION BY experiment_id ORDER BY relative_importance DESC, variable) AS INTEGER) AS importance_rank FROM imp"""
 
 
 def q_scaled_importance(spark, sf):
     """Value / max and value / sum."""
-    return L.scaled_importance(_importance(spark, sf))
+    return L.scaled_importance(_importance(spark, sf), by=[EXP]).withColumns(
+        {c: F.round(c, 9) for c in ("scaled_importance", "percentage")})
 
 
-SQL_SCALED = S.with_(DOC_TRAIN + M.TOP) + """SELECT feature AS variable, abs_correlation AS relative_importance,
-  abs_correlation / max(abs_correlation) OVER () AS scaled_importance,
-  abs_correlation / sum(abs_correlation) OVER () AS percentage FROM corrs"""
+SQL_SCALED = IMPORTANCE_CTE + """SELECT experiment_id, variable, relative_importance,
+  round(relative_importance / max(relative_importance) OVER (PARTITION BY experiment_id), 9) AS scaled_importance,
+  round(relative_importance / sum(relative_importance) OVER (PARTITION BY experiment_id), 9) AS percentage FROM imp"""
 
 
 def q_top_features(spark, sf):
@@ -292,7 +304,7 @@ FROM j GROUP BY ALL"""
 # ---- runs and comparison -------------------------------------------------------
 
 RUN_COLS = ["experiment_id", "platform", "feature_set", "feature_count", "best_model", "validation_rmse",
-            "test_rmse", "test_mae", "test_r2", "training_seconds", "prediction_seconds", "is_automl"]
+            "test_rmse", "test_mae", "test_r2", "training_cells", "prediction_cells", "is_automl"]
 
 
 def q_normalize_run_rows(spark, sf):
@@ -305,7 +317,7 @@ SQL_RUNS = S.with_(M.RUNS) + f"SELECT {', '.join(RUN_COLS)}, {ARR.format(c='mode
 
 def q_rank_runs(spark, sf):
     """Five min-ranks per experiment."""
-    return L_cols(compare.rank_runs(X.runs_table(spark, sf)))
+    return L_cols(compare.rank_runs(X.runs_table(spark, sf), tuple(X.COSTS)))
 
 
 def L_cols(df):
@@ -317,8 +329,8 @@ SQL_RANK_RUNS = S.with_(M.RUNS) + """SELECT platform, feature_set, best_model,
   CAST(rank() OVER (ORDER BY validation_rmse) AS INTEGER) AS validation_rank,
   CAST(rank() OVER (ORDER BY test_rmse) AS INTEGER) AS test_rmse_rank,
   CAST(rank() OVER (ORDER BY test_r2 DESC) AS INTEGER) AS test_r2_rank,
-  CAST(rank() OVER (ORDER BY training_seconds) AS INTEGER) AS training_speed_rank,
-  CAST(rank() OVER (ORDER BY prediction_seconds) AS INTEGER) AS prediction_speed_rank FROM runs"""
+  CAST(rank() OVER (ORDER BY training_cells) AS INTEGER) AS training_speed_rank,
+  CAST(rank() OVER (ORDER BY prediction_cells) AS INTEGER) AS prediction_speed_rank FROM runs"""
 
 
 def q_compare_to_baseline(spark, sf):
@@ -343,13 +355,13 @@ FROM runs r JOIN b ON r.experiment_id = b.experiment_id"""
 
 def q_full_vs_reduced(spark, sf):
     """Reduced-feature runs against their platform's all-features run."""
-    return compare.full_vs_reduced(X.runs_table(spark, sf))
+    return compare.full_vs_reduced(X.runs_table(spark, sf), tuple(X.COSTS))
 
 
 PAIRS = """, pairs AS (
   SELECT r.*, f.best_model AS full_best_model, f.feature_count AS full_feature_count,
     f.validation_rmse AS full_validation_rmse, f.test_rmse AS full_test_rmse, f.test_mae AS full_test_mae,
-    f.test_r2 AS full_test_r2, f.training_seconds AS full_training_seconds, f.prediction_seconds AS full_prediction_seconds
+    f.test_r2 AS full_test_r2, f.training_cells AS full_training_cells, f.prediction_cells AS full_prediction_cells
   FROM runs r JOIN (SELECT *, count(*) OVER (PARTITION BY experiment_id, platform) AS n FROM runs
                     WHERE is_automl AND feature_set = 'all_features') f
     ON r.experiment_id = f.experiment_id AND r.platform = f.platform
@@ -357,18 +369,18 @@ PAIRS = """, pairs AS (
 
 SQL_FULL_REDUCED = S.with_(M.RUNS + PAIRS) + f"""SELECT experiment_id, platform, best_model, feature_count, validation_rmse,
   {_pct('validation_rmse', 'full_validation_rmse')} AS validation_degradation_percent,
-  {_pct('training_seconds', 'full_training_seconds')} AS training_time_change_percent FROM pairs"""
+  {_pct('training_cells', 'full_training_cells')} AS training_time_change_percent FROM pairs"""
 
 
 def q_compare_feature_sets(spark, sf):
     """Top-minus-all deltas and assessment."""
-    return compare.compare_feature_sets(X.runs_table(spark, sf))
+    return compare.compare_feature_sets(X.runs_table(spark, sf), tuple(X.COSTS))
 
 
 SQL_FEATURE_SETS = S.with_(M.RUNS + PAIRS) + """SELECT experiment_id, platform,
   full_feature_count AS all_features_count, feature_count AS top_features_count,
   full_best_model AS all_features_best_model, best_model AS top_features_best_model,
-""" + ",\n".join(f"  {c} - full_{c} AS {c}_delta_top_minus_all" for c in compare.METRICS) + """,
+""" + ",\n".join(f"  {c} - full_{c} AS {c}_delta_top_minus_all" for c in (*compare.SCORES, *X.COSTS)) + """,
   CASE WHEN validation_rmse - full_validation_rmse < 0 THEN 'improved'
        WHEN validation_rmse - full_validation_rmse > 0 THEN 'degraded' ELSE 'maintained' END
     AS validation_performance_assessment
@@ -378,7 +390,7 @@ FROM pairs"""
 def q_feature_overlap(spark, sf):
     """Each run's features against the best predictive run's features."""
     runs = X.runs_table(spark, sf)
-    rec = compare.build_recommendation(runs).select("experiment_id", "best_platform", "best_feature_set")
+    rec = compare.build_recommendation(runs, costs=tuple(X.COSTS)).select("experiment_id", "best_platform", "best_feature_set")
     best = runs.join(rec, "experiment_id").filter(
         (F.col("platform") == F.col("best_platform")) & (F.col("feature_set") == F.col("best_feature_set"))
     ).select("experiment_id", F.col("model_features").alias("second_features"))
@@ -391,7 +403,7 @@ def q_feature_overlap(spark, sf):
 SQL_OVERLAP = S.with_(M.RUNS) + """, best AS (
   SELECT experiment_id, model_features AS second_features FROM (
     SELECT *, row_number() OVER (PARTITION BY experiment_id
-      ORDER BY validation_rmse, test_rmse, training_seconds, platform, feature_set) AS rn
+      ORDER BY validation_rmse, test_rmse, training_cells, platform, feature_set) AS rn
     FROM runs WHERE is_automl) WHERE rn = 1),
 p AS (SELECT r.experiment_id, r.platform, r.feature_set, r.best_model, r.model_features AS first_features,
         b.second_features FROM runs r JOIN best b ON r.experiment_id = b.experiment_id)
@@ -407,26 +419,26 @@ FROM p"""
 
 def q_recommendation(spark, sf):
     """Best predictive, fastest and best reduced run within 2 %."""
-    return compare.build_recommendation(X.runs_table(spark, sf), 2.0)
+    return compare.build_recommendation(X.runs_table(spark, sf), 2.0, tuple(X.COSTS))
 
 
 SQL_RECOMMEND = S.with_(M.RUNS + PAIRS) + f""", red AS (
   SELECT experiment_id, platform, best_model, feature_count, validation_rmse,
-    {_pct('validation_rmse', 'full_validation_rmse')} AS deg, {_pct('training_seconds', 'full_training_seconds')} AS tchg
+    {_pct('validation_rmse', 'full_validation_rmse')} AS deg, {_pct('training_cells', 'full_training_cells')} AS tchg
   FROM pairs),
 redb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experiment_id ORDER BY deg, validation_rmse, tchg, platform) AS rn
          FROM red WHERE deg <= 2.0) WHERE rn = 1),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experiment_id
-         ORDER BY validation_rmse, test_rmse, training_seconds, platform, feature_set) AS rn FROM runs WHERE is_automl) WHERE rn = 1),
+         ORDER BY validation_rmse, test_rmse, training_cells, platform, feature_set) AS rn FROM runs WHERE is_automl) WHERE rn = 1),
 fast AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experiment_id
-         ORDER BY training_seconds, validation_rmse, platform, feature_set) AS rn FROM runs WHERE is_automl) WHERE rn = 1),
+         ORDER BY training_cells, validation_rmse, platform, feature_set) AS rn FROM runs WHERE is_automl) WHERE rn = 1),
 ex AS (SELECT DISTINCT experiment_id FROM runs)
 SELECT ex.experiment_id,
   best.platform AS best_platform, best.feature_set AS best_feature_set, best.feature_count AS best_feature_count,
   best.best_model AS best_best_model, best.validation_rmse AS best_validation_rmse, best.test_rmse AS best_test_rmse,
   best.test_mae AS best_test_mae, best.test_r2 AS best_test_r2,
   fast.platform AS fastest_platform, fast.feature_set AS fastest_feature_set,
-  fast.training_seconds AS fastest_training_seconds, fast.validation_rmse AS fastest_validation_rmse,
+  fast.training_cells AS fastest_training_cells, fast.validation_rmse AS fastest_validation_rmse,
   redb.platform AS reduced_platform, redb.best_model AS reduced_best_model, redb.feature_count AS reduced_feature_count,
   redb.validation_rmse AS reduced_validation_rmse, redb.deg AS reduced_validation_degradation_percent,
   redb.tchg AS reduced_training_time_change_percent,

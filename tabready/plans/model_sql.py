@@ -37,7 +37,7 @@ def _pred_sql(name: str, kind: str, x: str | None) -> str:
 PRED_UNION = "\nUNION ALL\n".join(
     _pred_sql(c.name, c.kind, c.features[-1] if c.features else None) for c in CANDIDATES)
 
-_META = ", ".join(f"('{c.name}', CAST({float(c.n_params)!r} AS DOUBLE), {len(c.features)})" for c in CANDIDATES)
+_META = ", ".join(f"('{c.name}', {len(c.features)})" for c in CANDIDATES)
 
 PREDS = S.DOC_SPLITS + f""",
 train AS (SELECT * FROM doc_splits WHERE data_split = 'train'),
@@ -56,12 +56,14 @@ def metrics_sql(src: str = "preds", by: str = "model, data_split") -> str:
   FROM {src} GROUP BY {by}"""
 
 
-LEADERBOARD = PREDS + f""",
-metrics AS ({metrics_sql("(SELECT * FROM preds WHERE data_split IN ('validation', 'test'))")}),
-meta AS (SELECT * FROM (VALUES {_META}) AS t(model, n_params, feature_count)),
+def leaderboard_sql(src: str, name: str, by: str = "") -> str:
+    """The leaderboard ``name`` over the predictions ``src``, per ``by``."""
+    return f""",
+{name}_metrics AS ({metrics_sql(f"(SELECT * FROM {src} WHERE data_split IN ('validation', 'test'))", f"{by}model, data_split")}),
+meta AS (SELECT * FROM (VALUES {_META}) AS t(model, feature_count)),
 n_train AS (SELECT count(*) AS n FROM train),
-leaderboard AS (
-  SELECT m.model,
+{name} AS (
+  SELECT {by}m.model,
     max(CASE WHEN data_split = 'validation' THEN rmse END) AS validation_rmse,
     max(CASE WHEN data_split = 'validation' THEN mae END) AS validation_mae,
     max(CASE WHEN data_split = 'validation' THEN r2 END) AS validation_r2,
@@ -69,9 +71,17 @@ leaderboard AS (
     max(CASE WHEN data_split = 'test' THEN mae END) AS test_mae,
     max(CASE WHEN data_split = 'test' THEN r2 END) AS test_r2,
     any_value(meta.feature_count) AS feature_count,
-    any_value((SELECT n FROM n_train) * meta.n_params * CAST(1e-6 AS DOUBLE)) AS fit_time,
-    any_value(meta.n_params * CAST(1e-3 AS DOUBLE)) AS predict_time_per_row_ms
-  FROM metrics m JOIN meta ON m.model = meta.model GROUP BY m.model)"""
+    CAST(any_value((SELECT n FROM n_train) * (meta.feature_count + 1)) AS BIGINT) AS fit_cells,
+    any_value(meta.feature_count) AS predict_cells_per_row
+  FROM {name}_metrics m JOIN meta ON m.model = meta.model GROUP BY {by}m.model)"""
+
+
+LEADERBOARD = PREDS + leaderboard_sql("preds", "leaderboard")
+
+# an experiment per language
+EXP_PREDS = PREDS + f""",
+exp_preds AS (SELECT '{EXPERIMENT}_' || d.lang AS experiment_id, p.* FROM preds p JOIN doc_splits d ON p.row_id = d.doc_id WHERE d.lang IS NOT NULL)"""
+EXP_LEADERBOARD = EXP_PREDS + leaderboard_sql("exp_preds", "exp_leaderboard", "experiment_id, ")
 
 _CORR = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, abs(corr({c}, n_chars)) AS r FROM train" for c in DOC_NUMERIC)
@@ -103,17 +113,17 @@ eligible AS (
   WHERE len(list_filter(s.features, lambda x: NOT list_contains(s.set_features, x))) = 0),
 searched AS (
   SELECT *, row_number() OVER (PARTITION BY platform, feature_set ORDER BY validation_rmse, model) AS _r,
-         sum(fit_time) OVER (PARTITION BY platform, feature_set) AS training_total
+         sum(fit_cells) OVER (PARTITION BY platform, feature_set) AS training_total
   FROM eligible),
 runs AS (
   SELECT '{EXPERIMENT}' AS experiment_id, platform, feature_set, CAST(len(set_features) AS INTEGER) AS feature_count,
          model AS best_model, validation_rmse, test_rmse, test_mae, test_r2,
-         round(training_total, 9) AS training_seconds,
-         predict_time_per_row_ms * (SELECT n FROM n_test) / 1000.0 AS prediction_seconds,
+         CAST(training_total AS DOUBLE) AS training_cells,
+         CAST(predict_cells_per_row * (SELECT n FROM n_test) AS DOUBLE) AS prediction_cells,
          true AS is_automl, set_features AS model_features
   FROM searched WHERE _r = 1
   UNION ALL
   SELECT '{EXPERIMENT}', 'baseline', 'all_features', CAST(len(b.features) AS INTEGER), l.model,
-         validation_rmse, test_rmse, test_mae, test_r2, fit_time,
-         predict_time_per_row_ms * (SELECT n FROM n_test) / 1000.0, false, b.features
+         validation_rmse, test_rmse, test_mae, test_r2, CAST(fit_cells AS DOUBLE),
+         CAST(predict_cells_per_row * (SELECT n FROM n_test) AS DOUBLE), false, b.features
   FROM (VALUES {_BASE}) AS b(model, features) JOIN leaderboard l ON b.model = l.model)"""

@@ -243,11 +243,11 @@ def q_gate_status(spark, sf):
 def q_drop_null_metric_rows(spark, sf):
     """leaderboard rows with timing (a model without a fit time is dropped)."""
     lb = X.leaderboard(spark, sf).withColumn(
-        "fit_time", F.when(F.col("model") != "mean", F.col("fit_time")))
-    return gates.drop_null_metric_rows(lb, ["fit_time"]).select("model", "fit_time")
+        "fit_cells", F.when(F.col("model") != "mean", F.col("fit_cells")))
+    return gates.drop_null_metric_rows(lb, ["fit_cells"]).select("model", "fit_cells")
 
 
-SQL_DROP_NULL = S.with_(M.LEADERBOARD) + "SELECT model, fit_time FROM leaderboard WHERE model <> 'mean'"
+SQL_DROP_NULL = S.with_(M.LEADERBOARD) + "SELECT model, fit_cells FROM leaderboard WHERE model <> 'mean'"
 
 
 def q_align_predictions(spark, sf):
