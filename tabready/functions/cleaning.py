@@ -21,8 +21,8 @@ CLOCK_PATTERN = r"^\d+(:\d{1,2}){1,2}$"
 # A plain decimal number with optional sign and exponent.  Text outside this
 # pattern (``10d``, ``1_000``, ``inf``) is missing, identically in Spark and SQL.
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# Leading/trailing whitespace of any kind (Python's str.strip), not just spaces.
-EDGE_SPACE_PATTERN = r"^\s+|\s+$"
+# White space that is removed from both ends.
+EDGE_SPACE = " \t\n\x0b\f\r"
 
 
 def _col(c: str | Column) -> Column:
@@ -31,7 +31,7 @@ def _col(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Remove surrounding whitespace of any kind."""
-    return F.regexp_replace(_col(c), EDGE_SPACE_PATTERN, "")
+    return F.btrim(_col(c), F.lit(EDGE_SPACE))
 
 
 def nan_to_null(c: str | Column) -> Column:

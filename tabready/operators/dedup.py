@@ -1,16 +1,16 @@
 """Duplicate handling.
 
-De-duplication is an aggregation, not a window: ``min_by`` over a struct
-ordering key keeps one row per identifier with map-side partial aggregation,
-so an identifier holding a third of all rows is reduced on every map task
-instead of being sorted inside one task.
+De-duplication numbers an identifier's rows and keeps the first.  The limit goes
+below the exchange (one row per identifier leaves a map task), so an identifier
+holding a third of all rows is reduced where it is read, and a row is carried
+once, not beside an ordering key that repeats its columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,14 +33,9 @@ def dedup_most_complete(
     """
     others = [c for c in df.columns if c != identifier]
     tiebreak = list(tiebreak) if tiebreak is not None else others
-    key = F.struct((-completeness(features)).alias("_neg_complete"), *[F.col(c) for c in tiebreak])
-    row = F.struct(*[F.col(c) for c in others])
-    kept = (
-        df.filter(F.col(identifier).isNotNull())
-        .groupBy(identifier)
-        .agg(F.min_by(row, key).alias("_row"))
-        .select(identifier, "_row.*")
-    )
+    order = [(-completeness(features)).asc(), *[F.col(c).asc_nulls_first() for c in tiebreak]]
+    number = F.row_number().over(Window.partitionBy(identifier).orderBy(*order))
+    kept = df.filter(F.col(identifier).isNotNull()).withColumn("_number", number).filter("_number <= 1").drop("_number")
     return kept.unionByName(df.filter(F.col(identifier).isNull())).select(*df.columns)
 
 
