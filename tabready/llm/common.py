@@ -11,6 +11,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Callable
 
@@ -30,20 +31,38 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
+#: Folders that ``written`` tables are read from, by their plan's DataFrame.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def written(df: DataFrame, kind: str, *used: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and scan it back: lineage ends here,
     and a lost executor costs a re-read, not a re-run.
 
-    Shuffle files go when the driver's JVM collects the plans that made them,
-    which may be long after; asking for a collection here lets the disk of a
-    finished step serve the next one."""
+    ``used`` are written tables of which this one was the last reader: their
+    folders go.  Shuffle files go when the driver's JVM collects the plans that
+    made them, which may be long after; asking for a collection here lets the disk
+    of a finished step serve the next one."""
     spark, schema = df.sparkSession, df.schema
     path = scratch_path(spark, kind)
     df.write.mode("error").parquet(path)
     del df
+    for table in used:
+        discard(table)
     gc.collect()
     spark._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the folder of a written table that nothing reads any more."""
+    path = _PATHS.pop(table, None)
+    if path is not None:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 _SHIPPED: set[str] = set()
@@ -103,7 +122,7 @@ def releasing(step: Callable) -> Callable:
 
 
 def row_key(id_col: str, text_col: str):
-    """128 bits that name a row by its id and its text.  Rows that share it are
-    equal in both, so an operator decides alike for them."""
+    """128 bits that name a row by its id and its text (null counts as empty).
+    Rows that share it are equal in both, so an operator decides alike for them."""
     return F.md5(F.concat_ws("\x00", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
                              F.coalesce(F.col(text_col), F.lit("")))).alias("row_key")

@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         edges = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-                        .unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
+                        .unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "edges", edges)
         after = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
         if after == before:
             break

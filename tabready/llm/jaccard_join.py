@@ -9,8 +9,12 @@ that is its minimum there.  Nodes of at most ``LEAF`` sets are compared pair by
 pair on byte sketches.  ``RUNS`` independent recursions reach ``TARGET_RECALL``
 for pairs at the threshold at the greatest depth, and more for closer ones.
 
-Nodes that stay large at the last depth hold sets that are alike: all of them
-are compared with one pivot, and only those unlike it with the rest, in blocks.
+A large node is looked at before it splits: its sets are compared with three of
+them, and the one that most are alike is its pivot.  Where few sets are unlike
+the pivot (``BLOCK`` at most) the node ends here: alike sets link through the
+pivot, and those unlike it are compared with all, in blocks.  So a group of near
+copies ends where it first meets and isn't carried through the levels.  Other
+large nodes split; at the last depth they end in the same way, in more blocks.
 
 Sketches only propose.  Proposed edges give components; the shingles of each
 component's sets are gathered once and all of its pairs are counted exactly
@@ -35,11 +39,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabready.llm.common import releasing, written
+from tabready.llm.common import releasing, row_key, written
 from tabready.llm.components import connected_components
 
 WORDS, THRESHOLD = 5, 0.8
 COORDINATES, DEPTH, LEAF, BLOCK = 128, 4, 48, 512
+#: Sets of a large node that are tried as its pivot.
+PIVOTS = 3
 TARGET_RECALL = 0.999
 #: A sketch estimate this far under the threshold (about three deviations) still proposes.
 MARGIN = 0.11
@@ -189,7 +195,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["sid", "sig"])
 
     made = F.pandas_udf(releasing(run), "sid binary, sig binary")(F.col(text_col))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("key"), made.alias("s")).select("doc_id", "key", "s.*")
+    return docs.select(F.col(id_col).alias("doc_id"), F.unhex(row_key(id_col, text_col)).alias("key"), made.alias("s")).select("doc_id", "key", "s.*")
 
 
 def split_nodes(rows: DataFrame) -> DataFrame:
@@ -249,25 +255,46 @@ def sketch_edges(leaves: DataFrame) -> DataFrame:
             .mapInPandas(releasing(run), "a binary, b binary"))
 
 
+def scored_nodes(rows: DataFrame) -> DataFrame:
+    """``node, sid, sketch, n, pivot, close, r`` of large nodes (``node, sid,
+    sketch``): the pivot is that of three sets which most of the node are alike
+    (drawn by a hash of node and set), ``r`` the number of sets unlike it."""
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for x, *others in batches:
+            own = _rows(x)
+            near = [alike(own, _rows(y)) >= THRESHOLD - MARGIN for y in others]
+            yield pd.Series(sum(n.astype(np.int32) << k for k, n in enumerate(near)), dtype="int32")
+
+    marks = F.pandas_udf(releasing(run), "int")
+    draw = lambda k: F.min(F.struct(F.xxhash64(F.lit(k), "node", "sid").alias("_h"), "sid", "sketch"))
+    drawn = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[draw(k).alias(f"p{k}") for k in range(PIVOTS)])
+    marked = rows.join(drawn, "node").select("node", "sid", "sketch", "n", *[F.col(f"p{k}.sid").alias(f"s{k}") for k in range(PIVOTS)],
+                                             marks("sketch", *[F.col(f"p{k}.sketch") for k in range(PIVOTS)]).alias("m"))
+    marked = written(marked, "jaccard-marks")
+    bit = lambda k: F.shiftright("m", k).bitwiseAND(F.lit(1))
+    best = marked.groupBy("node").agg(F.greatest(*[F.struct(F.sum(bit(k)).alias("c"), F.lit(k).alias("k")) for k in range(PIVOTS)]).alias("b"))
+    of = marked.join(best.select("node", "b.c", "b.k"), "node")
+    pick = lambda value: F.element_at(F.array(*[value(k) for k in range(PIVOTS)]), F.col("k") + 1)
+    return written(of.select("node", "sid", "sketch", "n", pick(lambda k: F.col(f"s{k}")).alias("pivot"), (pick(bit) == 1).alias("close"),
+                             (F.col("n") - F.col("c")).alias("r")), "jaccard-pivots", marked)
+
+
 def pivot_edges(rows: DataFrame) -> DataFrame:
-    """Edges of nodes that stayed large (``node, sid, sketch``): all sets against
-    the node's pivot, then those unlike it against all, in blocks."""
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for x, y in batches:
-            yield pd.Series(alike(_rows(x), _rows(y)))
-
-    estimate = F.pandas_udf(releasing(run), "double")
-    pivots = rows.groupBy("node").agg(F.min(F.struct("sid", "sketch")).alias("p"), F.count(F.lit(1)).alias("n"))
-    scored = written(rows.join(pivots, "node").select("node", "sid", "sketch", "n", F.col("p.sid").alias("pivot"), estimate("sketch", "p.sketch").alias("e")), "jaccard-pivots")
-    close = F.col("e") >= THRESHOLD - MARGIN
+    """Edges of large nodes (``node, sid, sketch``) that end here."""
+    return ended_edges(scored_nodes(rows))
+
+
+def ended_edges(scored: DataFrame) -> DataFrame:
+    """Edges of scored nodes: all sets against the node's pivot, then those
+    unlike it against all, in blocks."""
+    close = F.col("close")
     stars = scored.where(close & (F.col("sid") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
-    odd = scored.where(~close)
-    apart = odd.groupBy("node").agg(F.count(F.lit(1)).alias("r"))
+    odd, several = scored.where(~close), scored.where("r > 0")
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     at = lambda n: F.pmod(F.xxhash64("sid"), n).cast("int")
-    left = (odd.join(apart, "node").withColumn("i", at(blocks("r")))
+    left = (odd.withColumn("i", at(blocks("r")))
             .select("node", "sid", "sketch", "i", F.explode(F.sequence(F.lit(0), blocks("n") - 1)).alias("j"), F.lit(0).alias("side")))
-    right = (scored.join(apart, "node").withColumn("j", at(blocks("n")))
+    right = (several.withColumn("j", at(blocks("n")))
              .select("node", "sid", "sketch", F.explode(F.sequence(F.lit(0), blocks("r") - 1)).alias("i"), "j", F.when(close, 1).otherwise(2).alias("side")))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -298,24 +325,31 @@ def pivot_edges(rows: DataFrame) -> DataFrame:
 
 def proposed_edges(sets: DataFrame, runs: int, depth: int = DEPTH) -> DataFrame:
     """Run the recursion and return spanning edges of alike sets."""
-    rows, edges = first_nodes(sets, runs), None
+    rows, edges, before = first_nodes(sets, runs), [], []
     for level in range(1, depth + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         own = rows.join(sizes, "node")
         if level == 1:
             own = own.join(sets.select("sid", "sig"), "sid")
-        own = written(own.select("node", "sid", "sig", "n"), f"jaccard-level-{level}")
-        leaves = with_sketch(own.where(F.col("n") <= LEAF))
-        found = sketch_edges(leaves)
-        large = own.where(F.col("n") > LEAF)
-        if level == depth and not large.isEmpty():
-            found = found.unionByName(pivot_edges(with_sketch(large)))
-        edges = found if edges is None else edges.unionByName(found)
-        if level < depth:
-            if large.isEmpty():
-                break
-            rows = split_nodes(large)
-    return edges.distinct()
+        own = written(own.select("node", "sid", "sig", "n"), f"jaccard-level-{level}", *before)
+        edges.append(written(sketch_edges(with_sketch(own.where(F.col("n") <= LEAF))).distinct(), "jaccard-edges"))
+        large, before = own.where(F.col("n") > LEAF), [own]
+        if large.isEmpty():
+            break
+        if level == depth:
+            edges.append(written(pivot_edges(with_sketch(large)).distinct(), "jaccard-edges"))
+            break
+        scored = scored_nodes(with_sketch(large))
+        edges.append(written(ended_edges(scored.where(F.col("r") <= BLOCK)).distinct(), "jaccard-edges"))
+        going = written(scored.where(F.col("r") > BLOCK).select("node").distinct(), "jaccard-going", scored)
+        before.append(going)
+        if going.isEmpty():
+            break
+        rows = split_nodes(large.join(going, "node", "left_semi"))
+    out = edges[0]
+    for more in edges[1:]:
+        out = out.unionByName(more)
+    return written(out.distinct(), "jaccard-proposed", *edges, *before)
 
 
 def with_sketch(rows: DataFrame) -> DataFrame:
@@ -407,7 +441,7 @@ def shingles_of(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) ->
                 sets = [shingler(t) for t in texts.iloc[lo:lo + 500]]
                 yield pd.DataFrame({"sid": [set_id(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
-    rows = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.unhex(row_key(id_col, text_col)).alias("key"), F.col(text_col).alias("text"))
     if keys.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
     made = F.pandas_udf(releasing(run), "sid binary, shingles binary")(F.col("text"))
@@ -421,14 +455,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``n_links`` the number of other documents at the threshold or above, copies
     included.  ``key`` names equal rows (id and text).
     """
-    table = written(shingle_table(docs, id_col, text_col), "jaccard-sets")
-    sets = written(table.where("sid IS NOT NULL").groupBy("sid").agg(
+    made = written(shingle_table(docs, id_col, text_col), "jaccard-sets")
+    sets = written(made.where("sid IS NOT NULL").groupBy("sid").agg(
         F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.any_value("sig").alias("sig")),
         "jaccard-distinct")
-    edges = written(proposed_edges(sets, runs_for(recall=recall)), "jaccard-proposed")
-    parts = written(connected_components(edges).withColumnsRenamed({"node": "sid"}), "jaccard-parts")
+    # signatures are needed of distinct sets, and until edges are proposed
+    table = written(made.select("doc_id", "key", "sid"), "jaccard-rows", made)
+    edges = proposed_edges(sets, runs_for(recall=recall))
+    sets = written(sets.drop("sig"), "jaccard-names", sets)
+    parts = written(connected_components(edges).withColumnsRenamed({"node": "sid"}), "jaccard-parts", edges)
     sized = parts.join(parts.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
-    known = written(sized.join(sets.select("sid", "key", "rep", "copies"), "sid"), "jaccard-known")
+    known = written(sized.join(sets.select("sid", "key", "rep", "copies"), "sid"), "jaccard-known", parts)
     bodies = shingles_of(docs, known.select("key"), id_col, text_col)
     counted = written(exact_links(known.join(bodies, "sid").select("component", "size", "sid", "copies", "shingles")), "jaccard-links")
     links = counted.groupBy("sid").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.min("whole").alias("whole"))
@@ -436,7 +473,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     across = across.select(F.col("node").alias("sid"), F.col("component").alias("joined"))
     named = links.join(across, "sid", "left").select("sid", "links", F.coalesce("joined", "root").alias("class")).join(
         known.select("sid", "rep"), "sid")
-    named = written(named, "jaccard-classes")
+    named = written(named, "jaccard-classes", known, counted)
     least = named.groupBy("class").agg(F.min("rep").alias("class_id"))
     result = named.join(least, "class").select("sid", "links", "class_id")
     every = sets.select("sid", "rep", "copies").join(result, "sid", "left").select(
@@ -457,7 +494,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         found.where("NOT has_words").select("key", F.lit(0).cast("long").alias("n")).distinct())
     names = [c for c in docs.columns]
     mark, often = fresh("key", names), fresh("n", names)
-    rows = docs.withColumn(mark, F.xxhash64(id_col, text_col)).join(chosen.toDF(mark, often), mark)
+    rows = docs.withColumn(mark, F.unhex(row_key(id_col, text_col))).join(chosen.toDF(mark, often), mark)
     single = rows.where(F.col(often) <= 1).select(*names)
     return single.unionByName(rows.where(F.col(often) > 1).dropDuplicates([mark]).select(*names))
 
