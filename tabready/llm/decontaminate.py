@@ -15,9 +15,10 @@ not grow with the benchmark, but the time does; documents are then dropped by a
 join on the digests of the texts that matched.
 
 Defined results: case and kind of white space do not matter; null and empty
-texts match nothing; items shorter than ``Q`` characters are no evidence and
-match nothing; repeated documents match each for itself; of items with the same
-id one match per place is given, the best; further columns are ignored.
+texts match nothing, nor do null and empty items; texts of any length are read
+whole; repeated documents match each for itself; of items with the same id one
+match per place is given, the best (of equal ones the first found); an empty
+table of either kind gives no match; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -67,17 +68,23 @@ def characters(text: str) -> np.ndarray:
     return np.array([32 if c.isspace() else ord(low) if len(low := c.lower()) == 1 else ord(c) for c in text], np.int64)
 
 
-def gram_codes(data: bytes) -> np.ndarray:
-    """The eight bytes from each position, as one number each."""
-    if len(data) < Q:
+def gram_codes(data: bytes, q: int = Q) -> np.ndarray:
+    """The ``q`` bytes from each position, as one number each."""
+    if len(data) < q:
         return np.empty(0, np.uint64)
-    return np.ndarray((len(data) - Q + 1,), "<u8", data, strides=(1,))
+    if q == 8:
+        return np.ndarray((len(data) - q + 1,), "<u8", data, strides=(1,))
+    return np.ndarray((len(data) - q + 1,), "<u8", data + bytes(8), strides=(1,)) & np.uint64((1 << 8 * q) - 1)
 
 
 def edit_budget(n: int, rate: float) -> int:
-    """Edits allowed for an item of ``n`` characters: few enough that the
-    lemma still asks for a shared q-gram."""
-    return max(0, min(int(n * rate), (n - Q) // Q))
+    """Edits allowed for an item of ``n`` characters."""
+    return int(n * rate)
+
+
+def gram_length(n: int, rate: float) -> int:
+    """q for an item of ``n`` characters: after all allowed edits one q-gram is whole."""
+    return min(Q, n // (edit_budget(n, rate) + 1))
 
 
 def align(item: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int] | None:
@@ -104,17 +111,39 @@ def align(item: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int]
 
 
 class BenchmarkBlock:
-    """The q-gram index of one block of items."""
+    """The q-gram indexes of one block of items, one for each q."""
 
     def __init__(self, items: list[tuple], rate: float = ERROR_RATE):
-        items = [(k, t) for k, t in items if t and len(t) >= Q]
+        by_length: dict[int, list[tuple]] = {}
+        for k, t in items:
+            if t and (q := gram_length(len(t), rate)):
+                by_length.setdefault(q, []).append((k, t))
+        self.parts = [GramIndex(own, rate, q) for q, own in sorted(by_length.items())]
+
+    def matches(self, texts: list[str | None]) -> list[list[tuple]]:
+        """For each text the (item id, start, end, edits) of its matches."""
+        out: list[list[tuple]] = [[] for _ in texts]
+        if self.parts:
+            data = [folded(t) if t else b"" for t in texts]
+            for part in self.parts:
+                for found, new in zip(out, part.matches(texts, data)):
+                    for match in new:
+                        add_match(found, match)
+        return [sorted(m, key=lambda x: (x[1], x[2], str(x[0]))) for m in out]
+
+
+class GramIndex:
+    """The index of items of one q."""
+
+    def __init__(self, items: list[tuple], rate: float, q: int):
+        self.q = q
         self.ids = [k for k, _ in items]
         self.texts = [t for _, t in items]
         self.folded = [folded(t) for t in self.texts]
         self.length = np.array([len(t) for t in self.texts], np.int64)
         self.budget = np.array([edit_budget(n, rate) for n in self.length], np.int64)
-        self.bound = self.length - Q + 1 - Q * self.budget
-        codes = [np.array(gram_codes(f)) for f in self.folded]
+        self.bound = self.length - q + 1 - q * self.budget
+        codes = [np.array(gram_codes(f, q)) for f in self.folded]
         code = np.concatenate(codes) if codes else np.empty(0, np.uint64)
         item = np.repeat(np.arange(len(items)), [len(c) for c in codes])
         at = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.empty(0, np.int64)
@@ -141,7 +170,7 @@ class BenchmarkBlock:
 
     def hits(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Text positions, items and item positions of shared q-grams."""
-        codes = gram_codes(data)
+        codes = gram_codes(data, self.q)
         for start in range(0, len(codes), STEP):
             part = codes[start:start + STEP]
             at = np.flatnonzero(self.seen[self._slot(part)])
@@ -155,12 +184,9 @@ class BenchmarkBlock:
             flat = np.repeat(self.first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())
             yield np.repeat(at, n), self.item[flat], self.at[flat]
 
-    def matches(self, texts: list[str | None]) -> list[list[tuple]]:
-        """For each text the (item id, start, end, edits) of its matches."""
+    def matches(self, texts: list[str | None], parts: list[bytes]) -> list[list[tuple]]:
+        """The matches of texts, given with their folded bytes."""
         out: list[list[tuple]] = [[] for _ in texts]
-        if not self.ids:
-            return out
-        parts = [folded(t) if t else b"" for t in texts]
         # texts lie behind each other, further apart than any diagonal reaches
         gap = b"\x00" * Q
         starts = np.concatenate([[0], np.cumsum([len(p) + Q for p in parts])])
@@ -184,8 +210,8 @@ class BenchmarkBlock:
             found = self._verify(texts[d], parts[d], i, b)
             tried = (d, i, b, found)
             if found:
-                self._add(out[d], (self.ids[i], *found))
-        return [sorted(m, key=lambda x: (x[1], x[2], str(x[0]))) for m in out]
+                add_match(out[d], (self.ids[i], *found))
+        return out
 
     def _verify(self, text: str, data: bytes, i: int, band: int) -> tuple[int, int, int] | None:
         n, e = int(self.length[i]), int(self.budget[i])
@@ -203,15 +229,15 @@ class BenchmarkBlock:
         _, back = align(item[::-1], region[:end][::-1][:n + e], e) or (0, min(end, n))
         return low + end - back, low + end, edits
 
-    @staticmethod
-    def _add(found: list[tuple], new: tuple) -> None:
-        """Neighbouring bands see the same region: the better one stays."""
-        for k, old in enumerate(found):
-            if old[0] == new[0] and old[1] < new[2] and new[1] < old[2]:
-                if new[3] < old[3]:
-                    found[k] = new
-                return
-        found.append(new)
+
+def add_match(found: list[tuple], new: tuple) -> None:
+    """Neighbouring bands see the same region: the better match stays."""
+    for k, old in enumerate(found):
+        if old[0] == new[0] and old[1] < new[2] and new[1] < old[2]:
+            if new[3] < old[3]:
+                found[k] = new
+            return
+    found.append(new)
 
 
 def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple]]:
