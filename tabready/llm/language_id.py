@@ -1,6 +1,8 @@
 """Language identification by a linear-chain conditional random field.
 
-Every word is a position.  Its emission scores are sums of learned weights of
+Every word is a position; a run of letters is cut where its script changes, and
+into stretches that fit the script, so that writing without spaces has as many
+positions as its length asks for.  A position's emission scores are sums of learned weights of
 its affixes, character n-grams and itself (the lexicon), hashed; transitions
 between the languages of neighbouring words are learned as well.  Forward and
 backward messages give each word's language probabilities, also where a text
@@ -12,8 +14,8 @@ Training takes a bounded sample of labelled texts (``DOCS_PER_LANGUAGE`` and
 different documents, so that switches are seen.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0,
-and so is every text if nothing could be learned; repeated rows get equal
-results; ties go to the first language in alphabetical order; texts of any
+and so is every text if nothing could be learned (an empty or unlabelled table);
+repeated rows get equal results; ties go to the first language in alphabetical order; texts of any
 length are labelled whole; further columns are ignored.
 """
 
@@ -30,21 +32,26 @@ from pyspark.sql import functions as F
 
 from tabready.llm.common import release_memory, releasing
 
-WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# The most letters of a position, by script (names of Unicode).
+STRETCHES = {"Han": 2, "Hiragana": 4, "Katakana": 4, "Thai": 6, "Lao": 6, "Khmer": 6, "Myanmar": 6, "Tibetan": 6, "Latin": 40, "Cyrillic": 40,
+             "Greek": 40, "Arabic": 40, "Hebrew": 40, "Devanagari": 40, "Bengali": 40, "Tamil": 40, "Hangul": 40, "Armenian": 40, "Georgian": 40}
+LONGEST_WORD = 40
+_LISTED = "".join(rf"\p{{{script}}}" for script in STRETCHES)
+#: Positions of any text, each letter with its marks, and of one in Latin-1, which needs no look at scripts.
+POSITION = regex.compile("|".join([*(rf"(?:[\p{{L}}&&\p{{{script}}}]\p{{M}}*){{1,{n}}}" for script, n in STRETCHES.items()),
+                                   rf"(?:[\p{{L}}--[{_LISTED}]]\p{{M}}*){{1,{LONGEST_WORD}}}"]), regex.V1)
+LATIN_POSITION = regex.compile(rf"\p{{L}}{{1,{LONGEST_WORD}}}")
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 #: Bounds of the training sample: documents of a language, characters of a
-#: document, the most languages; and pieces that a longer document gives.
+#: document, the most languages (more are an error); and pieces that a longer document gives.
 DOCS_PER_LANGUAGE, MAX_TRAINING_CHARS, MAX_LANGUAGES, PIECES = 300, 20_000, 500, 4
 #: Words whose scores a worker keeps; words that run through the chain at a time.
 KEPT_WORDS, CHAIN_WORDS = 200_000, 200_000
-LONGEST_WORD = 40
 
 
 def word_features(word: str) -> list[int]:
-    """Hashed features of one word; a very long word counts by its two ends."""
-    if len(word) > LONGEST_WORD:
-        word = word[:LONGEST_WORD // 2] + word[-LONGEST_WORD // 2:]
+    """Hashed features of one position."""
     fenced = f"^{word}$"
     names = [f"w{word}"]
     names += [f"p{word[:n]}" for n in (1, 2, 3, 4) if n <= len(word)]
@@ -53,8 +60,20 @@ def word_features(word: str) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
 
 
+def position_pattern(text: str) -> regex.Pattern:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return POSITION
+    return LATIN_POSITION
+
+
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """The positions of a text, in lower case."""
+    if not text:
+        return []
+    low = text.lower()
+    return position_pattern(low).findall(low)
 
 
 def summed(where: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -254,7 +273,7 @@ class Crf:
         if not text or not self.languages:
             return []
         low = text if len(text.lower()) != len(text) else text.lower()
-        spans = [m.span() for m in WORD.finditer(low)]
+        spans = [m.span() for m in position_pattern(low).finditer(low)]
         labels = self.posteriors([[low[a:b].lower() for a, b in spans]])[0].argmax(1) if spans else []
         out: list[tuple[int, int, str]] = []
         for (a, b), k in zip(spans, labels):
@@ -306,7 +325,9 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ~held_out(id_col) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("id", "text").alias("key"))
     counts = (rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("key").alias("distinct"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
+              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect())
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"the documents are labelled with more than {MAX_LANGUAGES} languages")
     # the least hashes of about twice as many documents as are taken, so that the window orders a few rows only
     share = F.lit(0.0)
     for r in counts:

@@ -269,3 +269,55 @@ def test_blocks_leave_the_plan(spark, monkeypatch):
     assert sorted(map(tuple, left.collect()), key=str) == kept and left.columns == docs.columns
     for out in (found, left):
         assert "ArrowEval" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_short_item_is_found_within_its_budget():
+    """All items of 1-40 characters against all texts, by whole alignment."""
+    rng = random.Random(12)
+    letters = "abcdefgh "
+    items = [(k, "".join(rng.choice(letters) for _ in range(1 + k % 40)).replace("  ", "ab")) for k in range(120)]
+    texts = []
+    for k, t in items:
+        n = rng.randrange(d.edit_budget(len(t), d.ERROR_RATE) + 2)
+        body = damaged(rng, t, n) if n else t
+        texts.append("".join(rng.choice(letters) for _ in range(rng.randrange(60))) + body + "".join(rng.choice(letters) for _ in range(rng.randrange(60))))
+    got = {(k, m[0]) for k, ms in enumerate(d.BenchmarkBlock(items).matches(texts)) for m in ms}
+    want = {(k, i) for k, t in enumerate(texts) for i, item in items
+            if edits(d.characters(item).tolist(), d.characters(t).tolist()) <= len(item) // 10}
+    assert got == want and len(want) > 150
+
+
+@pytest.mark.parametrize("item, text", [("The quick brown fox.", "see: The quikc brown fox. ok"), ("E = mc2", "so E = mc2 holds"),
+                                        ("abcdefghij", "xx abcdefghj yy"), ("x" * 30, "x" * 27), ("日本語の文", "これは日本語の文です")])
+def test_short_items(item, text):
+    assert [m[0] for m in d.BenchmarkBlock([("i", item)]).matches([text, "clean words only"])[0]] == ["i"]
+
+
+def test_positions_of_long_runs():
+    assert lang.words_of("Ab" * 50) == ["ab" * 20, "ab" * 20, "ab" * 10]
+    han = "中文字" * 40
+    assert "".join(lang.words_of(han)) == han and max(map(len, lang.words_of(han))) == 2
+    assert lang.words_of("日本語ひらがなカタカナhello") == ["日本", "語", "ひらがな", "カタカナ", "hello"]
+    assert lang.words_of("приветworld naïve") == ["привет", "world", "naïve"]
+    assert lang.words_of("e\u0301a\u0308x ไทยภาษา") == ["e\u0301a\u0308x", "ไทยภาษ", "า"]
+    assert "".join(lang.words_of("ꦗꦮ한국어")) == "ꦗꦮ한국어" and lang.words_of("123 — …") == []
+
+
+def test_a_switch_inside_a_run_is_seen():
+    """Writing without spaces: the middle of a run counts as its ends do."""
+    first, second = "山川水木日月", "愛夢空海星風"
+    rng = random.Random(3)
+    write = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    data = [(lang.words_of(write(first, 80)), 0) for _ in range(40)] + [(lang.words_of(write(second, 80)), 1) for _ in range(40)]
+    model = lang.Crf(["a", "b"]).fit(lang.spliced(data))
+    text = write(first, 30) + write(second, 300) + write(first, 30)
+    assert model.predict([text])[0][0] == "b"
+    runs = [r for r in model.runs(text) if r[1] - r[0] > 8]
+    assert [r[2] for r in runs] == ["a", "b", "a"] and abs(runs[1][0] - 30) <= 4 and abs(runs[1][1] - 330) <= 4
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(lang, "MAX_LANGUAGES", 2)
+    rows = [(i, "some words here", f"l{i}") for i in range(12)]
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        lang.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
