@@ -11,12 +11,16 @@ Forms and boxes that only their class words drop are looked into.  One that
 holds an article or main stays (a form without its controls).  If hardly any
 text is left without them, and none in an article or main, the one that holds
 most of the page's unlinked text comes back, or else all of them; boxes of
-reader comments only come back if nothing at all is left.
+reader comments only come back if nothing at all is left.  Class words are read
+out of camelCase and of compounds that begin with a telling stem.  Comments
+without such a name are known by their shape: siblings of one kind that each
+hold a link or button to reply.
 
 Defined results: null, empty or text-free html gives an empty text; broken,
 unclosed or cut-off markup is read as far as it goes; texts of any depth and
-length are read whole and without recursion; repeated rows get equal results;
-further columns are ignored.
+length are read whole and without recursion, in time that grows with their
+length; of containers with equal scores the first is best; repeated rows get equal
+results; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,8 +54,14 @@ DROPPED_WORDS = frozenset("ad ads adv advert adverts advertisement advertising a
                           "comment comments commentlist disqus respond cookie cookies consent gdpr footer header masthead menu nav navbar "
                           "navigation newsletter subscribe subscription notice notices notification alert pager pagination popup "
                           "modal overlay promo promoted promotion related recommended recommendations share sharing social "
-                          "sidebar sponsor sponsored toolbar widget widgets login signup signin copyright outbrain taboola".split())
-READER_WORDS = frozenset("comment comments commentlist disqus respond".split())
+                          "sidebar sponsor sponsored toolbar widget widgets login signup signin copyright outbrain taboola "
+                          "replies responses reviews discussion discussions guestbook paywall bio".split())
+READER_WORDS = frozenset("comment comments commentlist disqus respond replies responses reviews discussion discussions guestbook".split())
+# Beginnings of compounds, words that begin so and mean something else, and what a link to reply says.
+DROPPED_STEMS = ("comment", "cookie", "advert", "newsletter", "subscrib", "breadcrumb", "sidebar", "paywall", "popup", "sponsor")
+OTHER_WORDS = ("commentar", "advertise-with")
+REPLIES = frozenset(("reply", "replies", "reply to this", "antworten", "répondre", "responder", "rispondi", "beantwoorden", "ответить", "返信", "回复"))
+COMMAS = re.compile("[,\u060c\u3001\uff0c]")
 KEPT_WORDS = frozenset("has with no without".split())
 NEVER_DROPPED = frozenset("html body article main".split())
 #: Hardly any text: less than these characters and than this share of the page's.
@@ -63,7 +73,7 @@ ATTRIBUTE = re.compile(r"[\s/]*([^\s>/][^\s=>/]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^'
 COMMENT_END = re.compile(r"--!?>")
 TAG_END = re.compile(r"[\s/]*>")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-WORDS = re.compile(r"[a-z]+")
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Page:
@@ -75,6 +85,9 @@ class Page:
         self.form, self.readers = [False], [False]
         self.runs: list[tuple[int, str]] = []  # node and text; a block boundary is a space
         self._open = [0]
+        # places in the stack of open elements: of each name, and of those that are no inline ones
+        self._at: dict[str, list[int]] = {}
+        self._blocks, self._seen = [0], {"#root"}
         self._read(source)
 
     def _read(self, s: str) -> None:
@@ -122,8 +135,9 @@ class Page:
         self.runs.append((self._open[-1], " "))
 
     def _start(self, name: str, attributes: dict[str, str]) -> None:
-        if name in ("html", "body") and name in self.tag:
+        if name in ("html", "body") and name in self._seen:
             return
+        self._seen.add(name)
         if name in CLOSES_P:
             self._close_up_to({"p"}, BOXES | {"button", "li"} - {"p"})
         if name in ITEM_OF:
@@ -136,32 +150,40 @@ class Page:
         self.out.append(self._dropped(name, attributes))
         self.named_out.append(self._named_dropped(name, attributes))
         self.form.append(name == "form" or name not in ("html", "body", "main") and attributes.get("role", "").lower() == "form")
-        self.readers.append(self.named_out[-1] and not READER_WORDS.isdisjoint(self._name_words(attributes)))
+        self.readers.append(self.named_out[-1] and any(w in READER_WORDS or w.startswith("comment") for w in self._name_words(attributes)))
         self.link.append(self.link[parent] or name == "a")
         if name not in VOID:
+            self._at.setdefault(name, []).append(len(self._open))
+            if name not in INLINE:
+                self._blocks.append(len(self._open))
             self._open.append(node)
 
+    def _innermost(self, names: set[str] | frozenset[str]) -> int:
+        """The place of the last opened element of these names, 0 if none is open."""
+        return max((self._at[x][-1] for x in names if self._at.get(x)), default=0)
+
+    def _cut(self, place: int) -> None:
+        """Close the element at this place and all opened after it."""
+        for k in range(len(self._open) - 1, place - 1, -1):
+            self._at[self.tag[self._open[k]]].pop()
+            if self._blocks[-1] == k:
+                self._blocks.pop()
+        del self._open[place:]
+
     def _close_up_to(self, names: set[str], stop: set[str] | frozenset[str]) -> None:
-        for depth in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[depth]]
-            if tag in names:
-                del self._open[depth:]
-                return
-            if tag in stop:
-                return
+        place = self._innermost(names)
+        if place > self._innermost(stop - names):
+            self._cut(place)
 
     def _close(self, name: str) -> None:
         if name not in INLINE:
             self._break()
         if name in ("html", "body"):
             return
-        for depth in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[depth]]
-            if tag == name:
-                del self._open[depth:]
-                break
-            if name in INLINE and tag not in INLINE:
-                break
+        place = self._innermost({name})
+        # an inline element ends within its block only
+        if place and (name not in INLINE or place > self._blocks[-1]):
+            self._cut(place)
         if name not in INLINE:
             self._break()
 
@@ -175,14 +197,42 @@ class Page:
 
     @staticmethod
     def _name_words(attributes: dict[str, str]) -> list[str]:
-        return WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
+        return [w.lower() for w in WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")]
 
     @classmethod
     def _named_dropped(cls, name: str, attributes: dict[str, str]) -> bool:
         if name in NEVER_DROPPED and name != "article" or not ("class" in attributes or "id" in attributes):
             return False
         words = cls._name_words(attributes)
-        return any(w in DROPPED_WORDS for w in words) and not any(w in KEPT_WORDS for w in words)
+        told = any(w in DROPPED_WORDS or w.startswith(DROPPED_STEMS) and not w.startswith(OTHER_WORDS) for w in words)
+        return told and not any(w in KEPT_WORDS for w in words)
+
+    def _mark_replies(self) -> None:
+        """Siblings of one name that each hold a link or button to reply are
+        reader comments, whatever their class."""
+        holds: set[int] = set()
+        said: dict[int, str] = {}
+        for node, text in self.runs:
+            place = node
+            while self.tag[place] in INLINE and self.tag[place] != "a" and place:
+                place = self.parent[place]
+            if self.tag[place] in ("a", "button"):
+                said[place] = said.get(place, "") + text
+        for node, text in said.items():
+            if " ".join(text.split()).casefold() in REPLIES:
+                for _ in range(6):
+                    holds.add(node)
+                    node = self.parent[node]
+                    if node <= 0 or self.tag[node] in NEVER_DROPPED and self.tag[node] != "article":
+                        break
+        kinds: dict[tuple[int, str], list[int]] = {}
+        for node in holds:
+            if self.tag[node] not in INLINE and self.tag[node] != "button":
+                kinds.setdefault((self.parent[node], self.tag[node]), []).append(node)
+        for nodes in kinds.values():
+            if len(nodes) > 1:
+                for node in nodes:
+                    self.named_out[node] = self.readers[node] = True
 
     def _bring_back(self, box: list[bool], out: list[bool]) -> None:
         """Take the mark from boxes that hold the page's text.  ``box`` marks
@@ -223,6 +273,7 @@ class Page:
     def main_text(self) -> str:
         tag, parent, out = self.tag, self.parent, self.out
         n = len(tag)
+        self._mark_replies()
         if "article" not in tag and "main" not in tag:
             header = [t == "header" for t in tag]
         else:  # a header inside the article is the article's own
@@ -244,7 +295,7 @@ class Page:
         for node, text in self.runs:
             if not out[node] and (size := len(text.strip())):
                 chars[node] += size
-                commas[node] += text.count(",")
+                commas[node] += len(COMMAS.findall(text))
                 linked[node] += size * self.link[node]
                 direct[node] += size
         for i in range(n - 1, 0, -1):

@@ -1,10 +1,12 @@
 """Quality rules, URL filter and main-text extraction."""
 
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pytest
 from helpers import awkward_texts, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -164,3 +166,107 @@ def test_awkward_pages(spark):
     assert rows[11].text == "<p> A &bogus; &am"
     assert all(r.n_chars == len(r.text) for r in rows.values())
     assert html_text.extract_text(df.where("false")).count() == 0
+
+
+BODY = "<p>One long sentence, with commas, stands here.</p><p>Another one, as long as that, follows it.</p>" * 4
+BODY_TEXT = " ".join(re.sub("<[^>]+>", " ", BODY).split())
+
+
+@pytest.mark.parametrize("name", ["userComments", "commentArea", "adSlot", "cookieBanner", "cookiebar", "reviews", "replies", "responses", "discussion",
+                                  "guestbook", "paywall", "author-bio", "CommentSection", "commentsBlock", "newsletterBox", "post__commentsWrap"])
+def test_boxes_by_compound_names(name):
+    for attribute in ("class", "id"):
+        page = f"<div>{BODY}<div {attribute}={name}><p>Not of the article, really, no.</p></div></div>"
+        assert html_text.main_text(page) == BODY_TEXT
+
+
+@pytest.mark.parametrize("name", ["commentary", "dialogue", "adventure", "biology", "reviewed-by-editor", "loading"])
+def test_names_that_only_look_like_it(name):
+    assert "stays, as it should" in html_text.main_text(f"<div>{BODY}<div class={name}><p>This part stays, as it should.</p></div></div>")
+
+
+def test_comments_without_a_name():
+    comment = "<div class=x1><b>Ann</b> <time>2 May</time><p>I, for one, think so.</p><span><a href=#r>Reply</a></span></div>"
+    for word in ("Reply", "Antworten", "R&eacute;pondre", "回复"):
+        page = f"<div>{BODY}<div class=x0>{comment.replace('Reply', word) * 3}</div></div>"
+        assert html_text.main_text(page) == BODY_TEXT
+    # one link that says so is no list of comments, and text about replies stays
+    assert "think so" in html_text.main_text(f"<div>{BODY}<div>{comment}</div></div>")
+    assert "Reply to him" in html_text.main_text(f"<div>{BODY}<p>Reply to him, they said.</p><p>Reply to him, again.</p></div>")
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    for page in ("<form><ul>", "<div></section>", "<p><b><div>", "<table><tr><td>", "<li><a>", "<span><p></i>", "<dl><dt><dd>"):
+        took = []
+        for n in (25_000, 100_000):
+            source = page * (n // page.count("<")) + "end"
+            began = time.process_time()
+            html_text.main_text(source)
+            took.append(time.process_time() - began)
+        assert took[1] < 12 * max(took[0], 0.05) and took[1] < 8, (page, took)
+
+
+class PlainStack:
+    """The reader's closing rules by walking the whole stack."""
+
+    def __init__(self, moves):
+        self.open, self.parents = [("#root", 0)], []
+        for kind, name in moves:
+            (self.start if kind else self.close)(name)
+
+    def up_to(self, names, stop):
+        for depth in range(len(self.open) - 1, 0, -1):
+            tag = self.open[depth][0]
+            if tag in names:
+                del self.open[depth:]
+                return
+            if tag in stop:
+                return
+
+    def start(self, name):
+        if name in html_text.CLOSES_P:
+            self.up_to({"p"}, html_text.BOXES | {"button", "li"} - {"p"})
+        if name in html_text.ITEM_OF:
+            self.up_to(*html_text.ITEM_OF[name])
+        self.parents.append(self.open[-1][1])
+        if name not in html_text.VOID:
+            self.open.append((name, len(self.parents)))
+
+    def close(self, name):
+        for depth in range(len(self.open) - 1, 0, -1):
+            tag = self.open[depth][0]
+            if tag == name:
+                del self.open[depth:]
+                return
+            if name in html_text.INLINE and tag not in html_text.INLINE:
+                return
+
+
+def test_tree_equals_a_walk_of_the_stack():
+    rng = random.Random(8)
+    names = "div p span b a ul li table tr td th dl dt dd form section br h1 option select button blockquote i".split()
+    for _ in range(300):
+        moves = [(rng.random() < 0.6, rng.choice(names)) for _ in range(rng.randrange(60))]
+        page = html_text.Page("".join(f"<{n}>" if kind else f"</{n}>" for kind, n in moves))
+        assert page.parent[1:] == PlainStack(moves).parents
+
+
+def test_every_word_of_plain_blocks_is_kept_once():
+    """Pages of known text, wrapped at random: the main text is that text."""
+    rng = random.Random(21)
+    for _ in range(60):
+        blocks = [" ".join(rng.choice(("alpha,", "beta", "gamma", "d&amp;d", "<b>eps</b>ilon")) for _ in range(rng.randrange(20, 60))) for _ in range(rng.randrange(2, 9))]
+        inner = "".join(rng.choice((f"<p>{b}</p>", f"<p>{b}", f"<div><p>{b}</p></div>")) for b in blocks)
+        page = f"<html><nav><a>menu</a></nav><div class=c{rng.randrange(9)}><article>{inner}</article></div><footer>foot</footer></html>"
+        want = " ".join(re.sub("<[^>]+>", "", b).replace("&amp;", "&") for b in blocks)
+        assert html_text.main_text(page) == want
+
+
+def test_repeated_pages_and_long_text(spark):
+    page = f"<article>{BODY * 2000}</article>"
+    df = spark.createDataFrame([(1, "u", page), (1, "u", page), (None, None, ARTICLE)], "page_id long, url string, html string")
+    rows = html_text.extract_text(df).collect()
+    long = [r for r in rows if r.page_id == 1]
+    assert len(long) == 2 and long[0] == long[1] and long[0].n_chars == 2000 * (len(BODY_TEXT) + 1) - 1
