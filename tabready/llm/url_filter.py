@@ -7,12 +7,16 @@ together) wins.  The rule list is configuration of at most ``MAX_RULES`` rows
 and becomes one Spark conditional expression.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
-and is allowed unless a rule fits; repeated urls get equal results; a training
-table with one class only allows everything; further columns are ignored.
+and is allowed unless a rule fits; urls of any length are read whole; repeated urls
+get equal results; of equally long rules that fit, the first in alphabetical order
+wins; a score of exactly the threshold blocks; an empty table gives an empty result;
+a training table that is empty or has one class only allows everything; further
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -25,36 +29,40 @@ from pyspark.sql import functions as F
 from tabready.llm.common import releasing
 
 MAX_RULES = 1000
-DIMENSIONS = 1 << 14
+DIMENSIONS = 1 << 16
 #: Bound of the labelled urls that the driver learns from.
 MAX_TRAINING_ROWS = 20_000
 GRAMS = (3, 4, 5)
 
-# Labelled sites for training, one kind of site per line.
+# Words of the labelled training urls, one kind of site per line.
 BLOCKED = """
-casino-royal/slots win-casino/play lucky-casino/bonus online-casino casino-win-big
-cheap-pills/order buy-pills-online pills-shop/cheap cheap-meds/rx viagra-cheap
-free-bets/today best-bets sports-bets-free bet-win/odds free-betting
-ads-track/pixel track-ads/click adserver-track ad-click/track banner-ads
-spam-farm/links link-farm seo-spam/backlinks spamfarm content-farm
-adult-x/video xxx-adult adult-cams porn-x/free adult-dating-x
-free-download-crack warez-keygen/crack free-loans-fast payday-loans/apply win-prize-free
-replica-watches-cheap free-money-win/claim crypto-double/win free-followers hot-singles
+casino slots poker bet bets betting roulette jackpot blackjack bingo lotto gambling sportsbook wager
+porn xxx sex adult nude cams escort hentai erotic hookup fetish milf videos-xxx webcam-girls singles-hot
+viagra cialis pills meds rx levitra xanax tramadol steroids cheap-meds pharmacy-rx
+warez crack keygen torrent nulled cracked serials
+payday loans cash-advance fast-loans quick-credit
+adserver ads-track ad-click clicktrack popads pixel banner-ads track-ads
+backlinks linkfarm link-farm spam seo-links content-farm followers
+replica fake-watches counterfeit
+win-prize free-money claim-prize crypto-double double-coins get-rich
 """.split()
 ALLOWED = """
-city-library/catalog university/research school-news/story local-museum/visit
-www.weather-report/today blog.gardening/roses m.recipes/soup history-notes/rome
-open-source-docs/guide physics-lectures/week railway-timetable/north public-health/advice
-blog.travel-diary/alps www.chess-club/games m.cinema-review/films music-theory/scales
-bird-watching/spring tax-office/forms parliament/debates court-records/case
-www.farm-produce/market free-speech/essay adult-education/courses tracking-wildlife/wolves
-blog.mathematics/proof thermal-physics/heat theory-nation/lesson there-and-then
-northern-lights/photos mother-tongue/words together/about weather-station/data
-education/teachers station-house/times translation/notes invention/patents
-than-you-thought/words thousand-islands/ferry the-nature-blog/plants that-old-house/repairs
-this-and-that/letters their-story/family the-handbook/tools another-thread/knitting
-www.books-and-authors/novels painting/gallery www.astronomy/stars sailing/knots
+library university school museum weather gardening recipes history archive institute academy college
+physics railway health travel chess cinema music birds tax parliament court farm speech education wildlife
+mathematics theory lights tongue together station teachers translation inventions thoughts islands nature repairs
+letters family handbook knitting books painting astronomy sailing theatre poetry language grammar novels opera
+angebote bahnhof zeitung kirche rathaus wetter reisen verein buch gesundheit hochschule
+mairie cuisine voyage livre actualites culture lycee jardin
+noticias ayuntamiento cocina viajes libros escuela salud
+better beta between alphabet betty essex sussex adventure address adobe advice adviser cashmere classics passage
+analysis caterpillar pillars crackers cracking-codes pixelart bannerman spamming-law sextant unisex-fashion seaside
+winter window wine rxjs loanwords torrential trackfield tracking-parcels clicker slotcar pokerface-song
+hardware software kernel docs github-pages wiki forum blog support shop-window bakery bicycle furniture shoes
 """.split()
+#: Words that either kind of site has.
+NEUTRAL = """online free best top my the shop buy cheap club live hub zone world new big city net web info home 24 365 pro max royal lucky
+daily first real super easy""".split()
+DOMAINS = "com net org example.com example.net example.org info co.uk de fr es it nl ru biz xyz io pl se ch at eu us ca com.au co.jp in site top online".split()
 
 
 @dataclass(frozen=True)
@@ -114,7 +122,7 @@ class UrlModel:
         return float(1 / (1 + np.exp(-z)))
 
 
-def fit(rows: list[tuple[str, str, int]], ridge: float = 2e-4, steps: int = 600, rate: float = 8.0) -> UrlModel:
+def fit(rows: list[tuple[str, str, int]], ridge: float = 5e-5, steps: int = 900, rate: float = 20.0) -> UrlModel:
     """Full-batch gradient descent over (host, path, 1 if blocked)."""
     y = np.array([r[2] for r in rows], float)
     if not len(y) or y.min() == y.max():
@@ -133,20 +141,39 @@ def fit(rows: list[tuple[str, str, int]], ridge: float = 2e-4, steps: int = 600,
     return UrlModel(weights.astype(np.float32), float(bias))
 
 
-def seed_rows() -> list[tuple[str, int]]:
-    """(url, label) of the small labelled table: the sites in turn under the
-    prefixes, domains and paths that either kind of site has."""
-    prefixes, domains = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org")
-    paths = ("en/{}", "de/{}/", "fr/{}.html", "es/{}?page=2", "{}#top")
+def seed_rows(per_word: int = 6, seed: int = 31) -> list[tuple[str, int]]:
+    """(url, label) of the labelled table: every word in turn stands in a host (or,
+    sometimes, in the path of a host without one) among words, domains, numbers and
+    path forms that either kind of site has.  Names made of random syllables are
+    allowed, as most sites bear names that no list holds."""
+    rng = random.Random(seed)
+    syllables = [a + b + c for a in ("b", "d", "f", "g", "l", "m", "n", "r", "s", "st", "t", "th", "tr", "v", "w", "") for b in "aeiou"
+                 for c in ("", "n", "r", "s", "nd", "l", "th", "ng")]
+    invented = ["".join(rng.choice(syllables) for _ in range(rng.randrange(2, 5))) for _ in range(len(ALLOWED))]
+    prefixes = ("", "", "", "www.", "www.", "m.", "blog.", "de.", "news.", "img.")
+    paths = ("", "/", "/index.html", "/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}?page=2", "/{n}#top", "/{w}", "/{w}/{w}.html", "/20{y}/0{d}/{w}-{w}",
+             "/p/{n}", "/{w}.php?id={n}", "/a/{w}/{n}", "/category/{w}/page/{d}")
+
+    def host(word: str) -> str:
+        other = rng.choice(NEUTRAL)
+        parts = rng.choice(((word,), (word, other), (other, word), (other, word), (word, str(rng.randrange(1, 999))), (word + "s",)))
+        return rng.choice(prefixes) + rng.choice(("", "-", "")).join(parts) + "." + rng.choice(DOMAINS)
+
+    def path(words: list[str]) -> str:
+        form = rng.choice(paths)
+        while "{w}" in form:
+            form = form.replace("{w}", rng.choice(words), 1)
+        return form.format(n=rng.randrange(1, 99_999), y=rng.randrange(10, 26), d=rng.randrange(1, 10))
+
     out = []
-    for label, sites in ((1, BLOCKED), (0, ALLOWED)):
-        for i, site in enumerate(sites):
-            name, _, rest = site.partition("/")
-            name = name.removeprefix("www.").removeprefix("blog.").removeprefix("m.")
-            for j in range(3):
-                k = 3 * i + j
-                path = paths[k % len(paths)].format(137 + 211 * (k % len(paths)))
-                out.append((f"https://{prefixes[k % 4]}{name}.{domains[j]}/{rest + '/' if rest and j == 0 else ''}{path}", label))
+    for label, words in ((1, BLOCKED), (0, ALLOWED), (0, invented)):
+        for word in words:
+            for k in range(per_word if not label else per_word * 2):
+                if k % 6 == 5:  # the path alone tells
+                    url = host(rng.choice(NEUTRAL)) + "/" + word + rng.choice(("", "/", f"/{rng.randrange(999)}"))
+                else:
+                    url = host(word) + path([*NEUTRAL, *(words if k % 3 == 0 else NEUTRAL)])
+                out.append((f"{rng.choice(('https', 'http'))}://{url}", label))
     return out
 
 

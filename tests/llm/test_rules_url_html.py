@@ -270,3 +270,53 @@ def test_repeated_pages_and_long_text(spark):
     rows = html_text.extract_text(df).collect()
     long = [r for r in rows if r.page_id == 1]
     assert len(long) == 2 and long[0] == long[1] and long[0].n_chars == 2000 * (len(BODY_TEXT) + 1) - 1
+
+
+# Urls as they look on the web, of hosts that the training table doesn't make.
+HELD_BLOCKED = """
+https://xvideos.com/ https://poker.bet365.com/ https://buy-cialis.biz https://www.888casino.com/slots https://pharmacy-online-24.ru/viagra
+http://freeporn.xxx/video/123 https://best-payday-loans.us/apply https://cracked-games.to/keygen https://adserver.example.com/pixel
+https://www.bingo-jackpot.co.uk/play https://sexcams.live/room/4 https://torrentz2.eu/search https://replica-rolex.cn/watches
+https://buyfollowers.io/instagram http://win-prize.top/claim https://onlinepokerroom.net https://cheapviagra.info
+https://escort-berlin.de/anna https://www.betway.com/sports https://nulled-scripts.org/theme https://quickcashadvance.com
+https://popads.net/serve https://www.hentaihub.com/a https://crypto-double.site https://spincasino.com/en https://xxxtube.net/v/1
+""".split()
+HELD_ALLOWED = """
+https://en.wikipedia.org/wiki/Casino_Royale https://www.bbc.co.uk/news/world https://onlineshop.de/angebote https://github.com/apache/spark
+https://www.nytimes.com/2021/05/03/science https://www.lemonde.fr/culture https://docs.python.org/3/library https://www.essex.ac.uk/courses
+https://www.adobe.com/products https://stackoverflow.com/questions/123 https://www.spiegel.de/wissenschaft
+https://www.betterhomes.com/kitchen https://www.addressbook.org https://www.who.int/health-topics https://elpais.com/noticias
+https://www.loc.gov/collections https://www.cashmere-world.com/scarves https://www.classicfm.com https://alphabet.com/investors
+https://shop.lego.com/en https://www.tracking.dhl.de/paket https://www.freecodecamp.org/learn https://lists.debian.org/2020/01
+https://www.winterthur.ch/stadt https://www.bicycle-club.nl/tours https://caterpillar.com/parts https://www.pixelmator.com/pro
+https://thetimes.co.uk/article/1 https://www.middlesex.edu/library https://www.bahn.de/fahrplan https://arxiv.org/abs/2001.00001
+https://www.weather.gov/forecast https://museum.or.jp/art https://www.worldbank.org/en/topic
+""".split()
+
+
+def test_url_model_on_urls_of_other_shapes():
+    from urllib.parse import urlsplit
+
+    model = u.fit([(urlsplit(x).netloc, urlsplit(x).path, y) for x, y in u.seed_rows()])
+    blocked = lambda x: model.score(urlsplit(x).netloc, urlsplit(x).path) >= 0.5
+    caught, wrong = sum(map(blocked, HELD_BLOCKED)), sum(map(blocked, HELD_ALLOWED))
+    assert caught / len(HELD_BLOCKED) >= 0.9 and caught / (caught + wrong) >= 0.9
+    assert not set(HELD_BLOCKED + HELD_ALLOWED) & {x for x, _ in u.seed_rows()}
+
+
+def test_url_filter_awkward_tables(spark):
+    model = u.train(u.seed_labels(spark))
+    rules = [u.Rule("org", "/", "allow"), u.Rule("b.org", "/", "block"), u.Rule("a.b.org", "", "allow")]
+    long = "https://x.example/" + "casino/" * 20_000
+    rows = [(1, "https://b.org/x", "c"), (1, "https://b.org/x", "c"), (2, long, "c"), (3, None, "c"), (None, "", "c"), (4, "no scheme/casino", "c"),
+            (5, "https://a.b.org/", "c"), (6, "https://www.b.org", "c")]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string")
+    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in u.judge_urls(df, rules, model).collect()]
+    assert got[0] == got[1] == (1, "b.org", "/x", "b.org/", "block")
+    assert got[2][2] == "/" + "casino/" * 20_000 and got[2][3] is None
+    assert [g[1:] for g in got[3:6]] == [("", "", None, "allow")] * 3
+    # a.b.org and b.org/ are of different length: the longer one wins; without a path no rule with one fits
+    assert got[6][3:] == ("a.b.org", "allow") and got[7][3] is None
+    assert u.judge_urls(df.where("false"), rules, model).collect() == []
+    nothing = u.train(u.seed_labels(spark).where("false"))
+    assert {r.verdict for r in u.judge_urls(df, [], nothing).collect()} == {"allow"}
