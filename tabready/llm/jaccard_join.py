@@ -44,8 +44,9 @@ from tabready.llm.components import connected_components
 
 WORDS, THRESHOLD = 5, 0.8
 COORDINATES, DEPTH, LEAF, BLOCK = 128, 4, 48, 512
-#: Sets of a large node that are tried as its pivot.
-PIVOTS = 3
+#: Sets of a large node that are tried as its pivot, and the nodes whose pivots
+#: may be broadcast (under 10 MB); more are joined.
+PIVOTS, BROADCAST_NODES = 3, 20_000
 TARGET_RECALL = 0.999
 #: A sketch estimate this far under the threshold (about three deviations) still proposes.
 MARGIN = 0.11
@@ -267,8 +268,12 @@ def scored_nodes(rows: DataFrame) -> DataFrame:
 
     marks = F.pandas_udf(releasing(run), "int")
     draw = lambda k: F.min(F.struct(F.xxhash64(F.lit(k), "node", "sid").alias("_h"), "sid", "sketch"))
-    drawn = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[draw(k).alias(f"p{k}") for k in range(PIVOTS)])
-    marked = rows.join(drawn, "node").select("node", "sid", "sketch", "n", *[F.col(f"p{k}.sid").alias(f"s{k}") for k in range(PIVOTS)],
+    drawn = written(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[draw(k).alias(f"p{k}") for k in range(PIVOTS)]), "jaccard-drawn")
+    if drawn.count() <= BROADCAST_NODES:
+        drawn = F.broadcast(drawn)
+    # rows are dealt evenly before they are compared: a node may be most of a file
+    even = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    marked = even.join(drawn, "node").select("node", "sid", "sketch", "n", *[F.col(f"p{k}.sid").alias(f"s{k}") for k in range(PIVOTS)],
                                              marks("sketch", *[F.col(f"p{k}.sketch") for k in range(PIVOTS)]).alias("m"))
     marked = written(marked, "jaccard-marks")
     bit = lambda k: F.shiftright("m", k).bitwiseAND(F.lit(1))
