@@ -130,6 +130,17 @@ def _boundary_keys(df: DataFrame, identifier: str, seed: int, cut_exprs, hex_dig
                     before += n_
                 else:
                     raise RuntimeError("The split input changed between its counting passes.")
+    # one hash with more rows than a window holds is one identifier: told from the
+    # counts, without sorting its rows
+    for i, (p, k, n) in list(where.items()):
+        if n > max_window_rows:
+            only = keyed.filter(F.col("_h") == p).agg(F.max("_id").alias("_id")).first()["_id"]
+            if k < n:
+                raise ValueError(f"identifier {only!r} repeats at a cut, so no exact cut exists; de-duplicate first")
+            bounds[i] = (p, only)
+            del where[i]
+    if not where:
+        return bounds
     prefixes = sorted({p for p, _, _ in where.values()})
     prefix = None
     for p in prefixes:

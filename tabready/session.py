@@ -100,6 +100,12 @@ def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame], inputs
     return spark.read.parquet(path)
 
 
-def forget_staged() -> None:
-    """Let the next use of every staged table build it anew (for the bench)."""
-    _STAGED.clear()
+def forget_staged(spark: SparkSession | None = None) -> None:
+    """Let the next use of every staged table build it anew, and delete those of
+    this application: call it when a long application has done with them."""
+    spark = spark or SparkSession.getActiveSession()
+    for key, path in list(_STAGED.items()):
+        if spark is not None and key[0] == spark.sparkContext.applicationId:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        del _STAGED[key]

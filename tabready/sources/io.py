@@ -57,6 +57,7 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+# The fields of run-summary documents.
 RUN_SUMMARY_SCHEMA = T.StructType([
     T.StructField("experiment_id", T.StringType()),
     T.StructField("platform", T.StringType()),

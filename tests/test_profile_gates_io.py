@@ -16,13 +16,13 @@ from tabready.sources import io
 def insights_frame(spark):
     rows = [(30.0, 200.0, "male", 300.0, "train"), (40.0, None, "female", 350.0, "train"),
             (50.0, 180.0, "male", 400.0, "train"), (35.0, 190.0, "male", 320.0, "test")]
-    return spark.createDataFrame(rows, "age double, fran double, gender string, total double, data_split string")
+    return spark.createDataFrame(rows, "age double, height double, gender string, total double, data_split string")
 
 
 def test_data_insights(spark):
     out = {(r.section, r.name): r.value for r in profile.data_insights(
-        insights_frame(spark), ["age", "fran", "gender"], ["age", "fran"], ["gender"], "total").collect()}
-    assert out[("missing_percentage_train", "fran")] == pytest.approx(33.333333, abs=1e-6)
+        insights_frame(spark), ["age", "height", "gender"], ["age", "height"], ["gender"], "total").collect()}
+    assert out[("missing_percentage_train", "height")] == pytest.approx(33.333333, abs=1e-6)
     assert out[("categorical_cardinality_train", "gender")] == 2.0
     assert out[("row_counts", "train")] == 3.0 and out[("row_counts", "test")] == 1.0
     assert out[("absolute_numeric_correlation_with_target", "age")] == pytest.approx(1.0)
