@@ -10,6 +10,7 @@ import gc
 import os
 import shutil
 import tempfile
+import time
 import uuid
 import weakref
 import zipfile
@@ -31,6 +32,9 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
+#: Seconds between two collections that ``written`` asks for, and when the last was.
+COLLECT_SECONDS, _collected = 8.0, 0.0
+
 #: Folders that ``written`` tables are read from, by their plan's DataFrame.
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
@@ -41,16 +45,19 @@ def written(df: DataFrame, kind: str, *used: DataFrame) -> DataFrame:
 
     ``used`` are written tables of which this one was the last reader: their
     folders go.  Shuffle files go when the driver's JVM collects the plans that
-    made them, which may be long after; asking for a collection here lets the disk
-    of a finished step serve the next one."""
+    made them, which may be long after; asking for a collection here, though not
+    after every short step, lets the disk of finished steps serve the next ones."""
+    global _collected
     spark, schema = df.sparkSession, df.schema
     path = scratch_path(spark, kind)
     df.write.mode("error").parquet(path)
     del df
     for table in used:
         discard(table)
-    gc.collect()
-    spark._jvm.System.gc()
+    if time.monotonic() - _collected > COLLECT_SECONDS:
+        gc.collect()
+        spark._jvm.System.gc()
+        _collected = time.monotonic()
     out = spark.read.schema(schema).parquet(path)
     _PATHS[out] = path
     return out
