@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabready.llm.common import releasing, row_key, written
@@ -47,6 +47,9 @@ COORDINATES, DEPTH, LEAF, BLOCK = 128, 4, 48, 512
 #: Sets of a large node that are tried as its pivot, and the nodes whose pivots
 #: may be broadcast (under 10 MB); more are joined.
 PIVOTS, BROADCAST_NODES = 3, 20_000
+#: About so many sets of a large node tell whether it is worth comparing all of
+#: them with the pivot; a node that isn't splits, so nothing hangs on the sample.
+SAMPLE = 64
 TARGET_RECALL = 0.999
 #: A sketch estimate this far under the threshold (about three deviations) still proposes.
 MARGIN = 0.11
@@ -256,37 +259,54 @@ def sketch_edges(leaves: DataFrame) -> DataFrame:
             .mapInPandas(releasing(run), "a binary, b binary"))
 
 
-def scored_nodes(rows: DataFrame) -> DataFrame:
-    """``node, sid, sketch, n, pivot, close, r`` of large nodes (``node, sid,
-    sketch``): the pivot is that of three sets which most of the node are alike
-    (drawn by a hash of node and set), ``r`` the number of sets unlike it."""
+def marked(rows: DataFrame, pivots: list[Column]) -> DataFrame:
+    """Add ``m``: bit k says whether a set's sketch is like the k-th pivot's."""
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for x, *others in batches:
             own = _rows(x)
             near = [alike(own, _rows(y)) >= THRESHOLD - MARGIN for y in others]
             yield pd.Series(sum(n.astype(np.int32) << k for k, n in enumerate(near)), dtype="int32")
 
-    marks = F.pandas_udf(releasing(run), "int")
+    return rows.withColumn("m", F.pandas_udf(releasing(run), "int")("sketch", *pivots))
+
+
+def node_pivots(rows: DataFrame) -> DataFrame:
+    """``node, pivot, sketch, share`` of large nodes (``node, sid, sketch, n``): of
+    three sets, drawn by a hash of node and set, the one that most of a sample of
+    the node are alike, and their share of the sample."""
     draw = lambda k: F.min(F.struct(F.xxhash64(F.lit(k), "node", "sid").alias("_h"), "sid", "sketch"))
-    drawn = written(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[draw(k).alias(f"p{k}") for k in range(PIVOTS)]), "jaccard-drawn")
-    if drawn.count() <= BROADCAST_NODES:
-        drawn = F.broadcast(drawn)
+    drawn = rows.groupBy("node").agg(*[draw(k).alias(f"p{k}") for k in range(PIVOTS)])
+    sample = rows.where(F.pmod(F.xxhash64(F.lit(PIVOTS), "node", "sid"), F.col("n")) < SAMPLE)
+    seen = marked(sample.join(drawn, "node"), [F.col(f"p{k}.sketch") for k in range(PIVOTS)])
+    share = lambda k: F.avg(F.shiftright("m", k).bitwiseAND(F.lit(1)))
+    best = seen.groupBy("node").agg(F.any_value(F.struct(*[f"p{k}" for k in range(PIVOTS)])).alias("p"),
+                                    F.greatest(*[F.struct(share(k).alias("share"), F.lit(k).alias("k")) for k in range(PIVOTS)]).alias("b"))
+    own = F.element_at(F.array(*[F.col(f"p.p{k}") for k in range(PIVOTS)]), F.col("b.k") + 1)
+    return best.select("node", own["sid"].alias("pivot"), own["sketch"].alias("pivot_sketch"), F.col("b.share").alias("share"))
+
+
+def scored_nodes(rows: DataFrame, all_nodes: bool = True) -> DataFrame:
+    """``node, sid, sketch, n, pivot, close, r`` of large nodes (``node, sid, sketch,
+    n``): whether a set is like the pivot, and the number of sets that are not.
+    Without ``all_nodes`` those are left out whose sample says that more than twice
+    ``BLOCK`` sets are unlike the pivot."""
+    pivots = written(node_pivots(rows), "jaccard-drawn")
+    small = pivots.count() <= BROADCAST_NODES
+    both = rows.join(F.broadcast(pivots) if small else pivots, "node")
+    if not all_nodes:
+        both = both.where((1 - F.col("share")) * F.col("n") <= 2 * BLOCK)
     # rows are dealt evenly before they are compared: a node may be most of a file
-    even = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    marked = even.join(drawn, "node").select("node", "sid", "sketch", "n", *[F.col(f"p{k}.sid").alias(f"s{k}") for k in range(PIVOTS)],
-                                             marks("sketch", *[F.col(f"p{k}.sketch") for k in range(PIVOTS)]).alias("m"))
-    marked = written(marked, "jaccard-marks")
-    bit = lambda k: F.shiftright("m", k).bitwiseAND(F.lit(1))
-    best = marked.groupBy("node").agg(F.greatest(*[F.struct(F.sum(bit(k)).alias("c"), F.lit(k).alias("k")) for k in range(PIVOTS)]).alias("b"))
-    of = marked.join(best.select("node", "b.c", "b.k"), "node")
-    pick = lambda value: F.element_at(F.array(*[value(k) for k in range(PIVOTS)]), F.col("k") + 1)
-    return written(of.select("node", "sid", "sketch", "n", pick(lambda k: F.col(f"s{k}")).alias("pivot"), (pick(bit) == 1).alias("close"),
-                             (F.col("n") - F.col("c")).alias("r")), "jaccard-pivots", marked)
+    even = both.select("node", "sid", "sketch", "n", "pivot", "pivot_sketch").repartition(
+        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    near = written(marked(even, [F.col("pivot_sketch")]).select("node", "sid", "sketch", "n", "pivot", (F.col("m") == 1).alias("close")), "jaccard-marks")
+    unlike = near.groupBy("node").agg(F.count_if(~F.col("close")).alias("r"))
+    return written(near.join(F.broadcast(unlike) if small else unlike, "node"), "jaccard-pivots", near, pivots)
 
 
 def pivot_edges(rows: DataFrame) -> DataFrame:
     """Edges of large nodes (``node, sid, sketch``) that end here."""
-    return ended_edges(scored_nodes(rows))
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    return ended_edges(scored_nodes(rows.drop("n").join(sizes, "node")))
 
 
 def ended_edges(scored: DataFrame) -> DataFrame:
@@ -341,12 +361,14 @@ def proposed_edges(sets: DataFrame, runs: int, depth: int = DEPTH) -> DataFrame:
         large, before = own.where(F.col("n") > LEAF), [own]
         if large.isEmpty():
             break
+        scored = scored_nodes(with_sketch(large), all_nodes=level == depth)
+        ended = scored if level == depth else scored.where(F.col("r") <= BLOCK)
+        edges.append(written(ended_edges(ended).distinct(), "jaccard-edges"))
         if level == depth:
-            edges.append(written(pivot_edges(with_sketch(large)).distinct(), "jaccard-edges"))
+            before.append(scored)
             break
-        scored = scored_nodes(with_sketch(large))
-        edges.append(written(ended_edges(scored.where(F.col("r") <= BLOCK)).distinct(), "jaccard-edges"))
-        going = written(scored.where(F.col("r") > BLOCK).select("node").distinct(), "jaccard-going", scored)
+        over = written(ended.select("node").distinct(), "jaccard-ended", scored)
+        going = written(large.select("node").distinct().join(over, "node", "left_anti"), "jaccard-going", over)
         before.append(going)
         if going.isEmpty():
             break
@@ -364,7 +386,7 @@ def with_sketch(rows: DataFrame) -> DataFrame:
             low = np.ascontiguousarray(_rows(batch)[:, ::4])
             yield pd.Series([x.tobytes() for x in low], dtype="object")
 
-    return rows.select("node", "sid", F.pandas_udf(releasing(run), "binary")("sig").alias("sketch"))
+    return rows.select("node", "sid", F.pandas_udf(releasing(run), "binary")("sig").alias("sketch"), "n")
 
 
 def intersections(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
