@@ -272,9 +272,10 @@ def marked(rows: DataFrame, pivots: list[Column]) -> DataFrame:
 
 def node_pivots(rows: DataFrame) -> DataFrame:
     """``node, pivot, sketch, share`` of large nodes (``node, sid, sketch, n``): of
-    three sets, drawn by a hash of node and set, the one that most of a sample of
-    the node are alike, and their share of the sample."""
-    draw = lambda k: F.min(F.struct(F.xxhash64(F.lit(k), "node", "sid").alias("_h"), "sid", "sketch"))
+    three sets, drawn by a hash of the set (so that nodes of the same sets have the
+    same pivots, and their edges are equal), the one that most of a sample of the
+    node are alike, and their share of the sample."""
+    draw = lambda k: F.min(F.struct(F.xxhash64(F.lit(k), "sid").alias("_h"), "sid", "sketch"))
     drawn = rows.groupBy("node").agg(*[draw(k).alias(f"p{k}") for k in range(PIVOTS)])
     sample = rows.where(F.pmod(F.xxhash64(F.lit(PIVOTS), "node", "sid"), F.col("n")) < SAMPLE)
     seen = marked(sample.join(drawn, "node"), [F.col(f"p{k}.sketch") for k in range(PIVOTS)])
