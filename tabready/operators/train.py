@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabready.functions.cleaning import present
+from tabready.session import delete_folder, ensure_checkpoint_dir
 
 
 # ---- L1 / L2: imputation fitted on train ------------------------------------
@@ -130,6 +131,45 @@ def random_forest(num_trees: int = 300, max_depth: int = 20, min_leaf: int = 2,
                                  minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed)
 
 
+#: Tree nodes that the driver holds at a time while a forest is fitted in parts.
+FOREST_NODES = 200_000
+
+
+def forest_predictions(train: DataFrame, df: DataFrame, numeric: Sequence[str], categoricals: Sequence[str],
+                       forest: RandomForestRegressor, nodes: int = FOREST_NODES) -> DataFrame:
+    """L6 on large tables: ``df`` with the ``prediction`` of the whole ``forest``.
+
+    A fit holds all of its trees on the driver, and deep trees grow with the
+    rows.  So the trees are fitted in parts of about ``nodes`` tree nodes, each
+    on all training rows and with a seed of its own; each part adds the sum of
+    its trees' predictions to the written table and is let go.  The first part
+    is sized by the most nodes that the rows and the depth allow, the next ones
+    by the nodes that trees turned out to have.  A single tree is never divided.
+    """
+    total, seed, label = forest.getNumTrees(), forest.getSeed(), forest.getLabelCol()
+    prep = Pipeline(stages=feature_pipeline(numeric, categoricals)).fit(train)
+    # the bootstrap draws by place: rows are dealt to all cores and ordered, however the table was written
+    tasks = max(train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions())
+    dealt = train.repartition(tasks, *train.columns).sortWithinPartitions(*train.columns)
+    rows = prep.transform(dealt).select("features", label).cache()
+    most = min(2 ** (forest.getMaxDepth() + 1), 2 * max(1, rows.count() // forest.getMinInstancesPerNode()))
+    done, part = 0, max(1, min(total, nodes // most))
+    spark, scored, path = df.sparkSession, df.withColumn("_sum", F.lit(0.0)), None
+    while done < total:
+        model = forest.copy({forest.numTrees: part, forest.seed: seed + 1_000_003 * done}).fit(rows)
+        added = model.transform(prep.transform(scored)).withColumn("_sum", F.col("_sum") + F.col("prediction") * part)
+        before, path = path, f"{ensure_checkpoint_dir(spark)}/forest/{uuid.uuid4().hex}"
+        added.select(*df.columns, "_sum").write.mode("error").parquet(path)
+        scored = spark.read.schema(scored.schema).parquet(path)
+        if before:
+            delete_folder(spark, before)
+        done += part
+        part = max(1, min(total - done, nodes * part // model.totalNumNodes))
+        del model, added
+    rows.unpersist()
+    return scored.select(*df.columns, (F.col("_sum") / total).alias("prediction"))
+
+
 def default_candidates(label: str = "label", seed: int = 42, scale: str = "small") -> dict[str, object]:
     """L7 search space: linear, tree, forest and boosted-tree regressors."""
     depth, trees, iters = (6, 30, 20) if scale == "small" else (10, 200, 100)

@@ -63,11 +63,9 @@ def q_random_forest_baseline(spark, sf):
     sqrt features, seed 42) fitted on the train split and scored on all."""
     df = _prepared(spark, sf)
     est = train.random_forest(num_trees=300, max_depth=20, min_leaf=2, seed=42, label=LABEL)
-    model = train.Pipeline(stages=[*train.feature_pipeline(DOC_NUMERIC, DOC_CATEGORICAL), est]).fit(
-        df.filter(F.col("data_split") == "train"))
-    preds = model.transform(df).select(F.lit("RandomForestRegressor").alias("model"),
-                                       F.col("doc_id").alias("row_id"), "data_split",
-                                       F.col(LABEL).alias("actual"), F.col("prediction").alias("predicted"))
+    preds = train.forest_predictions(df.filter(F.col("data_split") == "train"), df, DOC_NUMERIC, DOC_CATEGORICAL, est).select(
+        F.lit("RandomForestRegressor").alias("model"), F.col("doc_id").alias("row_id"), "data_split",
+        F.col(LABEL).alias("actual"), F.col("prediction").alias("predicted"))
     return regression_metrics(preds)
 
 
