@@ -17,6 +17,7 @@ get equal results; further columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
 import unicodedata
@@ -107,6 +108,10 @@ class Bpe:
         self._kept: dict[str, tuple[bytes, int, str]] = {}
         self._before: dict[str, tuple[bytes, int, str]] = {}
 
+    def forget(self) -> None:
+        """Drop the kept words."""
+        self._kept, self._before = {}, {}
+
     def merge_word(self, word: str) -> list[int]:
         """The ids of one word."""
         data = word.encode("utf-8", "replace")
@@ -181,6 +186,17 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+@contextlib.contextmanager
+def tokenizer(path: str) -> Iterator[Bpe]:
+    """The vocabulary for one task.  The words it has kept go when the task ends:
+    the worker lives on, idle or in other operators' tasks."""
+    bpe = load(path)
+    try:
+        yield bpe
+    finally:
+        bpe.forget()
+
+
 @lru_cache(maxsize=2)
 def library_of(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
@@ -192,10 +208,10 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     @F.pandas_udf("ids array<int>, decoded string")
     @releasing
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = load(path)
-        for batch in texts:
-            ids = [bpe.encode(t) for t in batch]
-            yield pd.DataFrame({"ids": ids, "decoded": [bpe.decode(x) for x in ids]})
+        with tokenizer(path) as bpe:
+            for batch in texts:
+                ids = [bpe.encode(t) for t in batch]
+                yield pd.DataFrame({"ids": ids, "decoded": [bpe.decode(x) for x in ids]})
 
     return docs.select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")
 
@@ -207,14 +223,14 @@ def digest_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     @releasing
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = load(path)
-        for batch in texts:
-            rows = []
-            for text in batch:
-                pieces = list(bpe.pieces(text or ""))
-                decoded = " ".join([p[2] for p in pieces])
-                rows.append((sum(p[1] for p in pieces), hashlib.sha256(b"".join([p[0] for p in pieces])).hexdigest(),
-                             hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        with tokenizer(path) as bpe:
+            for batch in texts:
+                rows = []
+                for text in batch:
+                    pieces = list(bpe.pieces(text or ""))
+                    decoded = " ".join([p[2] for p in pieces])
+                    rows.append((sum(p[1] for p in pieces), hashlib.sha256(b"".join([p[0] for p in pieces])).hexdigest(),
+                                 hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest()))
+                yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")

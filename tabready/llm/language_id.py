@@ -356,12 +356,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def predictions(model: Crf, texts: list[str | None]) -> list[tuple[str, float]]:
-    """Language and score of each text, some MB at a time."""
+    """Language and score of each text, two million characters at a time."""
     out: list[tuple[str, float]] = []
     size = first = 0
     for k, t in enumerate(texts):
         size += len(t or "")
-        if size > 1 << 23 or k == len(texts) - 1:
+        if size > 1 << 21 or k == len(texts) - 1:
             out += model.predict(texts[first:k + 1])
             size, first = 0, k + 1
     return out

@@ -109,3 +109,18 @@ def test_digests(spark, both):
     full = {r.doc_id: r for r in bpe.encode_texts(docs, vocabulary()).collect()}
     assert full[13].ids == library.encode("one", add_special_tokens=False).ids
     assert bpe.digest_texts(docs.where("false"), vocabulary()).count() == 0
+
+
+def test_words_go_when_a_task_ends():
+    """Workers are shared by all stages: a task leaves the vocabulary behind, not the words of its texts."""
+    text = awkward_texts()[5]
+    with bpe.tokenizer(vocabulary()) as own:
+        ids = own.encode(text)
+        assert own._kept
+    assert not own._kept and not own._before
+    with bpe.tokenizer(vocabulary()) as again:
+        assert again is own and again.encode(text) == ids
+    with pytest.raises(ZeroDivisionError), bpe.tokenizer(vocabulary()) as own:
+        assert own.encode(text) == ids
+        1 / 0  # noqa: B018
+    assert not own._kept
