@@ -1,9 +1,10 @@
 """BPE encoding and decoding with a public vocabulary file.
 
 Text is split at special tokens, normalised (NFC, lower case), cut into words
-and mapped to byte symbols.  Within a word, a segment tree over the ranks of
-adjacent pairs gives the leftmost pair of lowest rank at its root; each merge
-updates at most three leaves, so a word of n bytes takes O(n log n) steps.
+and mapped to byte symbols.  Within a word, the leftmost adjacent pair of lowest
+rank merges until none is left.  Short words, nearly all, look through their few
+ranks for it; in a longer one a segment tree over the ranks has it at its root and
+each merge updates at most three leaves, so n bytes take O(n log n) steps.
 Words repeat, so a worker keeps the ids of a bounded number of them.
 
 Letters, numbers and cases follow this Python's Unicode tables.  A text with a
@@ -37,6 +38,8 @@ from tabready.llm.common import releasing
 #: last change of generation and those of the one before), and the longest word
 #: (in characters) it keeps.
 KEPT_WORDS, KEPT_LENGTH = 160_000, 64
+#: The longest word (in bytes) whose ranks are looked through for each merge.
+SHORT_WORD = 64
 NO_PAIR = 1 << 60
 
 # The word pattern of this vocabulary.
@@ -98,9 +101,10 @@ class Bpe:
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[self.vocab[a], self.vocab[b]] = rank, self.vocab[a + b]
+        #: The rank of a pair of ids a, b, under a * base + b, and the id that a rank makes.
+        self.base = 1 + max(self.vocab.values())
+        self.ranks = {self.vocab[a] * self.base + self.vocab[b]: rank for rank, (a, b) in enumerate(model["merges"])}
+        self.made = [self.vocab[a + b] for a, b in model["merges"]]
         symbols = byte_symbols()
         self.inner = [self.vocab[s] for s in symbols]
         self.last = [self.vocab[s + self.suffix] for s in symbols]
@@ -117,16 +121,30 @@ class Bpe:
         data = word.encode("utf-8", "replace")
         ids = [self.inner[b] for b in data]
         ids[-1] = self.last[data[-1]]
-        if len(ids) == 1:
-            return ids
-        merges, n = self.merges, len(ids)
-        rank = lambda a, b: merges.get((a, b), (NO_PAIR,))[0]
+        return self._merge_short(ids) if len(ids) <= SHORT_WORD else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        get, base, made = self.ranks.get, self.base, self.made
+        ranks = [get(a * base + b, NO_PAIR) for a, b in zip(ids, ids[1:])]
+        while ranks and (low := min(ranks)) != NO_PAIR:
+            i = ranks.index(low)
+            ids[i] = new = made[low]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(new * base + ids[i + 1], NO_PAIR)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] * base + new, NO_PAIR)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        ranks, base, n = self.ranks, self.base, len(ids)
+        rank = lambda a, b: ranks.get(a * base + b, NO_PAIR)
         tree = RankTree([rank(a, b) for a, b in zip(ids, ids[1:])])
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
         while (i := tree.first_lowest()) >= 0:
             j = after[i]
-            ids[i] = merges[ids[i], ids[j]][1]
+            ids[i] = self.made[ranks[ids[i] * base + ids[j]]]
             alive[j] = False
             after[i] = k = after[j]
             if k < n:
@@ -152,15 +170,17 @@ class Bpe:
             self._kept[word] = out
         return out
 
-    def pieces(self, text: str) -> Iterator[tuple[bytes, int, str]]:
+    def pieces(self, text: str) -> list[tuple[bytes, int, str]]:
         """Packed ids, their number and their decoded text, word by word."""
-        get, make = self._kept.get, self._word
+        make, out = self._word, []
         for k, part in enumerate(self.cut.split(text) if "<|" in text else [text]):
             if k % 2:
-                yield array("I", [self.special[part]]).tobytes(), 1, part
+                out.append((array("I", [self.special[part]]).tobytes(), 1, part))
                 continue
-            for word in self.words(part):
-                yield get(word) or make(word)
+            words = self.words(part)
+            known = map(self._kept.get, words)
+            out += [piece or make(word) for piece, word in zip(known, words)]
+        return out
 
     def words(self, part: str) -> list[str]:
         """The normalised words of a text without special tokens."""
@@ -227,9 +247,9 @@ def digest_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             for batch in texts:
                 rows = []
                 for text in batch:
-                    pieces = list(bpe.pieces(text or ""))
-                    decoded = " ".join([p[2] for p in pieces])
-                    rows.append((sum(p[1] for p in pieces), hashlib.sha256(b"".join([p[0] for p in pieces])).hexdigest(),
+                    pieces = bpe.pieces(text or "")
+                    ids, decoded = b"".join([p[0] for p in pieces]), " ".join([p[2] for p in pieces])
+                    rows.append((sum([p[1] for p in pieces]), hashlib.sha256(ids).hexdigest(),
                                  hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest()))
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 

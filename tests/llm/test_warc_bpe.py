@@ -93,6 +93,26 @@ def test_rank_tree_is_leftmost_lowest():
             tree.put(k, v)
 
 
+def test_short_words_need_no_tree(both, monkeypatch):
+    """Nearly all words are short: a tree a word cost more than the merges themselves."""
+    library, own = both
+    words = ["a", "thstinnthalyti", "überheitschkeiten", "x" * bpe.SHORT_WORD]
+    monkeypatch.setattr(bpe, "RankTree", None)
+    for word in words:
+        assert own.merge_word(word) == library.encode(word, add_special_tokens=False).ids
+    with pytest.raises(TypeError):
+        own.merge_word("x" * (bpe.SHORT_WORD + 1))
+
+
+@settings(max_examples=300, deadline=None)
+@given(word=st.text(alphabet="aeinrsthßé", min_size=1, max_size=150))
+def test_long_words_merge_as_short_ones_do(both, word):
+    library, own = both
+    ids = [own.inner[b] for b in word.encode()[:-1]] + [own.last[word.encode()[-1]]]
+    assert own._merge_short(ids[:]) == own._merge_long(ids[:])
+    assert own.encode(word) == library.encode(word, add_special_tokens=False).ids
+
+
 def test_digests(spark, both):
     library, _ = both
     texts = awkward_texts() + ["<|startoftext|> a <|endoftext|>"]
