@@ -21,6 +21,7 @@ length are labelled whole; further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -48,16 +49,93 @@ BUCKETS = 1 << 17
 DOCS_PER_LANGUAGE, MAX_TRAINING_CHARS, MAX_LANGUAGES, PIECES = 300, 20_000, 500, 4
 #: Words whose scores a worker keeps; words that run through the chain at a time.
 KEPT_WORDS, CHAIN_WORDS = 200_000, 200_000
+#: About the most weights (features by languages) that are summed at a time.
+FEATURE_WEIGHTS = 1 << 19
+
+
+def crc_steps() -> np.ndarray:
+    """What each byte adds to a CRC-32."""
+    step = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        step = np.where(step & 1, (step >> 1) ^ np.uint32(0xEDB88320), step >> 1)
+    return step
+
+
+CRC_STEPS = crc_steps()
+
+
+def crc_of_next(crc: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """CRC-32 states (inverted, as they run) after one more character each, in UTF-8."""
+    def byte(crc: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return CRC_STEPS[(crc ^ b) & 0xFF] ^ (crc >> 8)
+
+    out = byte(crc, chars)
+    for least, mark, shifts in ((0x80, 0xC0, (0,)), (0x800, 0xE0, (6, 0)), (0x10000, 0xF0, (12, 6, 0))):
+        if len(at := np.flatnonzero(chars >= least)):
+            c = chars[at]
+            state = byte(crc[at], mark | c >> 6 * len(shifts))
+            for shift in shifts:
+                state = byte(state, 0x80 | c >> shift & 0x3F)
+            out[at] = state
+    return out
+
+
+def hashed_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the features of all words, word by word, and how many each word
+    has.  A feature's bucket is the CRC-32 of its name: ``w`` and the word; ``p``
+    and its first 1 to 4 letters; ``s`` and its last 1 to 4; the 2-grams, then the
+    3-grams of ``^word$``.  Names grow by a character in all words at once."""
+    fenced = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = np.array([len(w) for w in words], np.int64)
+    affixes = np.minimum(n, 4)
+    sizes = 2 + 2 * affixes + 2 * n
+    at = np.cumsum(sizes) - sizes
+    head = np.cumsum(n + 2) - (n + 2)
+    out = np.zeros(sizes.sum(), np.uint32)
+    out[at] = [~zlib.crc32(f"w{w}".encode("utf-8", "surrogatepass")) & 0xFFFFFFFF for w in words]
+    start = {c: np.uint32(~zlib.crc32(c) & 0xFFFFFFFF) for c in (b"", b"p", b"s")}
+    crc = np.full(len(words), start[b"p"])
+    for k in range(1, 5):
+        long = np.flatnonzero(n >= k)
+        crc[long] = crc_of_next(crc[long], fenced[head[long] + k])
+        out[at[long] + k] = crc[long]
+        tail = np.full(len(long), start[b"s"])
+        for j in range(k):
+            tail = crc_of_next(tail, fenced[head[long] + n[long] + 1 - k + j])
+        out[at[long] + affixes[long] + k] = tail
+    # 2-grams start at all characters of ^word$ but the last, 3-grams at all but the last two
+    two = np.arange(len(fenced)) - np.repeat(head, n + 2)
+    word = np.repeat(np.arange(len(words)), n + 2)
+    place = (at + 1 + 2 * affixes)[word] + two
+    pairs = np.flatnonzero(two <= n[word])
+    crc = crc_of_next(crc_of_next(np.full(len(pairs), start[b""]), fenced[pairs]), fenced[pairs + 1])
+    out[place[pairs]] = crc
+    more = two[pairs] < n[word[pairs]]
+    triples = pairs[more]
+    out[place[triples] + n[word[triples]] + 1] = crc_of_next(crc[more], fenced[triples + 2])
+    return (~out % BUCKETS).astype(np.int64), sizes
+
+
+def blocks_of(words: list[str], features: int) -> Iterator[list[str]]:
+    """The words, with about so many features at a time."""
+    sizes = np.cumsum([2 * len(w) + 10 for w in words]) // max(features, 1)
+    cuts = (np.flatnonzero(np.diff(sizes)) + 1).tolist()
+    for lo, hi in zip([0, *cuts], [*cuts, len(words)]):
+        if lo < hi:
+            yield words[lo:hi]
 
 
 def word_features(word: str) -> list[int]:
     """Hashed features of one position."""
-    fenced = f"^{word}$"
-    names = [f"w{word}"]
-    names += [f"p{word[:n]}" for n in (1, 2, 3, 4) if n <= len(word)]
-    names += [f"s{word[-n:]}" for n in (1, 2, 3, 4) if n <= len(word)]
-    names += [fenced[i:i + n] for n in (2, 3) for i in range(len(fenced) - n + 1)]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
+    return hashed_features([word])[0].tolist()
+
+
+class Numbers(dict):
+    """Words by the order in which they are met first."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 def position_pattern(text: str) -> regex.Pattern:
@@ -90,7 +168,7 @@ class Crf:
         self.weights = np.zeros((BUCKETS, k), np.float32)
         self.transitions = np.zeros((k, k))
         self.start = np.zeros(k)
-        self._index: dict[str, int] = {}
+        self._index = Numbers()
         self._emit = np.zeros((0, k))
 
     def __getstate__(self):
@@ -98,7 +176,7 @@ class Crf:
 
     def __setstate__(self, state):
         self.languages, self.weights, self.transitions, self.start = state
-        self._index, self._emit = {}, np.zeros((0, len(self.languages)))
+        self._index, self._emit = Numbers(), np.zeros((0, len(self.languages)))
 
     # -- learning ---------------------------------------------------------
     def fit(self, sequences: list[tuple[list[str], list[int]]], epochs: int = 3, batch: int = 64, rate: float = 0.3,
@@ -107,11 +185,11 @@ class Crf:
         k = len(self.languages)
         if k < 2:
             return self
-        index: dict[str, int] = {}
-        seqs = [(np.array([index.setdefault(w, len(index)) for w in ws], np.int64), np.array(ys, np.int64)) for ws, ys in sequences]
-        feats = [word_features(w) for w in index]
-        first = np.concatenate([[0], np.cumsum([len(f) for f in feats])])
-        flat = np.concatenate([np.array(f, np.int64) for f in feats])
+        index = Numbers()
+        seqs = [(np.array([index[w] for w in ws], np.int64), np.array(ys, np.int64)) for ws, ys in sequences]
+        feats = [hashed_features(block) for block in blocks_of(list(index), FEATURE_WEIGHTS // k)]
+        flat = np.concatenate([f for f, _ in feats])
+        first = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in feats]))])
         squares, t_squares, s_squares = np.full((BUCKETS, k), 1e-8, np.float32), np.full((k, k), 1e-8), np.full(k, 1e-8)
         order = np.random.default_rng(7)
         for _ in range(epochs):
@@ -173,30 +251,27 @@ class Crf:
     # -- labelling --------------------------------------------------------
     def word_ids(self, texts: Iterable[list[str]]) -> list[np.ndarray]:
         """Rows of the emission table for the words of each text; rows are made
-        for words not seen yet.  Ids hold until the next call."""
+        for words not seen yet, of all texts together.  Ids hold until the next call."""
         if len(self._index) > KEPT_WORDS:
-            self._index, self._emit = {}, np.zeros((0, len(self.languages)))
-        index, out = self._index, []
-        for words in texts:
-            ids = [index.get(w) for w in words]
-            if None in ids:
-                self._learn_words([w for w in dict.fromkeys(words) if w not in index])
-                ids = [index[w] for w in words]
-            out.append(np.array(ids, np.int32))
+            self._index, self._emit = Numbers(), np.zeros((0, len(self.languages)))
+        known, number = len(self._index), self._index.__getitem__
+        out = [np.fromiter(map(number, words), np.int32, len(words)) for words in texts]
+        self._learn_words(list(itertools.islice(self._index, known, None)))
         return out
 
     def _learn_words(self, new: list[str]) -> None:
-        feats = [word_features(w) for w in new]
-        first = np.concatenate([[0], np.cumsum([len(f) for f in feats])[:-1]])
-        sums = np.add.reduceat(self.weights[np.concatenate(feats)].astype(float), first, axis=0)
-        n = len(self._index)
-        if n + len(new) > len(self._emit):
-            grown = np.zeros((max(2 * len(self._emit), n + len(new), 1024), len(self.languages)))
-            grown[:n] = self._emit[:n]
+        """Rows of the last words of the index."""
+        k = len(self.languages)
+        at, n = len(self._index) - len(new), len(self._index)
+        if n > len(self._emit):
+            grown = np.zeros((max(2 * len(self._emit), n, 1024), k))
+            grown[:at] = self._emit[:at]
             self._emit = grown
-        self._emit[n:n + len(new)] = np.exp(np.maximum(sums - sums.max(1, keepdims=True), -300))
-        for w in new:
-            self._index[w] = len(self._index)
+        for block in blocks_of(new, FEATURE_WEIGHTS // max(k, 1)):
+            feats, sizes = hashed_features(block)
+            sums = np.add.reduceat(self.weights[feats].astype(float), np.cumsum(sizes) - sizes, axis=0)
+            self._emit[at:at + len(block)] = np.exp(np.maximum(sums - sums.max(1, keepdims=True), -300))
+            at += len(block)
 
     def _groups(self, ids: list[np.ndarray]) -> Iterator[list[int]]:
         """Texts of similar length, some words at a time, longest first."""

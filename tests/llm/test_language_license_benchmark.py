@@ -2,10 +2,13 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 from helpers import awkward_texts, sentence, table
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tabready.llm import decontaminate as d, language_id as lang, license_scan as lic
 
@@ -101,6 +104,40 @@ def test_forward_backward_matches_enumeration():
             assert np.allclose(got, want / want.sum(1, keepdims=True), atol=1e-6)
 
 
+def plain_features(word):
+    fenced = f"^{word}$"
+    names = [f"w{word}", *(f"p{word[:n]}" for n in (1, 2, 3, 4) if n <= len(word)), *(f"s{word[-n:]}" for n in (1, 2, 3, 4) if n <= len(word)),
+             *(fenced[i:i + n] for n in (2, 3) for i in range(len(fenced) - n + 1))]
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % lang.BUCKETS for x in names]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("aeinß"), st.characters()), max_size=50), min_size=1, max_size=8))
+def test_features_of_many_words_at_once(words):
+    words = [*words, "\ud800x", "\U0001f600", "日本語", "x" * 40]
+    flat, sizes = lang.hashed_features(words)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [plain_features(w) for w in words]
+
+
+def test_words_of_a_batch_are_learned_together(monkeypatch):
+    """Not word by word nor text by text, which took most of the time; and in blocks of bounded size."""
+    model = lang.Crf(["a", "b", "c"])
+    model.weights = np.random.default_rng(5).normal(size=model.weights.shape).astype(np.float32)
+    texts = [" ".join(f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + (i * j) % 26)}" for i in range(200)) for j in range(40)]
+    calls, hashed = [], lang.hashed_features
+    monkeypatch.setattr(lang, "hashed_features", lambda words: calls.append(len(words)) or hashed(words))
+    got = model.predict(texts)
+    assert len(calls) == 1 and calls[0] == len({w for t in texts for w in t.split()})
+    assert got == model.predict(texts) and len(calls) == 1
+    alone = [model.predict([t])[0] for t in texts]
+    assert [k for k, _ in got] == [k for k, _ in alone] and np.allclose([x for _, x in got], [x for _, x in alone])
+    monkeypatch.setattr(lang, "FEATURE_WEIGHTS", 300)
+    fresh = lang.Crf(["a", "b", "c"])
+    fresh.weights = model.weights
+    del calls[:]
+    assert fresh.predict(texts) == got and max(calls) <= 10
+
+
 def test_nothing_to_learn(spark):
     docs = docs_of(spark, [])
     model = lang.train(docs)
