@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabready.functions.cleaning import present
+from tabready.operators import cells
 from tabready.session import delete_folder, ensure_checkpoint_dir
 
 
@@ -131,26 +132,78 @@ def random_forest(num_trees: int = 300, max_depth: int = 20, min_leaf: int = 2,
                                  minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed)
 
 
-#: Tree nodes that the driver holds at a time while a forest is fitted in parts.
-FOREST_NODES = 200_000
+#: Tree nodes that the driver holds at a time while a forest is fitted in parts:
+#: as objects of Spark's, and as arrays of 17 bytes a node.
+FOREST_NODES, CELL_NODES = 200_000, 2_000_000
 
 
 def forest_predictions(train: DataFrame, df: DataFrame, numeric: Sequence[str], categoricals: Sequence[str],
-                       forest: RandomForestRegressor, nodes: int = FOREST_NODES) -> DataFrame:
+                       forest: RandomForestRegressor, nodes: int | None = None) -> DataFrame:
     """L6 on large tables: ``df`` with the ``prediction`` of the whole ``forest``.
 
-    A fit holds all of its trees on the driver, and deep trees grow with the
+    A fit returns all of its trees to the driver, and deep trees grow with the
     rows.  So the trees are fitted in parts of about ``nodes`` tree nodes, each
     on all training rows and with a seed of its own; each part adds the sum of
-    its trees' predictions to the written table and is let go.  The first part
+    its trees' predictions to a written table and is let go.  The first part
     is sized by the most nodes that the rows and the depth allow, the next ones
     by the nodes that trees turned out to have.  A single tree is never divided.
+
+    Trees see rows by their bins, so they are fitted and predict on cells, rows
+    with the same bins (``tabready.operators.cells``), each tree in one task.  If
+    the cells are too many for a task, Spark fits on rows.
     """
-    total, seed, label = forest.getNumTrees(), forest.getSeed(), forest.getLabelCol()
     prep = Pipeline(stages=feature_pipeline(numeric, categoricals)).fit(train)
     # the bootstrap draws by place: rows are dealt to all cores and ordered, however the table was written
-    tasks = max(train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions())
+    cores, count = train.sparkSession.sparkContext.defaultParallelism, train.count()
+    tasks = max(cores, train.rdd.getNumPartitions(), -(-count // cells.BLOCK))
     dealt = train.repartition(tasks, *train.columns).sortWithinPartitions(*train.columns)
+    cuts = cells.bin_thresholds(prep.transform(train), "features", min(forest.getMaxBins(), max(2, count)))
+    rows = cells.with_cell(prep.transform(dealt), "features", cuts).select(cells.CELL, forest.getLabelCol()).cache()
+    y = F.col(forest.getLabelCol())
+    kinds, center, lost = rows.agg(F.count_distinct(cells.CELL), F.avg(y), F.count_if(y.isNull() | F.isnan(y) | (F.abs(y) == float("inf")))).first()
+    if cells.fits(forest, cuts, kinds) and not lost:  # Spark's fit rejects lost labels
+        out = _cell_predictions(rows, cells.with_cell(prep.transform(df), "features", cuts).select(*df.columns, cells.CELL),
+                                forest, cells.CellForest().on(cuts, center), kinds, nodes or CELL_NODES)
+        rows.unpersist()
+        return out
+    rows.unpersist()
+    return _row_predictions(prep, dealt, df, forest, nodes or FOREST_NODES)
+
+
+def _cell_predictions(rows: DataFrame, df: DataFrame, forest: RandomForestRegressor, on_cells: cells.CellForest,
+                      kinds: int, nodes: int) -> DataFrame:
+    """``df``, which has cells, with the mean prediction of all trees."""
+    spark, columns = df.sparkSession, [c for c in df.columns if c != cells.CELL]
+    base = f"{ensure_checkpoint_dir(spark)}/forest"
+    table = f"{base}/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(table)
+    df = spark.read.schema(df.schema).parquet(table)
+    total, seed = forest.getNumTrees(), forest.getSeed()
+    most = min(2 ** (forest.getMaxDepth() + 1), 2 * kinds)
+    for p in forest.params:
+        if forest.isDefined(p) and on_cells.hasParam(p.name):
+            on_cells.set(on_cells.getParam(p.name), forest.getOrDefault(p))
+    tasks = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    scored, path = df.select(cells.CELL).distinct().repartition(tasks, cells.CELL).withColumn("_sum", F.lit(0.0)), None
+    done, part = 0, max(1, min(total, nodes // most))
+    while done < total:
+        model = on_cells.copy({on_cells.numTrees: part, on_cells.seed: seed + 1_000_003 * done}).fit(rows)
+        added = model.transform(scored).select(cells.CELL, (F.col("_sum") + F.col("prediction") * part).alias("_sum"))
+        before, path = path, f"{base}/{uuid.uuid4().hex}"
+        added.write.mode("error").parquet(path)
+        scored = spark.read.schema("_cell binary, _sum double").parquet(path)
+        if before:
+            delete_folder(spark, before)
+        done += part
+        part = max(1, min(total - done, nodes * part // model.totalNumNodes))
+        del model, added
+    return df.join(scored, cells.CELL).select(*columns, (F.col("_sum") / total).alias("prediction"))
+
+
+def _row_predictions(prep: PipelineModel, dealt: DataFrame, df: DataFrame, forest: RandomForestRegressor,
+                     nodes: int) -> DataFrame:
+    """The same by Spark's own fits on rows, for any number of cells."""
+    total, seed, label = forest.getNumTrees(), forest.getSeed(), forest.getLabelCol()
     rows = prep.transform(dealt).select("features", label).cache()
     most = min(2 ** (forest.getMaxDepth() + 1), 2 * max(1, rows.count() // forest.getMinInstancesPerNode()))
     done, part = 0, max(1, min(total, nodes // most))
