@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tabready.operators import cells as C
 from tabready.operators import train as TR
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def frame(spark, n=1500):
     rows = [(i, float((i * i) % 97), float(i % 7) if i % 20 else float("nan"), ["a", "b", "c", None][(i // 3) % 4], float((i * 31) % 211 + 40 * ((i // 3) % 4)),
@@ -82,3 +84,15 @@ def test_lost_training_values_are_rejected(spark, column, value, says):
     df = frame(spark, 60).withColumn(column, F.when(F.col("id") != 1, F.col(column)).otherwise(F.lit(value)))
     with pytest.raises(Exception, match=says):
         TR.forest_predictions(df.where("s = 'train'"), df, ["x"], ["c"], TR.random_forest(num_trees=2, max_depth=3, label="y"))
+
+
+def test_forest_beats_mean_sends_no_rows_to_a_fit_by_levels(spark, monkeypatch):
+    from tabready.plans.experiment_queries import q_forest_beats_mean
+
+    def by_levels(self, dataset):
+        raise AssertionError("Spark's fit aggregates every open node at every level")
+
+    monkeypatch.setattr(TR.RandomForestRegressor, "_fit_java", by_levels)
+    got = {r.data_split: r for r in q_forest_beats_mean(spark, SF_SMALL).collect()}
+    assert {s: r.rows for s, r in got.items()} == {"train": 128, "validation": 32, "test": 40}
+    assert all(r.forest_is_better for r in got.values())
