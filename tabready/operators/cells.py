@@ -142,7 +142,7 @@ def _layout(cuts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _places(cuts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each feature's bin is in a packed row: byte, bits to its right, and its bits."""
-    (wide, narrow), (byte, shift, mask) = _layout(cuts), (np.zeros(len(cuts), np.int64), *(np.zeros(len(cuts), np.uint8) for _ in range(2)))
+    (wide, narrow), (byte, shift, mask) = _layout(cuts), (np.zeros(len(cuts), np.int32), *(np.zeros(len(cuts), np.uint8) for _ in range(2)))
     byte[wide], mask[wide] = np.arange(len(wide)), 255
     byte[narrow], shift[narrow], mask[narrow] = len(wide) + np.arange(len(narrow)) // 8, 7 - np.arange(len(narrow)) % 8, 1
     return byte, shift, mask
@@ -261,7 +261,7 @@ def grow(keys: np.ndarray, n: np.ndarray, s: np.ndarray, cuts: Sequence[np.ndarr
         return (flat[at * width + byte[feature][node]] >> shift[feature][node]) & mask[feature][node]
 
     made, count, deepest = [], 1, 0
-    todo = [(np.arange(len(keys)), np.zeros(len(keys), np.int64), np.zeros(1, np.int64), 0)]
+    todo = [(np.arange(len(keys), dtype=np.int32), np.zeros(len(keys), np.int32), np.zeros(1, np.int64), 0)]
     while todo:
         at, node, ids, level = todo.pop()
         size = len(ids)
@@ -305,7 +305,7 @@ def grow(keys: np.ndarray, n: np.ndarray, s: np.ndarray, cuts: Sequence[np.ndarr
             on = split[node]
             at, node = at[on], node[on]
             right = code_of(at, node, feature) > cut[node]
-            todo.append((at, 2 * (np.cumsum(split) - 1)[node] + right, count + np.arange(2 * k), level + 1))
+            todo.append((at, 2 * (np.cumsum(split, dtype=np.int32) - 1)[node] + right, count + np.arange(2 * k), level + 1))
             count += 2 * k
     order = np.argsort(np.concatenate([m[0] for m in made]))
     columns = [np.concatenate([m[i] for m in made])[order] for i in range(1, 5)]
